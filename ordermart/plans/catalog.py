@@ -10,8 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.bindings import raw_customers, raw_orders
+from pyspark.sql import functions as F
+
+from ..functions import amounts, clean, parse, predicates
+from ..operators import quality
+from ..session import scratch_path
+from ..sources.bindings import raw_customers, raw_orders, tamper_totals
+from ..sources.tables import read_table
 from . import model, reports
+from .warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,8 +48,240 @@ def q_sales_by_customer(spark, sf_dir):
     return reports.sales_by_customer(_fact(spark, sf_dir), _dim(spark, sf_dir))
 
 
+# ------------------------------------------------------------ cleaning
+
+def _messy_transformed_customers(spark, sf_dir):
+    return model.transform_customers(model.stage_customers(raw_customers(spark, sf_dir, True)))
+
+
+def _messy_transformed_orders(spark, sf_dir, keep_raw=False):
+    return model.transform_orders(model.stage_orders(raw_orders(spark, sf_dir, True), keep_raw))
+
+
+def q_clean_customers(spark, sf_dir):
+    """P1-P4, P13."""
+    return _messy_transformed_customers(spark, sf_dir).select(
+        "customer_id", "customer_name", "city", "email")
+
+
+def q_strip_fields(spark, sf_dir):
+    """P5, F2: full whitespace strip of every field; any field blank."""
+    raw = raw_customers(spark, sf_dir, True)
+    cols = raw.columns
+    return raw.select(*[clean.strip_all(c).alias(c) for c in cols],
+                      predicates.any_of(predicates.is_blank_stripped(c) for c in cols)
+                      .cast("int").alias("has_blank"))
+
+
+def q_invalid_emails(spark, sf_dir):
+    """Rows whose cleaned e-mail is null or malformed."""
+    return (_messy_transformed_customers(spark, sf_dir)
+            .where(predicates.email_invalid("email")).select("customer_id", "email"))
+
+
+def q_order_totals_refresh(spark, sf_dir):
+    """Total on the staged DECIMAL(12,2) price."""
+    return _messy_transformed_orders(spark, sf_dir).select(
+        "order_id", "quantity", "unit_price", "total_amount")
+
+
+def q_order_totals_incremental(spark, sf_dir):
+    """Total on the unrounded price, half-even to cents."""
+    raw = raw_orders(spark, sf_dir)
+    q = parse.parse_int("quantity")
+    p = parse.parse_decimal("unit_price")
+    return raw.select("order_id", q.alias("quantity"), amounts.to_price(p).alias("unit_price"),
+                      amounts.total_incremental(q, p).alias("total_amount"))
+
+
+# Number texts that probe the parser, by order key mod 12.
+NUMBER_TEXTS = [" 4 ", "+4", "4.0", "1_000", "1e3", "NaN", ".5", "-3", "12abc",
+                "\t7\u00a0", "99999999999"]
+
+
+def _number_text():
+    k = F.col("o_orderkey")
+    price = F.concat(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.lit("5"))
+    expr = None
+    for i, t in enumerate(NUMBER_TEXTS):
+        expr = (F.when(k % 12 == i, F.lit(t)) if expr is None
+                else expr.when(k % 12 == i, F.lit(t)))
+    return expr.otherwise(price)
+
+
+def q_parse_numbers(spark, sf_dir):
+    """Integer and decimal parsing of raw text."""
+    o = read_table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"),
+        _number_text().alias("number_text"))
+    t = "number_text"
+    return o.select("order_id", t,
+                    parse.parse_int(t).alias("int_value"),
+                    parse.is_int_text(t).cast("int").alias("is_int"),
+                    parse.parse_decimal(t).alias("decimal_value"),
+                    parse.is_decimal_text(t).cast("int").alias("is_decimal"),
+                    parse.is_non_finite_text(t).cast("int").alias("is_non_finite"))
+
+
+def _date_texts(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    k, d = F.col("o_orderkey"), F.col("d")
+    iso = d.cast("string")
+    y, m, day = F.year(d).cast("string"), F.month(d).cast("string"), F.dayofmonth(d).cast("string")
+    text = (F.when(k % 10 == 0, iso)
+            .when(k % 10 == 1, F.concat_ws("-", y, m, day))
+            .when(k % 10 == 2, F.lit("2026-02-30"))
+            .when(k % 10 == 3, F.date_format(d, "dd/MM/yyyy"))
+            .when(k % 10 == 4, F.concat(F.lit(" "), iso, F.lit("\t")))
+            .when(k % 10 == 5, F.lit("0999-01-01"))
+            .when(k % 10 == 6, F.concat(iso, F.lit("T00:00")))
+            .when(k % 10 == 7, F.concat(y, F.lit("-"), F.lpad(m, 2, "0"), F.lit("- "), day))
+            .when(k % 10 == 8, F.lit("")))
+    return o.select(F.concat(F.lit("O"), k.cast("string")).alias("order_id"), text.alias("date_text"))
+
+
+def q_parse_dates_strict(spark, sf_dir):
+    """P10: zero-padded ISO dates that exist."""
+    p = parse.parse_date_strict("date_text")
+    return _date_texts(spark, sf_dir).select("order_id", "date_text", p.alias("parsed_date"),
+                                             p.isNotNull().cast("int").alias("is_valid"))
+
+
+def q_parse_dates_lenient(spark, sf_dir):
+    """Strptime-style dates, month/day unpadded allowed."""
+    p = parse.parse_date_lenient("date_text")
+    return _date_texts(spark, sf_dir).select("order_id", "date_text", p.alias("parsed_date"),
+                                             p.isNotNull().cast("int").alias("is_valid"))
+
+
+# ------------------------------------------------------------ star schema
+
+def q_dim_customer(spark, sf_dir):
+    """dim_customer of the messy customers."""
+    return model.build_dim_customer(_messy_transformed_customers(spark, sf_dir))
+
+
+def q_surrogate_key_listing(spark, sf_dir):
+    """R4."""
+    return reports.surrogate_key_listing(q_dim_customer(spark, sf_dir))
+
+
+def q_surrogate_key_audit(spark, sf_dir):
+    """R5, A4, A9."""
+    return reports.surrogate_key_audit(q_dim_customer(spark, sf_dir))
+
+
+def _published(spark, sf_dir):
+    """K1-K3 + K6: write staging and targets, return the warehouse."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    stg_c = model.stage_customers(raw_customers(spark, sf_dir, True))
+    stg_o = model.stage_orders(raw_orders(spark, sf_dir, True))
+    wh.write("stg_customers", stg_c)
+    wh.write("stg_orders", stg_o)
+    tr_c, tr_o = model.transform_customers(wh.read("stg_customers")), \
+        model.transform_orders(wh.read("stg_orders"))
+    wh.write("dim_customer", model.build_dim_customer(tr_c))
+    wh.write("fact_order", model.build_fact_order(tr_o))
+    return wh
+
+
+def q_fact_order(spark, sf_dir):
+    """K1-K3, K6: fact_order written with its declared schema, read back."""
+    return _published(spark, sf_dir).read("fact_order")
+
+
+def q_table_counts(spark, sf_dir):
+    """Staging and target row counts."""
+    wh = _published(spark, sf_dir)
+    return reports.table_counts({n: wh.read(n) for n in
+                                 ("stg_customers", "stg_orders", "dim_customer", "fact_order")})
+
+
+def q_describe_tables(spark, sf_dir):
+    """DESCRIBE of the published dimension and fact."""
+    wh = _published(spark, sf_dir)
+    tag = wh.root.rsplit("/", 1)[-1]
+    out = None
+    for name in ("dim_customer", "fact_order"):
+        view = f"{name}_{tag}"
+        wh.read(name).createOrReplaceTempView(view)
+        d = (spark.sql(f"DESCRIBE TABLE {view}")
+             .select(F.lit(name).alias("table_name"), "col_name", "data_type"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def q_preview_customers(spark, sf_dir):
+    """Ten cleaned customers, ordered."""
+    return reports.preview(q_dim_customer(spark, sf_dir),
+                           ["customer_id", "customer_name", "city", "email"], "customer_id")
+
+
+def q_preview_orders(spark, sf_dir):
+    """Ten orders with their amounts, ordered."""
+    return reports.preview(_messy_transformed_orders(spark, sf_dir),
+                           ["order_id", "customer_id", "quantity", "unit_price", "total_amount"],
+                           "order_id")
+
+
+# ------------------------------------------------------------ quality
+
+def _candidates(spark, sf_dir):
+    dim = model.build_dim_customer(_messy_transformed_customers(spark, sf_dir))
+    fact = tamper_totals(_messy_transformed_orders(spark, sf_dir, keep_raw=True))
+    return {"customers": dim, "orders": fact}
+
+
+def q_dq_report(spark, sf_dir):
+    """D1-D13, D17 on the candidate dimension and fact, one row per rule."""
+    return quality.check(_candidates(spark, sf_dir))
+
+
+def q_dq_verdict(spark, sf_dir):
+    """Every failing rule in one message."""
+    return quality.verdict(q_dq_report(spark, sf_dir))
+
+
+def q_orphan_orders(spark, sf_dir):
+    """Orders whose trimmed customer id has no customer."""
+    t = _candidates(spark, sf_dir)
+    return quality.orphan_rows(t["orders"], t["customers"], "customer_id").select(
+        "order_id", "customer_id")
+
+
+def q_duplicate_keys(spark, sf_dir):
+    """Key values held by more than one row."""
+    t = _candidates(spark, sf_dir)
+    parts = []
+    for table, key in (("customers", "customer_id"), ("orders", "order_id")):
+        parts.append(t[table].groupBy(F.col(key).alias("key_value"))
+                     .agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+                     .select(F.lit(table).alias("table_name"), "key_value", "copies"))
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES: dict[str, Query] = {
     "monthly_sales": q_monthly_sales,
     "sales_by_city": q_sales_by_city,
     "sales_by_customer": q_sales_by_customer,
+    "clean_customers": q_clean_customers,
+    "strip_fields": q_strip_fields,
+    "invalid_emails": q_invalid_emails,
+    "order_totals_refresh": q_order_totals_refresh,
+    "order_totals_incremental": q_order_totals_incremental,
+    "parse_numbers": q_parse_numbers,
+    "parse_dates_strict": q_parse_dates_strict,
+    "parse_dates_lenient": q_parse_dates_lenient,
+    "dim_customer": q_dim_customer,
+    "surrogate_key_listing": q_surrogate_key_listing,
+    "surrogate_key_audit": q_surrogate_key_audit,
+    "fact_order": q_fact_order,
+    "table_counts": q_table_counts,
+    "describe_tables": q_describe_tables,
+    "preview_customers": q_preview_customers,
+    "preview_orders": q_preview_orders,
+    "dq_report": q_dq_report,
+    "dq_verdict": q_dq_verdict,
+    "orphan_orders": q_orphan_orders,
+    "duplicate_keys": q_duplicate_keys,
 }

@@ -17,12 +17,17 @@ def stage_customers(raw: DataFrame) -> DataFrame:
                       parse_date_loose("created_date").alias("created_date"))
 
 
-def stage_orders(raw: DataFrame) -> DataFrame:
-    """K1: raw text -> stg_orders types (INT quantity, DECIMAL(12,2) price)."""
+def stage_orders(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
+    """K1: raw text -> stg_orders types (INT quantity, DECIMAL(12,2) price).
+
+    ``keep_raw`` carries the number texts along, for the type-limit rules.
+    """
+    extra = ([F.col("quantity").alias("quantity_text"),
+              F.col("unit_price").alias("unit_price_text")] if keep_raw else [])
     return raw.select("order_id", "customer_id",
                       parse_date_loose("order_date").alias("order_date"),
                       parse_int("quantity").alias("quantity"),
-                      to_price(parse_decimal("unit_price")).alias("unit_price"))
+                      to_price(parse_decimal("unit_price")).alias("unit_price"), *extra)
 
 
 def transform_customers(stg: DataFrame) -> DataFrame:
@@ -36,8 +41,9 @@ def transform_customers(stg: DataFrame) -> DataFrame:
 
 def transform_orders(stg: DataFrame) -> DataFrame:
     """K2 orders: total_amount = quantity * unit_price."""
+    extra = [c for c in stg.columns if c not in ORDER_COLUMNS]
     return stg.select(*ORDER_COLUMNS,
-                      total_refresh("quantity", "unit_price").alias("total_amount"))
+                      total_refresh("quantity", "unit_price").alias("total_amount"), *extra)
 
 
 def build_dim_customer(customers: DataFrame) -> DataFrame:

@@ -26,6 +26,12 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _duplicate_where(df: DataFrame, cond: Column) -> DataFrame:
+    """Emit rows matching ``cond`` twice (one scan, no union of two scans)."""
+    copies = F.when(cond, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return df.withColumn("_copy", F.explode(copies)).drop("_copy")
+
+
 def _customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -48,6 +54,7 @@ def raw_customers(spark: SparkSession, sf_dir: str, messy: bool = False) -> Data
     if messy:
         cid = (F.when(k % 97 == 5, F.concat(F.lit("  "), cid, F.lit(" ")))
                .when(k % 97 == 7, F.concat(F.lit("\t"), cid))
+               .when(k % 97 == 9, F.concat(F.lit("\u00a0"), cid, F.lit("\u001f")))
                .otherwise(cid))
         name = (F.when(k % 35 == 5, F.lit(None).cast("string"))
                 .when(k % 35 == 6, F.lit("   "))
@@ -76,7 +83,7 @@ def raw_customers(spark: SparkSession, sf_dir: str, messy: bool = False) -> Data
                     city.alias("city"), email.alias("email"),
                     created.alias("created_date"), k.alias("_key"))
     if messy:
-        out = out.unionByName(out.where(F.col("_key") % 89 == 0))
+        out = _duplicate_where(out, F.col("_key") % 89 == 0)
     return out.drop("_key")
 
 
@@ -110,7 +117,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, messy: bool = False) -> DataFra
                    odate.alias("order_date"), qty.alias("quantity"),
                    price.alias("unit_price"), k.alias("_key"))
     if messy:
-        out = out.unionByName(out.where(F.col("_key") % 503 == 0))
+        out = _duplicate_where(out, F.col("_key") % 503 == 0)
     return out.drop("_key")
 
 
