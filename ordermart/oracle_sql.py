@@ -120,15 +120,17 @@ def raw_orders_sql(messy: bool = False) -> str:
     base_price = "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR)"
     price = f"CASE WHEN {k} % 17 = 3 THEN {base_price} || '5' ELSE {base_price} END"
     if messy:
-        oid = f"CASE WHEN {k} % 701 = 0 THEN ' ' || {oid} ELSE {oid} END"
+        oid = (f"CASE WHEN {k} % 701 = 0 THEN ' ' || {oid} "
+               f"WHEN {k} % 1009 = 0 THEN {oid} || repeat('-x', 30) ELSE {oid} END")
         cid = (f"CASE WHEN {k} % 211 = 0 THEN 'C' || CAST(o_custkey + 1000000000 AS VARCHAR) "
                f"WHEN {k} % 701 = 1 THEN ' ' || {cid} ELSE {cid} END")
         odate = (f"CASE WHEN {k} % 313 = 0 THEN NULL WHEN {k} % 317 = 0 THEN '2026-13-01' "
                  f"ELSE {odate} END")
         qty = (f"CASE WHEN {k} % 607 = 0 THEN '0' WHEN {k} % 809 = 0 THEN '99999999999' "
-               f"ELSE {qty} END")
+               f"WHEN {k} % 1019 = 0 THEN '2000000000' ELSE {qty} END")
         price = (f"CASE WHEN {k} % 389 = 0 THEN '-' || {base_price} "
-                 f"WHEN {k} % 919 = 0 THEN 'abc' ELSE {price} END")
+                 f"WHEN {k} % 919 = 0 THEN 'abc' WHEN {k} % 1013 = 0 THEN '12345678901.5' "
+                 f"ELSE {price} END")
     base = (f"SELECT {oid} AS order_id, {cid} AS customer_id, {odate} AS order_date, "
             f"{qty} AS quantity, {price} AS unit_price, {k} AS _key FROM orders")
     cols = "order_id, customer_id, order_date, quantity, unit_price"
@@ -481,4 +483,5 @@ ORACLES = {
 
 
 def all_sql() -> dict[str, str]:
-    return {k: f() for k, f in ORACLES.items()}
+    from .oracle_files import ORACLES as FILE_ORACLES
+    return {k: f() for k, f in {**ORACLES, **FILE_ORACLES}.items()}

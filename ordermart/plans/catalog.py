@@ -260,6 +260,194 @@ def q_duplicate_keys(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+# ------------------------------------------------------------ files
+
+def _landing(spark, sf_dir):
+    from ..sources.bindings import materialize_landing
+    from ..sources.files import Landing
+    root = materialize_landing(spark, sf_dir, scratch_path(spark, "landing"))
+    return Landing(spark, root)
+
+
+def _scan(spark, landing, kind):
+    from ..sources.bindings import CUSTOMERS_PREFIX, ORDERS_PREFIX
+    from .incremental import KIND_COLUMNS
+    from ..sources.files import file_contract, project_by_name, scan_records
+    ls = landing.list_csv(CUSTOMERS_PREFIX if kind == "customers" else ORDERS_PREFIX)
+    paths = [r["path"] for r in ls.select("path").collect()]
+    records = scan_records(spark, paths)
+    rows = project_by_name(records, KIND_COLUMNS[kind]).withColumn("file_name", landing.key(F.col("path")))
+    return ls, records, rows, file_contract(ls, records, KIND_COLUMNS[kind])
+
+
+def q_required_inputs(spark, sf_dir):
+    """Presence of the required objects (one is absent on purpose)."""
+    from ..sources.bindings import CUSTOMERS_PREFIX, ORDERS_PREFIX
+    landing = _landing(spark, sf_dir)
+    listing = landing.listing([CUSTOMERS_PREFIX, ORDERS_PREFIX]).select("file_name")
+    # The keys a full-refresh run requires.
+    required = spark.createDataFrame(
+        [(1, f"{CUSTOMERS_PREFIX}/customers_00.csv"), (2, f"{ORDERS_PREFIX}/orders_00.csv"),
+         (3, f"{ORDERS_PREFIX}/orders.csv")], "check_order int, file_name string")
+    present = listing.withColumn("present", F.lit(1))
+    return (required.join(present, "file_name", "left")
+            .select("check_order", "file_name", F.coalesce("present", F.lit(0)).alias("present")))
+
+
+def q_list_inputs(spark, sf_dir):
+    """Recursive *.csv listing with kind and processing order."""
+    from .incremental import IncrementalConfig, list_files
+    landing = _landing(spark, sf_dir)
+    ls = list_files(landing, IncrementalConfig())
+    from ..sources.files import check_any_files
+    check_any_files(ls)
+    return ls.select("file_name", "kind", "ordinal")
+
+
+def q_scan_by_name(spark, sf_dir):
+    """Order files read by header name, with record numbers."""
+    _, _, rows, _ = _scan(spark, _landing(spark, sf_dir), "orders")
+    return rows.select("file_name", "row_number", "order_id", "customer_id", "order_date",
+                       "quantity", "unit_price")
+
+
+def q_scan_customers(spark, sf_dir):
+    """Customer files (reordered headers, quoted commas) by name."""
+    _, _, rows, _ = _scan(spark, _landing(spark, sf_dir), "customers")
+    return rows.select("file_name", "row_number", "customer_id", "customer_name", "city",
+                       "email", "created_date")
+
+
+def q_row_numbers(spark, sf_dir):
+    """Physical record number of every order row."""
+    _, _, rows, _ = _scan(spark, _landing(spark, sf_dir), "orders")
+    return rows.select("file_name", "order_id", "row_number")
+
+
+def _contracts(spark, landing):
+    from ..sources.files import python_list_repr
+    out = None
+    for kind in ("customers", "orders"):
+        _, _, _, c = _scan(spark, landing, kind)
+        c = c.select("file_name", "data_rows", python_list_repr("missing_columns").alias("missing_columns"),
+                     "contract_error")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def q_file_contract(spark, sf_dir):
+    """Data rows and missing required headers per file."""
+    return _contracts(spark, _landing(spark, sf_dir))
+
+
+def q_file_violations(spark, sf_dir):
+    """Every violation of every row."""
+    from ..operators.file_rules import row_violations
+    landing = _landing(spark, sf_dir)
+    out = None
+    for kind in ("customers", "orders"):
+        _, _, rows, _ = _scan(spark, landing, kind)
+        v = row_violations(rows, kind)
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+def q_file_verdicts(spark, sf_dir):
+    """First error of each file, in the source's check order."""
+    from ..operators.file_rules import file_verdicts
+    landing = _landing(spark, sf_dir)
+    out = None
+    for kind in ("customers", "orders"):
+        _, _, rows, contract = _scan(spark, landing, kind)
+        v = file_verdicts(contract, rows, kind)
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+def _seeded_store(spark, landing):
+    """A fresh store whose tracker already knows three files (batch 0)."""
+    from ..sources.bindings import CUSTOMERS_PREFIX, ORDERS_PREFIX
+    from .incremental import IngestionStore
+    store = IngestionStore(spark, scratch_path(spark, "ingest"))
+    ls = landing.listing([CUSTOMERS_PREFIX, ORDERS_PREFIX])
+    # Earlier outcomes of three files.
+    seed = {f"{CUSTOMERS_PREFIX}/customers_01.csv": ("SUCCESS", None),
+            f"{ORDERS_PREFIX}/orders_02.csv": ("SUCCESS", None),
+            f"{ORDERS_PREFIX}/orders_04.csv": ("FAILED", "earlier failure")}
+    status = F.coalesce(*[F.when(F.col("file_name") == k, F.lit(v[0])) for k, v in seed.items()])
+    err = F.coalesce(*[F.when(F.col("file_name") == k, F.lit(v[1])) for k, v in seed.items()])
+    store.record_events(ls.where(F.col("file_name").isin(list(seed))).select(
+        "file_name", status.alias("status"), F.lit(0).alias("record_count"),
+        err.cast("string").alias("error_message")), 0, 2)
+    return store
+
+
+def q_file_plan(spark, sf_dir):
+    """J3, F5, I6, I7 + the I5 cut: what a run would do with every file."""
+    from .incremental import IncrementalConfig, decide, list_files, plan_files
+    landing = _landing(spark, sf_dir)
+    store = _seeded_store(spark, landing)
+    plan = plan_files(list_files(landing, IncrementalConfig()), store.tracker_latest())
+    decided, rows, _ = decide(spark, plan, IncrementalConfig())
+    for r in rows.values():
+        r.unpersist()
+    return decided.select("file_name", "ordinal", "prev_status", "status", "record_count", "error_message")
+
+
+def _run(spark, sf_dir):
+    from .incremental import run_incremental
+    landing = _landing(spark, sf_dir)
+    store = _seeded_store(spark, landing)
+    return run_incremental(spark, landing, store, raise_on_error=False), store
+
+
+def q_incremental_run(spark, sf_dir):
+    """The run log of one incremental run (stops at the first failure)."""
+    res, _ = _run(spark, sf_dir)
+    return res.run_log.select("file_name", "status", "record_count", "error_message")
+
+
+def q_run_summary(spark, sf_dir):
+    """A10."""
+    from .incremental import run_summary
+    res, _ = _run(spark, sf_dir)
+    return run_summary(res.run_log)
+
+
+def q_upsert_latest(spark, sf_dir):
+    """K4: the order table after the run: one row per order id, last file wins."""
+    _, store = _run(spark, sf_dir)
+    return store.visible("orders")
+
+
+def q_upsert_customers(spark, sf_dir):
+    """K4: the customer table after the run."""
+    _, store = _run(spark, sf_dir)
+    return store.visible("customers")
+
+
+def q_tracker_history(spark, sf_dir):
+    """Tracker rows, newest first (processed_at not compared)."""
+    _, store = _run(spark, sf_dir)
+    return (store.tracker_latest().orderBy(F.col("processed_at").desc(), "file_name")
+            .select("file_name", "status", "record_count", "error_message"))
+
+
+def q_files_per_status(spark, sf_dir):
+    """R9."""
+    _, store = _run(spark, sf_dir)
+    return store.tracker_latest().groupBy("status").agg(F.count(F.lit(1)).alias("file_count"))
+
+
+def q_incremental_counts(spark, sf_dir):
+    """Customer and order counts and the order total after the run."""
+    _, store = _run(spark, sf_dir)
+    c = store.visible("customers").agg(F.count(F.lit(1)).alias("customer_count"))
+    o = store.visible("orders").agg(F.count(F.lit(1)).alias("order_count"),
+                                    amounts.sum_amount("total_amount").alias("order_total"))
+    return c.crossJoin(o)
+
+
 QUERIES: dict[str, Query] = {
     "monthly_sales": q_monthly_sales,
     "sales_by_city": q_sales_by_city,
@@ -284,4 +472,20 @@ QUERIES: dict[str, Query] = {
     "dq_verdict": q_dq_verdict,
     "orphan_orders": q_orphan_orders,
     "duplicate_keys": q_duplicate_keys,
+    "required_inputs": q_required_inputs,
+    "list_inputs": q_list_inputs,
+    "scan_by_name": q_scan_by_name,
+    "scan_customers": q_scan_customers,
+    "row_numbers": q_row_numbers,
+    "file_contract": q_file_contract,
+    "file_violations": q_file_violations,
+    "file_verdicts": q_file_verdicts,
+    "file_plan": q_file_plan,
+    "incremental_run": q_incremental_run,
+    "run_summary": q_run_summary,
+    "upsert_latest": q_upsert_latest,
+    "upsert_customers": q_upsert_customers,
+    "tracker_history": q_tracker_history,
+    "files_per_status": q_files_per_status,
+    "incremental_counts": q_incremental_counts,
 }

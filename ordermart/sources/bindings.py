@@ -100,7 +100,9 @@ def raw_orders(spark: SparkSession, sf_dir: str, messy: bool = False) -> DataFra
     # every 17th price carries a third decimal, which staging rounds away
     price = F.when(k % 17 == 3, F.concat(base_price, F.lit("5"))).otherwise(base_price)
     if messy:
-        oid = F.when(k % 701 == 0, F.concat(F.lit(" "), oid)).otherwise(oid)
+        oid = (F.when(k % 701 == 0, F.concat(F.lit(" "), oid))
+               .when(k % 1009 == 0, F.concat(oid, F.repeat(F.lit("-x"), 30)))
+               .otherwise(oid))
         cid = (F.when(k % 211 == 0, F.concat(F.lit("C"), _s(F.col("o_custkey") + ORPHAN_OFFSET)))
                .when(k % 701 == 1, F.concat(F.lit(" "), cid))
                .otherwise(cid))
@@ -109,9 +111,11 @@ def raw_orders(spark: SparkSession, sf_dir: str, messy: bool = False) -> DataFra
                  .otherwise(odate))
         qty = (F.when(k % 607 == 0, F.lit("0"))
                .when(k % 809 == 0, F.lit("99999999999"))
+               .when(k % 1019 == 0, F.lit("2000000000"))
                .otherwise(qty))
         price = (F.when(k % 389 == 0, F.concat(F.lit("-"), base_price))
                  .when(k % 919 == 0, F.lit("abc"))
+                 .when(k % 1013 == 0, F.lit("12345678901.5"))
                  .otherwise(price))
     out = o.select(oid.alias("order_id"), cid.alias("customer_id"),
                    odate.alias("order_date"), qty.alias("quantity"),
@@ -129,3 +133,121 @@ def tamper_totals(fact: DataFrame) -> DataFrame:
         F.when(key % 401 == 0, (F.col("total_amount") + F.lit(0.01).cast("decimal(3,2)"))
                .try_cast("decimal(14,2)"))
         .otherwise(F.col("total_amount")))
+
+
+# ---------------------------------------------------------------- raw files
+#
+# ``files_src``: the given tables cut into CSV objects of a landing zone.
+# Orders go to 20 files by order key (raw/orders/orders_00.csv ...), lines
+# ordered by key; customers to 4 files.  Chosen files carry one kind of
+# defect each, some headers are reordered, extended or short of a column,
+# one file has blank lines, and file 06 repeats order ids of file 03 with
+# other values (the later file must win the upsert).
+
+ORDER_FILES = 20
+CUSTOMER_FILES = 4
+ORDERS_PREFIX = "raw/orders"
+CUSTOMERS_PREFIX = "raw/customers"
+
+
+def _file_name(prefix: str, stem: str, idx: Column) -> Column:
+    return F.concat(F.lit(f"{prefix}/{stem}_"), F.lpad(idx.cast("string"), 2, "0"), F.lit(".csv"))
+
+
+def order_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file_name, file_idx, seq, and the order fields as text."""
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    k = F.col("o_orderkey")
+    idx = (k % ORDER_FILES).cast("int")
+    price = _s(F.col("o_totalprice").cast("decimal(12,2)"))
+    oid = (F.when(k % 60 == 6, F.concat(F.lit("O"), _s(k - 3)))
+           .when(k % 280 == 14, F.concat(F.lit("O"), _s(k), F.repeat(F.lit("-long"), 12)))
+           .otherwise(F.concat(F.lit("O"), _s(k))))
+    cid = F.when(k % 260 == 113, F.lit("  ")).otherwise(F.concat(F.lit("C"), _s(F.col("o_custkey"))))
+    odate = F.when(k % 140 == 67, F.lit("10/9/2026")).otherwise(_s(F.col("o_orderdate").cast("date")))
+    qty = (F.when(k % 220 == 11, F.lit("2.5"))
+           .when(k % 340 == 17, F.lit("0"))
+           .when(k % 260 == 13, F.lit("0"))
+           .when(k % 60 == 6, _s(k % 7 + 10))
+           .otherwise(_s(k % 5 + 1)))
+    uprice = (F.when(k % 320 == 16, F.concat(F.lit("-"), price))
+              .when(k % 360 == 18, F.lit("NaN"))
+              .when(k % 300 == 15, F.lit("Infinity"))
+              .when(k % 17 == 3, F.concat(price, F.lit("5")))
+              .otherwise(price))
+    return o.select(_file_name(ORDERS_PREFIX, "orders", idx).alias("file_name"), idx.alias("file_idx"),
+                    k.alias("seq"), oid.alias("order_id"), cid.alias("customer_id"),
+                    odate.alias("order_date"), qty.alias("quantity"), uprice.alias("unit_price"),
+                    F.lit("n").alias("note"))
+
+
+def customer_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _customer_rows(spark, sf_dir)
+    k = F.col("c_custkey")
+    idx = (k % CUSTOMER_FILES).cast("int")
+    return df.select(
+        _file_name(CUSTOMERS_PREFIX, "customers", idx).alias("file_name"), idx.alias("file_idx"),
+        k.alias("seq"),
+        F.concat(F.lit("C"), _s(k)).alias("customer_id"),
+        F.concat(F.initcap("c_mktsegment"), F.lit(", "), F.replace("c_name", F.lit("#"), F.lit(" "))).alias("customer_name"),
+        F.concat(F.lit(" "), F.col("n_name"), F.lit("\t")).alias("city"),
+        F.concat(F.lit("Customer."), _s(k), F.lit("@Example.com")).alias("email"),
+        _s(F.date_add(F.lit(BASE_DATE).cast("date"), (k % DATE_CYCLE).cast("int"))).alias("created_date"))
+
+
+def order_file_header(idx: Column) -> Column:
+    """Header of an order file by its index (reordered / extra / short)."""
+    std = ["order_id", "customer_id", "order_date", "quantity", "unit_price"]
+    return (F.when(idx == 19, F.array(*[F.lit(c) for c in std[:4]]))
+            .when(idx % 3 == 1, F.array(*[F.lit(c) for c in reversed(std)]))
+            .when(idx % 3 == 2, F.array(*[F.lit(c) for c in std + ["note"]]))
+            .otherwise(F.array(*[F.lit(c) for c in std])))
+
+
+def customer_file_header(idx: Column) -> Column:
+    std = ["customer_id", "customer_name", "city", "email", "created_date"]
+    return (F.when(idx % 2 == 1, F.array(*[F.lit(c) for c in [std[4], std[0], std[3], std[1], std[2]]]))
+            .otherwise(F.array(*[F.lit(c) for c in std])))
+
+
+def file_lines(rows: DataFrame, header: Column, fields: list[str], blank_after: Column | None = None) -> DataFrame:
+    """(file_name, seq, line): header first, then one CSV line per row.
+
+    Values are placed by the file's own header; ``blank_after`` rows are
+    followed by an empty line.
+    """
+    h = header
+    by_name = F.map_from_arrays(F.array(*[F.lit(c) for c in fields]), F.array(*[F.col(c) for c in fields]))
+    line = F.array_join(F.transform(h, lambda n: F.coalesce(_csv_cell(F.element_at(by_name, n)), F.lit(""))), ",")
+    data = rows.select("file_name", (F.col("seq") * 2).alias("seq"), line.alias("line"))
+    heads = (rows.groupBy("file_name").agg(F.first(header).alias("h"))
+             .select("file_name", F.lit(-1).cast("bigint").alias("seq"), F.array_join("h", ",").alias("line")))
+    out = data.unionByName(heads)
+    if blank_after is not None:
+        out = out.unionByName(rows.where(blank_after).select(
+            "file_name", (F.col("seq") * 2 + 1).alias("seq"), F.lit("").alias("line")))
+    return out
+
+
+def _csv_cell(c: Column) -> Column:
+    from .landing import csv_field
+    return csv_field(c)
+
+
+def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = order_file_rows(spark, sf_dir)
+    c = customer_file_rows(spark, sf_dir)
+    ol = file_lines(o, order_file_header(F.col("file_idx")),
+                    ["order_id", "customer_id", "order_date", "quantity", "unit_price", "note"],
+                    blank_after=(F.col("file_idx") == 5) & (F.col("seq") % 100 == 5))
+    cl = file_lines(c, customer_file_header(F.col("file_idx")),
+                    ["customer_id", "customer_name", "city", "email", "created_date"])
+    return ol.unionByName(cl)
+
+
+def materialize_landing(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write ``landing_lines`` as CSV objects under ``root``; returns root."""
+    from .landing import write_named_files
+    write_named_files(landing_lines(spark, sf_dir), root)
+    return root
