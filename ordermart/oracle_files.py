@@ -300,7 +300,19 @@ SELECT (SELECT count(*) FROM lc) AS customer_count, (SELECT count(*) FROM lo) AS
        (SELECT CAST(sum(total_amount) AS DECIMAL(38,2)) FROM lo) AS order_total""")
 
 
-ORACLES = {f.__name__: f for f in (
+def stream_ingest() -> str:
+    return tracker_history()
+
+
+def full_refresh() -> str:
+    from .oracle_sql import model_ctes
+    return with_(model_ctes(), """
+SELECT f.order_id, d.customer_key, f.customer_id, d.customer_name, d.city, f.order_date,
+       f.quantity, f.unit_price, f.total_amount
+FROM fact f JOIN dim d ON f.customer_id = d.customer_id""")
+
+
+ORACLES = {f.__name__: f for f in (stream_ingest, full_refresh,
     required_inputs, list_inputs, scan_by_name, scan_customers, row_numbers, file_contract,
     file_violations, file_verdicts, file_plan, incremental_run, run_summary, upsert_latest,
     upsert_customers, tracker_history, files_per_status, incremental_counts)}

@@ -448,6 +448,29 @@ def q_incremental_counts(spark, sf_dir):
     return c.crossJoin(o)
 
 
+def q_stream_ingest(spark, sf_dir):
+    """I8: the same ingestion as a file stream (availableNow); tracker afterwards."""
+    from ..streaming.ingest import run_stream_once
+    landing = _landing(spark, sf_dir)
+    store = _seeded_store(spark, landing)
+    run_stream_once(spark, landing, store, scratch_path(spark, "stream-checkpoint"))
+    return store.tracker_latest().select("file_name", "status", "record_count", "error_message")
+
+
+def q_full_refresh(spark, sf_dir):
+    """CSV objects -> staging -> transform -> validate -> dim/fact; fact joined to dim."""
+    from ..sources.bindings import full_refresh_lines
+    from ..sources.files import Landing
+    from ..sources.landing import write_named_files
+    from .full_refresh import fact_with_customer, run_full_refresh
+    root = scratch_path(spark, "landing-full")
+    write_named_files(full_refresh_lines(spark, sf_dir), root)
+    landing = Landing(spark, root)
+    wh = Warehouse(spark, scratch_path(spark, "warehouse-full"))
+    res = run_full_refresh(spark, landing, wh, "raw/full/customers", "raw/full/orders")
+    return fact_with_customer(res.fact, res.dim)
+
+
 QUERIES: dict[str, Query] = {
     "monthly_sales": q_monthly_sales,
     "sales_by_city": q_sales_by_city,
@@ -488,4 +511,6 @@ QUERIES: dict[str, Query] = {
     "tracker_history": q_tracker_history,
     "files_per_status": q_files_per_status,
     "incremental_counts": q_incremental_counts,
+    "stream_ingest": q_stream_ingest,
+    "full_refresh": q_full_refresh,
 }

@@ -206,11 +206,26 @@ def publish_rows(kind: str, rows: DataFrame) -> DataFrame:
         "file_name", "file_ordinal", "row_number")
 
 
+def listing_from_paths(landing: Landing, files: DataFrame, cfg: IncrementalConfig) -> DataFrame:
+    """Listing (file_name, path, length, kind, ordinal) for given file paths.
+
+    Used by the stream: a micro-batch brings new paths; only ``*.csv``
+    under the two prefixes count, ordered customers first, then by name.
+    """
+    name = landing.key(F.col("path"))
+    cp, op = cfg.customers_prefix.strip("/") + "/", cfg.orders_prefix.strip("/") + "/"
+    kind = F.when(name.startswith(cp), "customers").when(name.startswith(op), "orders")
+    ls = (files.select(name.alias("file_name"), "path", "length", kind.alias("kind"))
+          .where(F.col("kind").isNotNull() & F.lower("file_name").endswith(".csv")))
+    w = Window.orderBy(F.when(F.col("kind") == "customers", 0).otherwise(1), "file_name")
+    return ls.withColumn("ordinal", F.row_number().over(w))
+
+
 def run_incremental(spark: SparkSession, landing: Landing, store: IngestionStore,
                     cfg: IncrementalConfig | None = None, raise_on_error: bool = True,
-                    batch_id: int | None = None) -> RunResult:
+                    batch_id: int | None = None, listing: DataFrame | None = None) -> RunResult:
     cfg = cfg or IncrementalConfig()
-    listing = list_files(landing, cfg)
+    listing = list_files(landing, cfg) if listing is None else listing
     check_any_files(listing)
     plan = plan_files(listing, store.tracker_latest())
     decided, rows_by_kind, cut = decide(spark, plan, cfg)

@@ -251,3 +251,24 @@ def materialize_landing(spark: SparkSession, sf_dir: str, root: str) -> str:
     from .landing import write_named_files
     write_named_files(landing_lines(spark, sf_dir), root)
     return root
+
+
+def full_refresh_lines(spark: SparkSession, sf_dir: str, messy: bool = False) -> DataFrame:
+    """The raw customers/orders as CSV objects under raw/full/ (several files each)."""
+    from .landing import csv_line
+    parts = []
+    for stem, df, n in (("customers", raw_customers(spark, sf_dir, messy), 4),
+                        ("orders", raw_orders(spark, sf_dir, messy), 8)):
+        cols = df.columns
+        key = F.xxhash64(*cols)
+        rows = df.select(
+            F.concat(F.lit(f"raw/full/{stem}/{stem}_"), F.pmod(key, F.lit(n)).cast("string"), F.lit(".csv"))
+            .alias("file_name"),
+            F.monotonically_increasing_id().alias("seq"), csv_line(cols).alias("line"))
+        heads = rows.select("file_name").distinct().select(
+            "file_name", F.lit(-1).cast("bigint").alias("seq"), F.lit(",".join(cols)).alias("line"))
+        parts += [rows, heads]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
