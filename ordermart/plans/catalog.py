@@ -274,10 +274,11 @@ def _scan(spark, landing, kind):
     from .incremental import KIND_COLUMNS
     from ..sources.files import file_contract, project_by_name, scan_records
     ls = landing.list_csv(CUSTOMERS_PREFIX if kind == "customers" else ORDERS_PREFIX)
-    paths = [r["path"] for r in ls.select("path").collect()]
-    records = scan_records(spark, paths)
-    rows = project_by_name(records, KIND_COLUMNS[kind]).withColumn("file_name", landing.key(F.col("path")))
-    return ls, records, rows, file_contract(ls, records, KIND_COLUMNS[kind])
+    meta = ls.select("path", "length").collect()
+    bound = len(meta) + sum(int(r["length"]) for r in meta) // (128 << 20)
+    scan = scan_records(spark, [r["path"] for r in meta], split_bound=bound)
+    rows = project_by_name(scan, KIND_COLUMNS[kind]).withColumn("file_name", landing.key(F.col("path")))
+    return ls, scan, rows, file_contract(ls, scan, KIND_COLUMNS[kind])
 
 
 def q_required_inputs(spark, sf_dir):
@@ -388,7 +389,7 @@ def q_file_plan(spark, sf_dir):
     landing = _landing(spark, sf_dir)
     store = _seeded_store(spark, landing)
     plan = plan_files(list_files(landing, IncrementalConfig()), store.tracker_latest())
-    decided, rows, _ = decide(spark, plan, IncrementalConfig())
+    decided, rows, _ = decide(spark, landing, plan, IncrementalConfig())
     for r in rows.values():
         r.unpersist()
     return decided.select("file_name", "ordinal", "prev_status", "status", "record_count", "error_message")

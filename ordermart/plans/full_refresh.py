@@ -34,8 +34,9 @@ def read_raw(landing: Landing, prefix: str, columns: list[str]) -> DataFrame:
     meta = ls.select("path", "length").collect()      # object paths for the reader
     if not meta:
         raise MissingInput(f"Required input not found: {prefix}")
-    rec = scan_records(landing.spark, [r["path"] for r in meta])
-    return project_by_name(rec, columns).select(*columns)
+    scan = scan_records(landing.spark, [r["path"] for r in meta],
+                        split_bound=len(meta) + sum(int(r["length"]) for r in meta) // (128 << 20))
+    return project_by_name(scan, columns).select(*columns)
 
 
 def run_full_refresh(spark: SparkSession, landing: Landing, warehouse: Warehouse,

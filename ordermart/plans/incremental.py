@@ -142,28 +142,26 @@ def _split_bound(files: list) -> int:
     return len(files) + sum(int(r["length"]) for r in files) // (128 << 20)
 
 
-def scan_kind(spark: SparkSession, files: DataFrame, kind: str, max_fields: int = 64):
-    """Rows by name (+ file_name, file_ordinal) and the contract of each file."""
+def scan_kind(spark: SparkSession, landing: Landing, files: DataFrame, kind: str, max_fields: int = 64):
+    """Rows by name (+ file_name) and the contract of each file."""
     # The reader needs the object paths, as any Spark file source does:
     # one small row per file to process.
     meta = files.select("path", "length").collect()
     cols = KIND_COLUMNS[kind]
     if not meta:
         return None, None
-    records = scan_records(spark, [r["path"] for r in meta], max_fields, _split_bound(meta))
-    small = files.select("path", "file_name", F.col("ordinal").alias("file_ordinal"))
-    small = F.broadcast(small) if len(meta) <= BROADCAST_SPLITS else small
-    rows = project_by_name(records, cols).join(small, "path", "inner")
-    contract = file_contract(files.select("file_name", "path"), records, cols)
+    scan = scan_records(spark, [r["path"] for r in meta], max_fields, _split_bound(meta))
+    rows = project_by_name(scan, cols).withColumn("file_name", landing.key(F.col("path")))
+    contract = file_contract(files.select("file_name", "path"), scan, cols)
     return rows, contract
 
 
-def decide(spark: SparkSession, plan: DataFrame, cfg: IncrementalConfig):
+def decide(spark: SparkSession, landing: Landing, plan: DataFrame, cfg: IncrementalConfig):
     """Verdict per file; statuses after the stop-at-first-failure cut."""
     todo = plan.where(F.col("action") == "PROCESS")
     verdicts, rows_by_kind = None, {}
     for kind in ("customers", "orders"):
-        rows, contract = scan_kind(spark, todo.where(F.col("kind") == kind), kind, cfg.max_fields)
+        rows, contract = scan_kind(spark, landing, todo.where(F.col("kind") == kind), kind, cfg.max_fields)
         if rows is None:
             continue
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -228,7 +226,7 @@ def run_incremental(spark: SparkSession, landing: Landing, store: IngestionStore
     listing = list_files(landing, cfg) if listing is None else listing
     check_any_files(listing)
     plan = plan_files(listing, store.tracker_latest())
-    decided, rows_by_kind, cut = decide(spark, plan, cfg)
+    decided, rows_by_kind, cut = decide(spark, landing, plan, cfg)
     batch = batch_id if batch_id is not None else store.next_batch()
     touched = decided.where(F.col("status").isin(SUCCESS, FAILED))
     store.record_events(touched.select("file_name", F.lit(PROCESSING).alias("status"),
@@ -236,9 +234,10 @@ def run_incremental(spark: SparkSession, landing: Landing, store: IngestionStore
                                        F.lit(None).cast("string").alias("error_message")), batch, 1)
     # one row per good file of this run, whose paths the driver already
     # handed to the reader: bounded, so broadcast
-    good = F.broadcast(decided.where(F.col("status") == SUCCESS).select("file_name"))
+    good = F.broadcast(decided.where(F.col("status") == SUCCESS)
+                       .select("file_name", F.col("ordinal").alias("file_ordinal")))
     for kind, rows in rows_by_kind.items():
-        pub = publish_rows(kind, rows.join(good, "file_name", "left_semi"))
+        pub = publish_rows(kind, rows.join(good, "file_name", "inner"))
         store.table(kind).append(pub, batch)
     store.record_events(touched.select("file_name", "status", "record_count", "error_message"), batch, 2)
     for rows in rows_by_kind.values():

@@ -221,8 +221,9 @@ def file_lines(rows: DataFrame, header: Column, fields: list[str], blank_after:
     by_name = F.map_from_arrays(F.array(*[F.lit(c) for c in fields]), F.array(*[F.col(c) for c in fields]))
     line = F.array_join(F.transform(h, lambda n: F.coalesce(_csv_cell(F.element_at(by_name, n)), F.lit(""))), ",")
     data = rows.select("file_name", (F.col("seq") * 2).alias("seq"), line.alias("line"))
-    heads = (rows.groupBy("file_name").agg(F.first(header).alias("h"))
-             .select("file_name", F.lit(-1).cast("bigint").alias("seq"), F.array_join("h", ",").alias("line")))
+    # the header depends only on the file: a distinct of (file, index), no aggregate buffer
+    heads = (rows.select("file_name", "file_idx").distinct()
+             .select("file_name", F.lit(-1).cast("bigint").alias("seq"), F.array_join(header, ",").alias("line")))
     out = data.unionByName(heads)
     if blank_after is not None:
         out = out.unionByName(rows.where(blank_after).select(

@@ -4,16 +4,17 @@ read, never changed (S7).
 
 Scan design, one pass over any mix of headers:
 
-* ``spark.read.text`` + the built-in ``from_csv`` parse every record
-  into a fixed array of ``max_fields`` strings.  Unlike the CSV source
-  this keeps whitespace-only records (Python's csv module yields them
-  too) and drops only empty lines, which are not records either.
+* ``spark.read.text`` + one ``regexp_extract_all`` split every record
+  into its fields (quoted fields, doubled quotes; any field count).
+  Unlike the CSV source this keeps whitespace-only records (Python's
+  csv module yields them too) and drops only empty lines, which are not
+  records either.
 * Every record gets its split (``_metadata.file_path``,
   ``_metadata.file_block_start``) and ``monotonically_increasing_id``.
-  One aggregation gives per split its first id, its record count and its
-  first record; a running sum over the splits of a file (one row per
-  split) gives the offset.  Record number = offset + id - first id + 1:
-  the header is 1, data starts at 2.  No window runs over data rows.
+  One hash aggregation gives per split its first id and record count; a
+  running sum over the splits of a file (one row per split) gives the
+  offset.  Record number = offset + id - first id + 1: the header is 1,
+  data starts at 2.  No window and no sort runs over data rows.
 * The first record of a file is its header; each required column is
   taken from the header position of its name (case-sensitive, the last
   one wins for a repeated name, as ``csv.DictReader`` does).
@@ -29,6 +30,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..session import checkpoint_root
+
 MAX_FIELDS = 64
 # Split summaries up to this many rows are broadcast (about 20 MB).
 BROADCAST_SPLITS = 50_000
@@ -107,45 +110,79 @@ def check_any_files(listing: DataFrame) -> None:
         raise MissingInput("No CSV files found under the configured customer/order prefixes.")
 
 
-def _ddl(n: int) -> str:
-    return ", ".join(f"_c{i} string" for i in range(n))
-
-
-def scan_records(spark: SparkSession, paths: list[str], max_fields: int = MAX_FIELDS,
-                 split_bound: int | None = None) -> DataFrame:
-    """S4 + S6: every CSV record with (path, record_number, fields, header)."""
-    lines = spark.read.text(paths).where(F.col("value") != "")
-    recs = lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("rid"),
-        F.from_csv("value", _ddl(max_fields), {"escape": '"', "mode": "PERMISSIVE"}).alias("r"))
-    recs = recs.select("path", "block", "rid",
-                       F.array(*[F.col(f"r._c{i}") for i in range(max_fields)]).alias("fields"))
-    splits = recs.groupBy("path", "block").agg(
-        F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n"),
-        F.min_by("fields", "rid").alias("first_fields"))
+# One CSV field: a quoted field (doubled quotes inside) or a run of
+# non-commas, starting at the line start or right after a comma.
+CSV_FIELD_RE = '(?<=^|,)("(?:[^"]|"")*"|[^,]*)'
+
+
+def csv_fields(line) -> Column:
+    """Split one CSV record into its fields (RFC 4180 quoting, no newlines)."""
+    raw = F.regexp_extract_all(line, F.lit(CSV_FIELD_RE), 1)
+    return F.transform(raw, lambda x: F.when(
+        x.startswith('"') & x.endswith('"') & (F.length(x) >= 2),
+        F.replace(F.substring(x, 2, 1 << 30).substr(F.lit(1), F.length(x) - 2), F.lit('""'), F.lit('"')))
+        .otherwise(x))
+
+
+@dataclass
+class CsvScan:
+    records: DataFrame   # path, record_number, fields, header
+    splits: DataFrame    # path, block, first_rid, n, offset
+    headers: DataFrame   # path, header
+
+
+def scan_records(spark: SparkSession, paths: list[str], max_fields: int | None = None,
+                 split_bound: int | None = None) -> CsvScan:
+    """S4 + S6: every CSV record with (path, record_number, fields, header).
+
+    Three light passes over the text, no shuffle of records:
+    1. per split: first id and record count (hash aggregate, one row per split);
+    2. header: the first record of each file, found by a broadcast semi-join
+       on (path, first id) and parsed alone;
+    3. every record: broadcast joins with the split offsets and headers.
+    ``max_fields`` is kept for API compatibility: any field count is read.
+    """
+    recs = (spark.read.text(paths).where(F.col("value") != "")
+            .select(F.col("_metadata.file_path").alias("path"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("rid"), "value"))
     w = Window.partitionBy("path").orderBy("block")
-    splits = splits.select(
-        "path", "block", "first_rid", "n",
-        F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
-        F.first("first_fields").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("header"))
-    small = splits if split_bound is None or split_bound > BROADCAST_SPLITS else F.broadcast(splits)
-    return (recs.join(small, ["path", "block"], "inner")
-            .select("path",
-                    (F.col("offset") + F.col("rid") - F.col("first_rid") + 1).alias("record_number"),
-                    "fields", "header"))
+    splits = (recs.groupBy("path", "block")
+              .agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n"))
+              .select("path", "block", "first_rid", "n",
+                      F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                 F.lit(0)).alias("offset"),
+                      F.row_number().over(w).alias("split_rank")))
+    bounded = split_bound is not None and split_bound <= BROADCAST_SPLITS
+    small = F.broadcast if bounded else (lambda df: df)
+    # Both summaries are small (one row per split / per file); they are
+    # written to the shared checkpoint folder once, so every later use is a
+    # single pass over the text and the record ids they hold stay fixed.
+    checkpoint_root(spark)
+    splits = splits.checkpoint(eager=True)
+    firsts = splits.where(F.col("split_rank") == 1).select("path", F.col("first_rid").alias("rid"))
+    headers = (recs.join(small(firsts), ["path", "rid"], "left_semi")
+               .select("path", csv_fields("value").alias("header"))).checkpoint(eager=True)
+    numbered = (recs.join(small(splits.select("path", "block", "first_rid", "offset")),
+                          ["path", "block"], "inner")
+                .select("path", (F.col("offset") + F.col("rid") - F.col("first_rid") + 1)
+                        .alias("record_number"), "value"))
+    # left join: predicates on the parsed fields must not be pushed into it
+    records = (numbered.join(small(headers), "path", "left")
+               .select("path", "record_number", csv_fields("value").alias("fields"), "header"))
+    return CsvScan(records=records, splits=splits, headers=headers)
 
 
 def field_by_name(name: str) -> Column:
-    """Value of header column ``name`` (last occurrence), null when absent."""
+    """Value of header column ``name`` (last occurrence), null when absent or short."""
     rpos = F.array_position(F.reverse("header"), F.lit(name))
-    pos = (F.size("header") - rpos + 1).cast("int")
-    return F.when(rpos > 0, F.element_at("fields", pos))
+    idx = (F.size("header") - rpos).cast("int")
+    return F.when(rpos > 0, F.get("fields", idx))
 
 
-def project_by_name(records: DataFrame, columns: list[str]) -> DataFrame:
+def project_by_name(scan: CsvScan | DataFrame, columns: list[str]) -> DataFrame:
     """Data records (number >= 2) with the required columns by header name."""
+    records = scan.records if isinstance(scan, CsvScan) else scan
     return (records.where(F.col("record_number") >= 2)
             .select("path", F.col("record_number").alias("row_number"),
                     *[field_by_name(c).alias(c) for c in columns]))
@@ -161,16 +198,16 @@ def python_list_repr(arr: Column) -> Column:
                     F.lit("]"))
 
 
-def file_contract(files: DataFrame, records: DataFrame, columns: list[str]) -> DataFrame:
+def file_contract(files: DataFrame, scan: CsvScan, columns: list[str]) -> DataFrame:
     """S5 per file: data rows exist, then required headers present.
 
-    ``files`` is the listing (file_name, path, ...); files without any
-    record (empty objects) come from it through the left join.
+    Works on the split summary and the headers (one row per split / file),
+    never on the records.  ``files`` is the listing (file_name, path, ...);
+    empty objects have no record and come in through the left join.
     Returns file_name, path, data_rows, missing_columns, contract_error.
     """
-    stats = (records.groupBy("path")
-             .agg((F.count(F.lit(1)) - 1).alias("data_rows"),
-                  F.min_by("header", "record_number").alias("header")))
+    counts = scan.splits.groupBy("path").agg((F.sum("n") - 1).alias("data_rows"))
+    stats = counts.join(scan.headers, "path", "left")
     required = F.array(*[F.lit(c) for c in columns])
     j = files.join(stats, "path", "left")
     missing = F.array_sort(F.array_except(required, F.coalesce(header_names(F.col("header")),
