@@ -196,34 +196,46 @@ def customer_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.date_add(F.lit(BASE_DATE).cast("date"), (k % DATE_CYCLE).cast("int"))).alias("created_date"))
 
 
-def order_file_header(idx: Column) -> Column:
-    """Header of an order file by its index (reordered / extra / short)."""
-    std = ["order_id", "customer_id", "order_date", "quantity", "unit_price"]
-    return (F.when(idx == 19, F.array(*[F.lit(c) for c in std[:4]]))
-            .when(idx % 3 == 1, F.array(*[F.lit(c) for c in reversed(std)]))
-            .when(idx % 3 == 2, F.array(*[F.lit(c) for c in std + ["note"]]))
-            .otherwise(F.array(*[F.lit(c) for c in std])))
+# Header layouts of the raw files: (condition on file index, columns).
+_ORDER_STD = ["order_id", "customer_id", "order_date", "quantity", "unit_price"]
+_CUSTOMER_STD = ["customer_id", "customer_name", "city", "email", "created_date"]
 
 
-def customer_file_header(idx: Column) -> Column:
-    std = ["customer_id", "customer_name", "city", "email", "created_date"]
-    return (F.when(idx % 2 == 1, F.array(*[F.lit(c) for c in [std[4], std[0], std[3], std[1], std[2]]]))
-            .otherwise(F.array(*[F.lit(c) for c in std])))
+def order_file_layouts(idx: Column) -> list[tuple[Column, list[str]]]:
+    """Order files: 19 lacks unit_price, idx%3==1 reversed, idx%3==2 extra column."""
+    return [(idx == 19, _ORDER_STD[:4]),
+            (idx % 3 == 1, list(reversed(_ORDER_STD))),
+            (idx % 3 == 2, _ORDER_STD + ["note"]),
+            (F.lit(True), _ORDER_STD)]
 
 
-def file_lines(rows: DataFrame, header: Column, fields: list[str], blank_after: Column | None = None) -> DataFrame:
+def customer_file_layouts(idx: Column) -> list[tuple[Column, list[str]]]:
+    s = _CUSTOMER_STD
+    return [(idx % 2 == 1, [s[4], s[0], s[3], s[1], s[2]]), (F.lit(True), s)]
+
+
+def _by_layout(layouts, build) -> Column:
+    expr = None
+    for cond, cols in layouts:
+        v = build(cols)
+        expr = F.when(cond, v) if expr is None else expr.when(cond, v)
+    return expr
+
+
+def file_lines(rows: DataFrame, layouts, blank_after: Column | None = None) -> DataFrame:
     """(file_name, seq, line): header first, then one CSV line per row.
 
-    Values are placed by the file's own header; ``blank_after`` rows are
-    followed by an empty line.
+    Values are placed by the file's own header layout (a CASE over the few
+    layouts, all in generated code); ``blank_after`` rows are followed by
+    an empty line.
     """
-    h = header
-    by_name = F.map_from_arrays(F.array(*[F.lit(c) for c in fields]), F.array(*[F.col(c) for c in fields]))
-    line = F.array_join(F.transform(h, lambda n: F.coalesce(_csv_cell(F.element_at(by_name, n)), F.lit(""))), ",")
+    from .landing import csv_field
+    line = _by_layout(layouts, lambda cols: F.concat_ws(",", *[csv_field(c) for c in cols]))
     data = rows.select("file_name", (F.col("seq") * 2).alias("seq"), line.alias("line"))
     # the header depends only on the file: a distinct of (file, index), no aggregate buffer
+    head = _by_layout(layouts, lambda cols: F.lit(",".join(cols)))
     heads = (rows.select("file_name", "file_idx").distinct()
-             .select("file_name", F.lit(-1).cast("bigint").alias("seq"), F.array_join(header, ",").alias("line")))
+             .select("file_name", F.lit(-1).cast("bigint").alias("seq"), head.alias("line")))
     out = data.unionByName(heads)
     if blank_after is not None:
         out = out.unionByName(rows.where(blank_after).select(
@@ -231,19 +243,12 @@ def file_lines(rows: DataFrame, header: Column, fields: list[str], blank_after:
     return out
 
 
-def _csv_cell(c: Column) -> Column:
-    from .landing import csv_field
-    return csv_field(c)
-
-
 def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = order_file_rows(spark, sf_dir)
     c = customer_file_rows(spark, sf_dir)
-    ol = file_lines(o, order_file_header(F.col("file_idx")),
-                    ["order_id", "customer_id", "order_date", "quantity", "unit_price", "note"],
+    ol = file_lines(o, order_file_layouts(F.col("file_idx")),
                     blank_after=(F.col("file_idx") == 5) & (F.col("seq") % 100 == 5))
-    cl = file_lines(c, customer_file_header(F.col("file_idx")),
-                    ["customer_id", "customer_name", "city", "email", "created_date"])
+    cl = file_lines(c, customer_file_layouts(F.col("file_idx")))
     return ol.unionByName(cl)
 
 

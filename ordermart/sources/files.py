@@ -49,6 +49,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString().rstrip("/")
 
 
+def _norm_uri(p: str) -> str:
+    """The file index writes local files as file:///x, scans as file:/x."""
+    return "file:/" + p[len("file:///"):] if p.startswith("file:///") else p
+
+
 LISTING_SCHEMA = T.StructType([
     T.StructField("file_name", T.StringType()), T.StructField("path", T.StringType()),
     T.StructField("length", T.LongType()), T.StructField("modification_time", T.TimestampType())])
@@ -73,17 +78,26 @@ class Landing:
     def list_csv(self, prefix: str) -> DataFrame:
         """Recursive listing of ``*.csv`` (any case) under a prefix.
 
-        Only file metadata is read (the plan's ReadSchema has no content).
-        A missing prefix is an empty listing.
+        The object list comes from Spark's file index (driver-side file
+        metadata, as for any file source); sizes and times come from a
+        ``binaryFile`` scan whose plan reads no content.  Zero-length
+        objects produce no scan row, so they are kept by a left join with
+        length 0.  A missing prefix is an empty listing.
         """
         base = f"{self.root}/{prefix.strip('/')}"
         if not self.exists(prefix.strip("/")):
             return self.spark.createDataFrame([], LISTING_SCHEMA)
-        ls = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-              .load(base).select("path", "length", F.col("modificationTime").alias("modification_time")))
-        return (ls.where(F.lower("path").endswith(".csv") & ~F.col("path").endswith("/"))
-                .select(self.key(F.col("path")).alias("file_name"), "path", "length",
-                        "modification_time"))
+        src = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+        names = [_norm_uri(p) for p in src.inputFiles()
+                 if p.lower().endswith(".csv") and not p.endswith("/")]
+        if not names:
+            return self.spark.createDataFrame([], LISTING_SCHEMA)
+        objects = self.spark.createDataFrame([(p,) for p in names], "path string")
+        meta = src.select("path", "length", F.col("modificationTime").alias("modification_time"))
+        ls = objects.join(meta, "path", "left")
+        return ls.select(self.key(F.col("path")).alias("file_name"), "path",
+                         F.coalesce("length", F.lit(0)).cast("long").alias("length"),
+                         "modification_time")
 
     def listing(self, prefixes: list[str]) -> DataFrame:
         out = None
