@@ -21,6 +21,10 @@ PY_WHITESPACE_CLASS_RE2 = (
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
 _STRIP_RE = f"^{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+\\z"
+# The same set as plain characters, for btrim (no regex engine per row).
+PY_WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                       + "".join(chr(c) for c in range(0x2000, 0x200B))
+                       + "\u2028\u2029\u202f\u205f\u3000")
 
 # POSIX [[:space:]]: space, \t, \n, \x0B, \f, \r.  Java's \p{Space} is the
 # same set (Java reads a bare "[[:space:]]" as the letters ":space").
@@ -71,7 +75,15 @@ def lower_trim(c) -> Column:
 
 
 def strip_all(c) -> Column:
-    """P5: remove leading/trailing whitespace like Python ``str.strip()``."""
+    """P5: remove leading/trailing whitespace like Python ``str.strip()``.
+
+    ``btrim`` with the character set works on the UTF-8 bytes directly;
+    the regex form (``strip_all_regex``) gives the same result.
+    """
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE_CHARS))
+
+
+def strip_all_regex(c) -> Column:
     return F.regexp_replace(_col(c), _STRIP_RE, "")
 
 

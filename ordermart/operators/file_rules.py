@@ -134,9 +134,12 @@ def row_checks(kind: str) -> list[Column]:
 
 
 def first_row_error(kind: str) -> Column:
-    """struct(phase, seq, message) of a prepared row's first violation, or null."""
-    arr = F.filter(F.array(*row_checks(kind)), lambda x: x.isNotNull())
-    return F.array_min(arr)
+    """struct(phase, seq, message) of a prepared row's first violation, or null.
+
+    ``least`` skips nulls and orders structs field by field, so it is the
+    smallest violated (phase, seq) without building an array or a lambda.
+    """
+    return F.least(*row_checks(kind))
 
 
 def row_violations(rows: DataFrame, kind: str) -> DataFrame:
@@ -163,7 +166,8 @@ def file_verdicts(contract: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
     Pass 2 rebuilds the message for the one winning row of each file
     (a broadcast semi-join; one row per failing file).
     """
-    keyed = prepare(rows, kind).select("file_name", _error_key(first_row_error(kind)).alias("ekey"))
+    keyed = (prepare(rows, kind).select("file_name", "row_number", first_row_error(kind).alias("e"))
+             .select("file_name", _error_key(F.col("e")).alias("ekey")))
     winners = (keyed.groupBy("file_name").agg(F.min("ekey").alias("ekey"))
                .where(F.col("ekey").isNotNull())
                .select("file_name", F.shiftright("ekey", 12).bitwiseAND(F.lit((1 << 40) - 1))
