@@ -279,6 +279,10 @@ def upsert_latest() -> str:
     return with_(_run_ctes(), LATEST_ORDERS)
 
 
+def upsert_compacted() -> str:
+    return upsert_latest()
+
+
 def upsert_customers() -> str:
     return with_(_run_ctes(), LATEST_CUSTOMERS)
 
@@ -312,7 +316,7 @@ SELECT f.order_id, d.customer_key, f.customer_id, d.customer_name, d.city, f.ord
 FROM fact f JOIN dim d ON f.customer_id = d.customer_id""")
 
 
-ORACLES = {f.__name__: f for f in (stream_ingest, full_refresh,
+ORACLES = {f.__name__: f for f in (stream_ingest, full_refresh, upsert_compacted,
     required_inputs, list_inputs, scan_by_name, scan_customers, row_numbers, file_contract,
     file_violations, file_verdicts, file_plan, incremental_run, run_summary, upsert_latest,
     upsert_customers, tracker_history, files_per_status, incremental_counts)}

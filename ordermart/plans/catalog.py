@@ -427,6 +427,13 @@ def q_upsert_latest(spark, sf_dir):
     return store.visible("orders")
 
 
+def q_upsert_compacted(spark, sf_dir):
+    """K4 after compaction: the snapshot + later batches give the same view."""
+    _, store = _run(spark, sf_dir)
+    store.compact("orders")
+    return store.visible("orders")
+
+
 def q_upsert_customers(spark, sf_dir):
     """K4: the customer table after the run."""
     _, store = _run(spark, sf_dir)
@@ -514,6 +521,7 @@ QUERIES: dict[str, Query] = {
     "incremental_run": q_incremental_run,
     "run_summary": q_run_summary,
     "upsert_latest": q_upsert_latest,
+    "upsert_compacted": q_upsert_compacted,
     "upsert_customers": q_upsert_customers,
     "tracker_history": q_tracker_history,
     "files_per_status": q_files_per_status,

@@ -78,14 +78,57 @@ class IngestionStore:
     def next_batch(self) -> int:
         return max(self.tracker.max_batch(), self.customers.max_batch(), self.orders.max_batch()) + 1
 
+    def _columns(self, kind: str) -> list[str]:
+        return [f.name for f in (INC_CUSTOMERS if kind == "customers" else INC_ORDERS).fields]
+
+    def _snapshot_root(self, kind: str) -> str:
+        return f"{self.root}/snapshots/{kind}"
+
+    def latest_snapshot(self, kind: str) -> int | None:
+        """Batch id of the newest complete snapshot (directory listing only)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self._snapshot_root(kind))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return None
+        done = [int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
+                if st.getPath().getName().startswith("batch=")
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+        return max(done) if done else None
+
     def visible(self, kind: str) -> DataFrame:
-        """K4 read side: rows of files that succeeded in their batch, latest per key."""
+        """K4 read side: rows of files that succeeded in their batch, latest per key.
+
+        With a snapshot at batch B, only log partitions after B are read
+        (a partition filter) and the snapshot rows rank before all of them.
+        """
         log = self.table(kind).log()
         ok = (self.tracker.log().where(F.col("status") == SUCCESS)
               .select("file_name", "batch_id").distinct())
-        latest = self.table(kind).latest(log.join(ok, ["file_name", "batch_id"], "left_semi"))
-        cols = [f.name for f in (INC_CUSTOMERS if kind == "customers" else INC_ORDERS).fields]
-        return latest.select(*cols)
+        snap = self.latest_snapshot(kind)
+        rows = log.join(ok, ["file_name", "batch_id"], "left_semi")
+        if snap is not None:
+            rows = rows.where(F.col("batch_id") > snap)
+            base = self.spark.read.parquet(f"{self._snapshot_root(kind)}/batch={snap}")
+            base = base.select(*[F.col(c) for c in self._columns(kind)],
+                               F.lit(None).cast("string").alias("file_name"),
+                               F.lit(-1).cast("long").alias("file_ordinal"),
+                               F.lit(-1).cast("long").alias("row_number"),
+                               F.lit(snap).cast("long").alias("batch_id"))
+            rows = rows.unionByName(base)
+        return self.table(kind).latest(rows).select(*self._columns(kind))
+
+    def compact(self, kind: str) -> int:
+        """Write the current latest view as a snapshot at the newest batch.
+
+        Later reads start from the snapshot, so the cost of the latest view
+        stays proportional to the table plus the batches since, not to
+        the whole history.  The log itself is left in place.
+        """
+        batch = max(self.tracker.max_batch(), self.table(kind).max_batch())
+        view = self.visible(kind)
+        view.write.mode("overwrite").parquet(f"{self._snapshot_root(kind)}/batch={batch}")
+        return batch
 
     def record_events(self, events: DataFrame, batch_id: int, event_seq: int) -> None:
         """K5: tracker upsert; error text cut to 1000 characters, null when none."""

@@ -33,8 +33,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from ..session import checkpoint_root
 
 MAX_FIELDS = 64
-# Split summaries up to this many rows are broadcast (about 20 MB).
+# Split summaries up to this many rows are broadcast (about 20 MB), and
+# per-file headers up to this many files.
 BROADCAST_SPLITS = 50_000
+BROADCAST_FILES = 50_000
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -169,20 +171,22 @@ def scan_records(spark: SparkSession, paths: list[str], max_fields: int | None =
                       F.row_number().over(w).alias("split_rank")))
     bounded = split_bound is not None and split_bound <= BROADCAST_SPLITS
     small = F.broadcast if bounded else (lambda df: df)
+    # headers: one row per file, and the file list is already on the driver
+    per_file = F.broadcast if len(paths) <= BROADCAST_FILES else (lambda df: df)
     # Both summaries are small (one row per split / per file); they are
     # written to the shared checkpoint folder once, so every later use is a
     # single pass over the text and the record ids they hold stay fixed.
     checkpoint_root(spark)
     splits = splits.checkpoint(eager=True)
     firsts = splits.where(F.col("split_rank") == 1).select("path", F.col("first_rid").alias("rid"))
-    headers = (recs.join(small(firsts), ["path", "rid"], "left_semi")
+    headers = (recs.join(per_file(firsts), ["path", "rid"], "left_semi")
                .select("path", csv_fields("value").alias("header"))).checkpoint(eager=True)
     numbered = (recs.join(small(splits.select("path", "block", "first_rid", "offset")),
                           ["path", "block"], "inner")
                 .select("path", (F.col("offset") + F.col("rid") - F.col("first_rid") + 1)
                         .alias("record_number"), "value"))
     # left join: predicates on the parsed fields must not be pushed into it
-    records = (numbered.join(small(headers), "path", "left")
+    records = (numbered.join(per_file(headers), "path", "left")
                .select("path", "record_number", csv_fields("value").alias("fields"), "header"))
     return CsvScan(records=records, splits=splits, headers=headers)
 

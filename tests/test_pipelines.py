@@ -179,3 +179,20 @@ def test_surrogate_key_with_a_hot_id(spark):
     for r in keyed:
         lo, hi = spans[r.customer_id]
         assert lo <= r.customer_key <= hi
+
+
+def test_compaction_keeps_the_latest_view(spark, tmp_path):
+    root = tmp_path / "landing"
+    put(root, "raw/orders/orders_01.csv", O_HDR + "A1,C1,2026-10-01,1,2\nA2,C1,2026-10-01,2,2\n")
+    landing = Landing(spark, str(root))
+    store = IngestionStore(spark, str(tmp_path / "wh"))
+    run_incremental(spark, landing, store)
+    before = sorted(map(tuple, store.visible("orders").collect()))
+    b = store.compact("orders")
+    assert store.latest_snapshot("orders") == b
+    assert sorted(map(tuple, store.visible("orders").collect())) == before
+    # a later batch still overrides the snapshot
+    put(root, "raw/orders/orders_02.csv", O_HDR + "A2,C1,2026-10-02,7,3\nA3,C2,2026-10-02,1,1\n")
+    run_incremental(spark, landing, store)
+    got = {r.order_id: r.quantity for r in store.visible("orders").collect()}
+    assert got == {"A1": 1, "A2": 7, "A3": 1}
