@@ -47,11 +47,13 @@ def _dim_attributes(spark, sf_dir):
 
 
 def q_sales_by_city(spark, sf_dir):
-    return reports.sales_by_city(_fact(spark, sf_dir), _dim_attributes(spark, sf_dir))
+    _, _, customers, orders = _model(spark, sf_dir)
+    return reports.sales_by_city(model.build_fact_order(orders), customers)
 
 
 def q_sales_by_customer(spark, sf_dir):
-    return reports.sales_by_customer(_fact(spark, sf_dir), _dim_attributes(spark, sf_dir))
+    _, _, customers, orders = _model(spark, sf_dir)
+    return reports.sales_by_customer(model.build_fact_order(orders), customers)
 
 
 # ------------------------------------------------------------ cleaning
