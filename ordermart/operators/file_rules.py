@@ -180,3 +180,30 @@ def file_verdicts(contract: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
     return j.select("file_name", "data_rows",
                     F.when(err.isNull(), F.lit("OK")).otherwise(F.lit("FAILED")).alias("status"),
                     err.alias("error_message"))
+
+
+# Texts of the source project's all-errors date check.
+MSG_DATE_MISSING = "{file}, row {row}: {col} is missing."
+MSG_DATE_INVALID = "{file}, row {row}: Invalid {col} '{value}'. Expected YYYY-MM-DD."
+DATE_CHECK_HEADER = "Date validation failed:\n"
+
+
+def date_violations(rows: DataFrame, date_col: str) -> DataFrame:
+    """P11 as a check: every row whose date is blank or not ``strptime('%Y-%m-%d')``.
+
+    Unlike the per-file verdict this keeps *all* errors (file_name,
+    row_number, message), as the source's date check collects them.
+    """
+    from ..functions.parse import parse_date_lenient
+    s_ = strip_all(date_col)
+    blank = F.col(date_col).isNull() | (s_ == "")
+    msg = (F.when(blank, _msg(MSG_DATE_MISSING, date_col))
+           .when(parse_date_lenient(date_col).isNull(), _msg(MSG_DATE_INVALID, date_col, s_)))
+    return rows.select("file_name", "row_number", msg.alias("message")).where(F.col("message").isNotNull())
+
+
+def raise_on_date_errors(violations: DataFrame, limit: int = 1000) -> None:
+    """Raise once with the collected messages (at most ``limit`` lines shown)."""
+    msgs = [r.message for r in violations.orderBy("file_name", "row_number").limit(limit).collect()]
+    if msgs:
+        raise ValueError(DATE_CHECK_HEADER + "\n".join(msgs))

@@ -195,6 +195,16 @@ def row_numbers() -> str:
     return with_(file_ctes(), "SELECT file_name, order_id, row_number FROM ro")
 
 
+def date_violations() -> str:
+    from .oracle_sql import date_lenient
+    ds = strip("order_date")
+    return with_(file_ctes(), f"""
+SELECT file_name, row_number,
+       CASE WHEN order_date IS NULL OR {ds} = '' THEN {_m(_lit(': order_date is missing.'))}
+            ELSE {_m(_lit(": Invalid order_date '"), ds, _lit("'. Expected YYYY-MM-DD."))} END AS message
+FROM ro WHERE order_date IS NULL OR {ds} = '' OR {date_lenient('order_date')} IS NULL""")
+
+
 def file_contract() -> str:
     return with_(violation_ctes(), "SELECT file_name, data_rows, missing_columns, contract_error FROM contract")
 
@@ -316,7 +326,7 @@ SELECT f.order_id, d.customer_key, f.customer_id, d.customer_name, d.city, f.ord
 FROM fact f JOIN dim d ON f.customer_id = d.customer_id""")
 
 
-ORACLES = {f.__name__: f for f in (stream_ingest, full_refresh, upsert_compacted,
+ORACLES = {f.__name__: f for f in (stream_ingest, full_refresh, upsert_compacted, date_violations,
     required_inputs, list_inputs, scan_by_name, scan_customers, row_numbers, file_contract,
     file_violations, file_verdicts, file_plan, incremental_run, run_summary, upsert_latest,
     upsert_customers, tracker_history, files_per_status, incremental_counts)}

@@ -206,17 +206,11 @@ def q_table_counts(spark, sf_dir):
 
 
 def q_describe_tables(spark, sf_dir):
-    """DESCRIBE of the published dimension and fact."""
+    """K6 + P15: register the published targets with their DDL, then DESCRIBE."""
     wh = _published(spark, sf_dir)
-    tag = wh.root.rsplit("/", 1)[-1]
-    out = None
-    for name in ("dim_customer", "fact_order"):
-        view = f"{name}_{tag}"
-        wh.read(name).createOrReplaceTempView(view)
-        d = (spark.sql(f"DESCRIBE TABLE {view}")
-             .select(F.lit(name).alias("table_name"), "col_name", "data_type"))
-        out = d if out is None else out.unionByName(d)
-    return out
+    db = "wh_" + wh.root.rsplit("/", 1)[-1]
+    wh.create_tables(db, ["dim_customer", "fact_order"])
+    return wh.describe(db, "dim_customer").unionByName(wh.describe(db, "fact_order"))
 
 
 def q_preview_customers(spark, sf_dir):
@@ -361,6 +355,13 @@ def q_file_violations(spark, sf_dir):
     return out
 
 
+def q_date_violations(spark, sf_dir):
+    """P11 check: every blank or non-strptime order date, all errors kept."""
+    from ..operators.file_rules import date_violations
+    _, _, rows, _ = _scan(spark, _landing(spark, sf_dir), "orders")
+    return date_violations(rows, "order_date")
+
+
 def q_file_verdicts(spark, sf_dir):
     """First error of each file, in the source's check order."""
     from ..operators.file_rules import file_verdicts
@@ -519,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "file_contract": q_file_contract,
     "file_violations": q_file_violations,
     "file_verdicts": q_file_verdicts,
+    "date_violations": q_date_violations,
     "file_plan": q_file_plan,
     "incremental_run": q_incremental_run,
     "run_summary": q_run_summary,

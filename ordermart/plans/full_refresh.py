@@ -28,7 +28,7 @@ class FullRefreshResult:
     fact: DataFrame            # published fact_order
 
 
-def read_raw(landing: Landing, prefix: str, columns: list[str]) -> DataFrame:
+def read_raw(landing: Landing, prefix: str, columns: list[str], keep_position: bool = False) -> DataFrame:
     """S1 + S4: the CSV objects under a prefix, by header name; none -> error."""
     ls = landing.list_csv(prefix)
     meta = ls.select("path", "length").collect()      # object paths for the reader
@@ -36,14 +36,24 @@ def read_raw(landing: Landing, prefix: str, columns: list[str]) -> DataFrame:
         raise MissingInput(f"Required input not found: {prefix}")
     scan = scan_records(landing.spark, [r["path"] for r in meta],
                         split_bound=len(meta) + sum(int(r["length"]) for r in meta) // (128 << 20))
-    return project_by_name(scan, columns).select(*columns)
+    rows = project_by_name(scan, columns)
+    if keep_position:
+        return rows.withColumn("file_name", landing.key(F.col("path")))
+    return rows.select(*columns)
 
 
 def run_full_refresh(spark: SparkSession, landing: Landing, warehouse: Warehouse,
-                     customers_prefix: str, orders_prefix: str) -> FullRefreshResult:
+                     customers_prefix: str, orders_prefix: str,
+                     check_dates: bool = False) -> FullRefreshResult:
     # 1. check input: customers are reported first
-    raw_c = read_raw(landing, customers_prefix, CUSTOMER_COLUMNS)
-    raw_o = read_raw(landing, orders_prefix, ORDER_COLUMNS)
+    raw_c = read_raw(landing, customers_prefix, CUSTOMER_COLUMNS, keep_position=check_dates)
+    raw_o = read_raw(landing, orders_prefix, ORDER_COLUMNS, keep_position=check_dates)
+    if check_dates:
+        # the source project's all-errors date check, run before loading
+        from ..operators.file_rules import date_violations, raise_on_date_errors
+        raise_on_date_errors(date_violations(raw_c, "created_date")
+                             .unionByName(date_violations(raw_o, "order_date")))
+        raw_c, raw_o = raw_c.select(*CUSTOMER_COLUMNS), raw_o.select(*ORDER_COLUMNS)
     # 2. staging (truncate + insert, typed)
     warehouse.write("stg_customers", model.stage_customers(raw_c))
     warehouse.write("stg_orders", model.stage_orders(raw_o))

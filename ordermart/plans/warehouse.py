@@ -36,13 +36,18 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(self.path(name))
 
-    def create_tables(self, names: list[str] | None = None) -> None:
-        """K6: register each table with its declared schema in the catalog."""
+    def create_tables(self, database: str, names: list[str] | None = None) -> None:
+        """K6: register each table with its declared DDL in a catalog database.
+
+        The database lives in the warehouse folder (shared storage), not in
+        a machine-local default warehouse directory.
+        """
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_catalog'")
         for name in names or list(TABLES):
-            self.spark.sql(ddl(name, TABLES[name], self.path(name)))
+            self.spark.sql(ddl(f"{database}.{name}", TABLES[name], self.path(name)))
 
-    def describe(self, name: str) -> DataFrame:
-        """(col_name, data_type) of a table as stored."""
-        return (self.spark.sql(f"DESCRIBE TABLE {name}")
+    def describe(self, database: str, name: str) -> DataFrame:
+        """(table_name, col_name, data_type) of a registered table."""
+        return (self.spark.sql(f"DESCRIBE TABLE {database}.{name}")
                 .where(~F.col("col_name").startswith("#") & (F.col("col_name") != ""))
                 .select(F.lit(name).alias("table_name"), "col_name", "data_type"))

@@ -196,3 +196,15 @@ def test_compaction_keeps_the_latest_view(spark, tmp_path):
     run_incremental(spark, landing, store)
     got = {r.order_id: r.quantity for r in store.visible("orders").collect()}
     assert got == {"A1": 1, "A2": 7, "A3": 1}
+
+
+def test_full_refresh_date_check_collects_all_errors(spark, tmp_path):
+    _write_inputs(tmp_path, ["C1,a b,x,a@x.com,2026-9-1\n", "C2,a b,x,b@x.com,10/9/2026\n"],
+                  ["O1,C1,,1,1\n", "O2,C2,2026-02-30,1,1\n"])
+    with pytest.raises(ValueError) as e:
+        run_full_refresh(spark, Landing(spark, str(tmp_path)), Warehouse(spark, str(tmp_path / "wh")),
+                         "in/customers", "in/orders", check_dates=True)
+    assert str(e.value) == ("Date validation failed:\n"
+                            "in/customers/customers.csv, row 3: Invalid created_date '10/9/2026'. Expected YYYY-MM-DD.\n"
+                            "in/orders/orders.csv, row 2: order_date is missing.\n"
+                            "in/orders/orders.csv, row 3: Invalid order_date '2026-02-30'. Expected YYYY-MM-DD.")
