@@ -6,6 +6,7 @@ work grows with them; none runs on made-up input alone.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -264,11 +265,26 @@ def q_duplicate_keys(spark, sf_dir):
 
 # ------------------------------------------------------------ files
 
+# Landing zones derived from the given tables are read-only inputs, like
+# the tables themselves: written once per session and source folder, then
+# read (in full) by every file query.  A vanished folder is written again.
+_LANDINGS: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
+
+
+def _memo_landing(spark, key, make):
+    from ..sources.files import Landing
+    memo = _LANDINGS.setdefault(spark, {})
+    landing = memo.get(key)
+    if landing is None or not landing.exists(""):
+        landing = Landing(spark, make())
+        memo[key] = landing
+    return landing
+
+
 def _landing(spark, sf_dir):
     from ..sources.bindings import materialize_landing
-    from ..sources.files import Landing
-    root = materialize_landing(spark, sf_dir, scratch_path(spark, "landing"))
-    return Landing(spark, root)
+    return _memo_landing(spark, ("raw", sf_dir), lambda: materialize_landing(
+        spark, sf_dir, scratch_path(spark, "landing")))
 
 
 def _scan(spark, landing, kind):
@@ -480,9 +496,11 @@ def q_full_refresh(spark, sf_dir):
     from ..sources.files import Landing
     from ..sources.landing import write_named_files
     from .full_refresh import fact_with_customer, run_full_refresh
-    root = scratch_path(spark, "landing-full")
-    write_named_files(full_refresh_lines(spark, sf_dir), root)
-    landing = Landing(spark, root)
+    def make():
+        root = scratch_path(spark, "landing-full")
+        write_named_files(full_refresh_lines(spark, sf_dir), root)
+        return root
+    landing = _memo_landing(spark, ("full", sf_dir), make)
     wh = Warehouse(spark, scratch_path(spark, "warehouse-full"))
     res = run_full_refresh(spark, landing, wh, "raw/full/customers", "raw/full/orders")
     return fact_with_customer(res.fact, res.dim)
