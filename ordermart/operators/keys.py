@@ -24,14 +24,16 @@ from ..session import checkpoint_root
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
 
-def add_row_number(df: DataFrame, order_col: str, key_col: str,
+def add_row_number(df: DataFrame, order_col: str | list[str], key_col: str,
                    num_partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (ORDER BY order_col...)`` as a bigint column, distributed."""
     spark = df.sparkSession
     checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_first() for c in ([order_col] if isinstance(order_col, str) else order_col)]
     ranged = (df.withColumn("_scan_pos", F.monotonically_increasing_id())
-              .repartitionByRange(n, F.col(order_col).asc_nulls_first(), F.col("_scan_pos"))
-              .sortWithinPartitions(F.col(order_col).asc_nulls_first(), F.col("_scan_pos"))
+              .repartitionByRange(n, *order, F.col("_scan_pos"))
+              .sortWithinPartitions(*order, F.col("_scan_pos"))
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), _POS_BITS))
@@ -47,9 +49,3 @@ def add_row_number(df: DataFrame, order_col: str, key_col: str,
     keyed = ranged.join(F.broadcast(offsets), "_part", "inner")
     cols = [c for c in df.columns]
     return keyed.select((F.col("_offset") + F.col("_pos") + 1).alias(key_col), *cols)
-
-
-def add_row_number_window(df: DataFrame, order_col: str, key_col: str) -> DataFrame:
-    """Parity form for tiny inputs: one un-partitioned window."""
-    w = Window.orderBy(F.col(order_col).asc_nulls_first())
-    return df.select(F.row_number().over(w).cast("bigint").alias(key_col), *df.columns)

@@ -475,10 +475,15 @@ def q_files_per_status(spark, sf_dir):
 def q_incremental_counts(spark, sf_dir):
     """Customer and order counts and the order total after the run."""
     _, store = _run(spark, sf_dir)
-    c = store.visible("customers").agg(F.count(F.lit(1)).alias("customer_count"))
-    o = store.visible("orders").agg(F.count(F.lit(1)).alias("order_count"),
-                                    amounts.sum_amount("total_amount").alias("order_total"))
-    return c.crossJoin(o)
+    # two one-row aggregates side by side: a union and one more aggregate
+    c = store.visible("customers").agg(
+        F.count(F.lit(1)).alias("customer_count"), F.lit(None).cast("bigint").alias("order_count"),
+        F.lit(None).cast("decimal(38,2)").alias("order_total"))
+    o = store.visible("orders").agg(
+        F.lit(None).cast("bigint").alias("customer_count"), F.count(F.lit(1)).alias("order_count"),
+        amounts.sum_amount("total_amount").alias("order_total"))
+    both = c.unionByName(o)
+    return both.agg(*[F.max(x).alias(x) for x in ("customer_count", "order_count", "order_total")])
 
 
 def q_stream_ingest(spark, sf_dir):

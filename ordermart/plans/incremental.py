@@ -34,6 +34,7 @@ from ..functions.amounts import to_price, total_incremental
 from ..functions.clean import strip_all
 from ..functions.parse import parse_date_strict, parse_decimal, parse_int
 from ..operators.file_rules import file_verdicts
+from ..operators.keys import add_row_number
 from ..operators.upsert import ChangeLog
 from ..schemas import CUSTOMER_COLUMNS, INC_CUSTOMERS, INC_ORDERS, ORDER_COLUMNS, TRACKER
 from ..session import checkpoint_root
@@ -164,14 +165,14 @@ class RunResult:
 def list_files(landing: Landing, cfg: IncrementalConfig) -> DataFrame:
     """Listing with kind and processing ordinal (customers first, by name).
 
-    The ordinal is a row number over the file list: one row per object,
-    metadata only, so the single-task window is bounded by the listing.
+    The ordinal is numbered like the surrogate key (range partitions +
+    per-partition counts), so even a very long listing is not funnelled
+    through one task.
     """
     ls = landing.listing([cfg.customers_prefix, cfg.orders_prefix])
     kind = F.when(F.col("prefix_rank") == 0, "customers").otherwise("orders")
-    w = Window.orderBy("prefix_rank", "file_name")
-    return ls.select("file_name", "path", "length", kind.alias("kind"),
-                     F.row_number().over(w).alias("ordinal"))
+    ls = ls.select("file_name", "path", "length", kind.alias("kind"), "prefix_rank")
+    return add_row_number(ls, ["prefix_rank", "file_name"], "ordinal").drop("prefix_rank")
 
 
 def plan_files(listing: DataFrame, tracker_latest: DataFrame) -> DataFrame:
@@ -257,9 +258,9 @@ def listing_from_paths(landing: Landing, files: DataFrame, cfg: IncrementalConfi
     cp, op = cfg.customers_prefix.strip("/") + "/", cfg.orders_prefix.strip("/") + "/"
     kind = F.when(name.startswith(cp), "customers").when(name.startswith(op), "orders")
     ls = (files.select(name.alias("file_name"), "path", "length", kind.alias("kind"))
-          .where(F.col("kind").isNotNull() & F.lower("file_name").endswith(".csv")))
-    w = Window.orderBy(F.when(F.col("kind") == "customers", 0).otherwise(1), "file_name")
-    return ls.withColumn("ordinal", F.row_number().over(w))
+          .where(F.col("kind").isNotNull() & F.lower("file_name").endswith(".csv"))
+          .withColumn("prefix_rank", F.when(F.col("kind") == "customers", 0).otherwise(1)))
+    return add_row_number(ls, ["prefix_rank", "file_name"], "ordinal").drop("prefix_rank")
 
 
 def run_incremental(spark: SparkSession, landing: Landing, store: IngestionStore,
