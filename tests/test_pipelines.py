@@ -33,9 +33,9 @@ def tracker(store):
 def test_incremental_scenario(spark, tmp_path):
     root = tmp_path / "landing"
     put(root, "raw/customers/customers_01.csv",
-        C_HDR + "T6C001,Ann Lee,Warangal,ann@example.com,10/9/2026\nT6C002,Bo Chen,Pune,bo@example.com,10/9/2026\n")
+        C_HDR + "IC001,Ann Lee,Nagpur,ann@example.com,10/9/2026\nIC002,Bo Chen,Pune,bo@example.com,10/9/2026\n")
     put(root, "raw/orders/orders_01.csv",
-        O_HDR + "T6O001,T6C001,10/9/2026,4,300\nT6O002,T6C002,10/9/2026,2,500\n")
+        O_HDR + "IO001,IC001,10/9/2026,4,300\nIO002,IC002,10/9/2026,2,500\n")
     landing = Landing(spark, str(root))
     store = IngestionStore(spark, str(tmp_path / "wh"))
 
@@ -49,42 +49,42 @@ def test_incremental_scenario(spark, tmp_path):
 
     # 2. same names, corrected content: retried and loaded
     put(root, "raw/customers/customers_01.csv",
-        C_HDR + "T6C001,Ann Lee,Warangal,ANN@example.com ,2026-10-09\nT6C002,Bo Chen,Pune,bo@example.com,2026-10-09\n")
+        C_HDR + "IC001,Ann Lee,Nagpur,ANN@example.com ,2026-10-09\nIC002,Bo Chen,Pune,bo@example.com,2026-10-09\n")
     put(root, "raw/orders/orders_01.csv",
-        O_HDR + "T6O001,T6C001,2026-10-09,4,300\nT6O002,T6C002,2026-10-09,3,0.125\n")
+        O_HDR + "IO001,IC001,2026-10-09,4,300\nIO002,IC002,2026-10-09,3,0.125\n")
     res = run_incremental(spark, landing, store)
     assert {r.file_name: r.status for r in res.run_log.collect()} == {
         "raw/customers/customers_01.csv": "SUCCESS", "raw/orders/orders_01.csv": "SUCCESS"}
     t = tracker(store)
     assert t["raw/customers/customers_01.csv"] == ("SUCCESS", 2, None)
     emails = {r.customer_id: r.email for r in store.visible("customers").collect()}
-    assert emails["T6C001"] == "ann@example.com"
+    assert emails["IC001"] == "ann@example.com"
     totals = {r.order_id: (r.unit_price, r.total_amount) for r in store.visible("orders").collect()}
     half_even = (Decimal(3) * Decimal("0.125")).quantize(Decimal("0.01"), ROUND_HALF_EVEN)
-    assert totals["T6O002"] == (Decimal("0.13"), half_even)
+    assert totals["IO002"] == (Decimal("0.13"), half_even)
 
     # 3. a second batch beside processed files: only the new ones run; a
     #    repeated customer id replaces the earlier row (upsert)
     put(root, "raw/customers/customers_02.csv",
-        C_HDR + "T6C003,Cy Das,Delhi,cy@example.com,2026-10-10\nT6C001,Ann Lee-Roy,Kochi,ann@example.com,2026-10-10\n")
-    put(root, "raw/orders/orders_02.csv", O_HDR + "T6O003,T6C003,2026-10-10,1,175.5\n")
+        C_HDR + "IC003,Cy Das,Delhi,cy@example.com,2026-10-10\nIC001,Ann Lee-Roy,Kochi,ann@example.com,2026-10-10\n")
+    put(root, "raw/orders/orders_02.csv", O_HDR + "IO003,IC003,2026-10-10,1,175.5\n")
     res = run_incremental(spark, landing, store)
     status = {r.file_name: r.status for r in res.run_log.collect()}
     assert status["raw/customers/customers_01.csv"] == "SKIPPED"
     assert status["raw/customers/customers_02.csv"] == "SUCCESS"
     cust = {r.customer_id: r.city for r in store.visible("customers").collect()}
-    assert cust == {"T6C001": "Kochi", "T6C002": "Pune", "T6C003": "Delhi"}
+    assert cust == {"IC001": "Kochi", "IC002": "Pune", "IC003": "Delhi"}
     assert store.visible("orders").count() == 3
 
     # 4. changed content under a finished name is not read again
-    put(root, "raw/orders/orders_01.csv", O_HDR + "T6O001,T6C001,2026-10-09,9,999\n")
+    put(root, "raw/orders/orders_01.csv", O_HDR + "IO001,IC001,2026-10-09,9,999\n")
     res = run_incremental(spark, landing, store)
     assert {r.status for r in res.run_log.collect()} == {"SKIPPED"}
-    assert {r.order_id: r.quantity for r in store.visible("orders").collect()}["T6O001"] == 4
+    assert {r.order_id: r.quantity for r in store.visible("orders").collect()}["IO001"] == 4
 
     # 5. continue mode: a bad file does not stop the good one after it
-    put(root, "raw/orders/orders_03.csv", O_HDR + "T6O004,T6C001,2026-10-11,0,1\n")
-    put(root, "raw/orders/orders_04.csv", O_HDR + "T6O005,T6C002,2026-10-11,1,1\n")
+    put(root, "raw/orders/orders_03.csv", O_HDR + "IO004,IC001,2026-10-11,0,1\n")
+    put(root, "raw/orders/orders_04.csv", O_HDR + "IO005,IC002,2026-10-11,1,1\n")
     res = run_incremental(spark, landing, store, IncrementalConfig(on_error="continue"))
     status = {r.file_name: (r.status, r.error_message) for r in res.run_log.collect()}
     assert status["raw/orders/orders_03.csv"] == (
