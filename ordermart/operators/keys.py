@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, reliable_checkpoint
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
@@ -37,8 +37,8 @@ def add_row_number(df: DataFrame, order_col: str | list[str], key_col: str,
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), _POS_BITS))
-              .drop("_scan_pos")
-              .checkpoint(eager=True))
+              .drop("_scan_pos"))
+    ranged = reliable_checkpoint(ranged)
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a tiny frame, numbered in a single task on purpose
     offsets = counts.select(

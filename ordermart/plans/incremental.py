@@ -37,7 +37,7 @@ from ..operators.file_rules import file_verdicts
 from ..operators.keys import add_row_number
 from ..operators.upsert import ChangeLog
 from ..schemas import CUSTOMER_COLUMNS, INC_CUSTOMERS, INC_ORDERS, ORDER_COLUMNS, TRACKER
-from ..session import checkpoint_root
+from ..session import checkpoint_root, reliable_checkpoint
 from ..sources.files import (BROADCAST_SPLITS, Landing, check_any_files, file_contract,
                              project_by_name, scan_records)
 
@@ -77,7 +77,9 @@ class IngestionStore:
         return self.tracker.latest()
 
     def next_batch(self) -> int:
-        return max(self.tracker.max_batch(), self.customers.max_batch(), self.orders.max_batch()) + 1
+        """A run writes its tracker events before its data, so the tracker
+        always holds the newest batch id."""
+        return self.tracker.max_batch() + 1
 
     def _columns(self, kind: str) -> list[str]:
         return [f.name for f in (INC_CUSTOMERS if kind == "customers" else INC_ORDERS).fields]
@@ -202,6 +204,9 @@ def scan_kind(spark: SparkSession, landing: Landing, files: DataFrame, kind: str
 
 def decide(spark: SparkSession, landing: Landing, plan: DataFrame, cfg: IncrementalConfig):
     """Verdict per file; statuses after the stop-at-first-failure cut."""
+    # one row per file, used several times: pin it (and the tracker state it
+    # was planned against) in the shared checkpoint folder
+    plan = reliable_checkpoint(plan)
     todo = plan.where(F.col("action") == "PROCESS")
     verdicts, rows_by_kind = None, {}
     for kind in ("customers", "orders"):
@@ -217,9 +222,7 @@ def decide(spark: SparkSession, landing: Landing, plan: DataFrame, cfg: Incremen
     d = plan.join(verdicts.withColumnRenamed("status", "verdict"), "file_name", "left")
     status = (F.when(F.col("action") == "SKIP", SKIPPED)
               .when(F.col("verdict") == "OK", SUCCESS).otherwise(FAILED))
-    d = d.withColumn("status", status)
-    checkpoint_root(spark)
-    d = d.checkpoint(eager=True)
+    d = reliable_checkpoint(d.withColumn("status", status))
     cut = None
     if cfg.on_error == "stop":
         cut = d.where(F.col("status") == FAILED).agg(F.min("ordinal")).first()[0]

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..session import checkpoint_root
+from ..session import reliable_checkpoint
 
 MAX_FIELDS = 64
 # Split summaries up to this many rows are broadcast (about 20 MB), and
@@ -176,11 +176,11 @@ def scan_records(spark: SparkSession, paths: list[str], max_fields: int | None =
     # Both summaries are small (one row per split / per file); they are
     # written to the shared checkpoint folder once, so every later use is a
     # single pass over the text and the record ids they hold stay fixed.
-    checkpoint_root(spark)
-    splits = splits.checkpoint(eager=True)
+    splits = reliable_checkpoint(splits)
     firsts = splits.where(F.col("split_rank") == 1).select("path", F.col("first_rid").alias("rid"))
     headers = (recs.join(per_file(firsts), ["path", "rid"], "left_semi")
-               .select("path", csv_fields("value").alias("header"))).checkpoint(eager=True)
+               .select("path", csv_fields("value").alias("header")))
+    headers = reliable_checkpoint(headers)
     numbered = (recs.join(small(splits.select("path", "block", "first_rid", "offset")),
                           ["path", "block"], "inner")
                 .select("path", (F.col("offset") + F.col("rid") - F.col("first_rid") + 1)
