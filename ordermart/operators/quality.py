@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clean import trim_spaces
 from ..functions.parse import is_decimal_text, is_int_text
-from ..functions.predicates import any_blank, email_invalid, is_blank, over_length
+from ..functions.predicates import any_blank, email_invalid, over_length
 from ..schemas import VARCHAR_LIMITS
 
 

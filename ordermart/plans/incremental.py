@@ -28,7 +28,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.amounts import to_price, total_incremental
 from ..functions.clean import strip_all
@@ -37,9 +37,9 @@ from ..operators.file_rules import file_verdicts
 from ..operators.keys import add_row_number
 from ..operators.upsert import ChangeLog
 from ..schemas import CUSTOMER_COLUMNS, INC_CUSTOMERS, INC_ORDERS, ORDER_COLUMNS, TRACKER
-from ..session import checkpoint_root, reliable_checkpoint
-from ..sources.files import (BROADCAST_SPLITS, Landing, check_any_files, file_contract,
-                             project_by_name, scan_records)
+from ..session import reliable_checkpoint
+from ..sources.files import (Landing, check_any_files, file_contract, project_by_name,
+                             scan_records)
 
 KIND_COLUMNS = {"customers": CUSTOMER_COLUMNS, "orders": ORDER_COLUMNS}
 SUCCESS, FAILED, SKIPPED, PROCESSING, UNTOUCHED = "SUCCESS", "FAILED", "SKIPPED", "PROCESSING", "UNTOUCHED"
