@@ -28,14 +28,16 @@ class FullRefreshResult:
     fact: DataFrame            # published fact_order
 
 
-def read_raw(landing: Landing, prefix: str, columns: list[str], keep_position: bool = False) -> DataFrame:
+def read_raw(landing: Landing, prefix: str, columns: list[str], keep_position: bool = False,
+             multi_line: bool = False) -> DataFrame:
     """S1 + S4: the CSV objects under a prefix, by header name; none -> error."""
     ls = landing.list_csv(prefix)
     meta = ls.select("path", "length").collect()      # object paths for the reader
     if not meta:
         raise MissingInput(f"Required input not found: {prefix}")
     scan = scan_records(landing.spark, [r["path"] for r in meta],
-                        split_bound=len(meta) + sum(int(r["length"]) for r in meta) // (128 << 20))
+                        split_bound=len(meta) + sum(int(r["length"]) for r in meta) // (128 << 20),
+                        multi_line=multi_line)
     rows = project_by_name(scan, columns)
     if keep_position:
         return rows.withColumn("file_name", landing.key(F.col("path")))
@@ -44,10 +46,10 @@ def read_raw(landing: Landing, prefix: str, columns: list[str], keep_position: b
 
 def run_full_refresh(spark: SparkSession, landing: Landing, warehouse: Warehouse,
                      customers_prefix: str, orders_prefix: str,
-                     check_dates: bool = False) -> FullRefreshResult:
+                     check_dates: bool = False, multi_line: bool = False) -> FullRefreshResult:
     # 1. check input: customers are reported first
-    raw_c = read_raw(landing, customers_prefix, CUSTOMER_COLUMNS, keep_position=check_dates)
-    raw_o = read_raw(landing, orders_prefix, ORDER_COLUMNS, keep_position=check_dates)
+    raw_c = read_raw(landing, customers_prefix, CUSTOMER_COLUMNS, check_dates, multi_line)
+    raw_o = read_raw(landing, orders_prefix, ORDER_COLUMNS, check_dates, multi_line)
     if check_dates:
         # the source project's all-errors date check, run before loading
         from ..operators.file_rules import date_violations, raise_on_date_errors

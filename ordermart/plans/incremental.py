@@ -153,6 +153,7 @@ class IncrementalConfig:
     orders_prefix: str = "raw/orders"
     on_error: str = "stop"          # "stop" (source behaviour) or "continue"
     max_fields: int = 64
+    multi_line: bool = False        # quoted fields may hold newlines (one task per file)
 
 
 @dataclass
@@ -188,7 +189,8 @@ def _split_bound(files: list) -> int:
     return len(files) + sum(int(r["length"]) for r in files) // (128 << 20)
 
 
-def scan_kind(spark: SparkSession, landing: Landing, files: DataFrame, kind: str, max_fields: int = 64):
+def scan_kind(spark: SparkSession, landing: Landing, files: DataFrame, kind: str, max_fields: int = 64,
+              multi_line: bool = False):
     """Rows by name (+ file_name) and the contract of each file."""
     # The reader needs the object paths, as any Spark file source does:
     # one small row per file to process.
@@ -196,7 +198,7 @@ def scan_kind(spark: SparkSession, landing: Landing, files: DataFrame, kind: str
     cols = KIND_COLUMNS[kind]
     if not meta:
         return None, None
-    scan = scan_records(spark, [r["path"] for r in meta], max_fields, _split_bound(meta))
+    scan = scan_records(spark, [r["path"] for r in meta], max_fields, _split_bound(meta), multi_line)
     rows = project_by_name(scan, cols).withColumn("file_name", landing.key(F.col("path")))
     contract = file_contract(files.select("file_name", "path"), scan, cols)
     return rows, contract
@@ -210,7 +212,8 @@ def decide(spark: SparkSession, landing: Landing, plan: DataFrame, cfg: Incremen
     todo = plan.where(F.col("action") == "PROCESS")
     verdicts, rows_by_kind = None, {}
     for kind in ("customers", "orders"):
-        rows, contract = scan_kind(spark, landing, todo.where(F.col("kind") == kind), kind, cfg.max_fields)
+        rows, contract = scan_kind(spark, landing, todo.where(F.col("kind") == kind), kind,
+                                   cfg.max_fields, cfg.multi_line)
         if rows is None:
             continue
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

@@ -147,8 +147,32 @@ class CsvScan:
     headers: DataFrame   # path, header
 
 
+def _multiline_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Records that may span lines: a line continues the record before it
+    while the quotes seen so far in that record are unbalanced.
+
+    Record boundaries need the lines of a file in order, so this runs one
+    window per file (like Spark's own multiLine CSV mode, a file is not
+    split).  Off by default.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("pos"),
+        "value", (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("q"))
+    w = Window.partitionBy("path").orderBy("pos")
+    before = F.coalesce(F.sum("q").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # parity of all quotes before the line; a record starts where it is even
+    lines = lines.withColumn("starts", (before % 2 == 0).cast("int"))
+    lines = lines.withColumn("rec", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    recs = (lines.groupBy("path", "rec")
+            .agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("parts"))
+            .select("path", "rec", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"))
+            .where(F.col("value") != ""))
+    n = Window.partitionBy("path").orderBy("rec")
+    return recs.select("path", F.row_number().over(n).alias("record_number"), "value")
+
+
 def scan_records(spark: SparkSession, paths: list[str], max_fields: int | None = None,
-                 split_bound: int | None = None) -> CsvScan:
+                 split_bound: int | None = None, multi_line: bool = False) -> CsvScan:
     """S4 + S6: every CSV record with (path, record_number, fields, header).
 
     Three light passes over the text, no shuffle of records:
@@ -157,7 +181,19 @@ def scan_records(spark: SparkSession, paths: list[str], max_fields: int | None =
        on (path, first id) and parsed alone;
     3. every record: broadcast joins with the split offsets and headers.
     ``max_fields`` is kept for API compatibility: any field count is read.
+    ``multi_line`` allows quoted fields with newlines (one task per file).
     """
+    if multi_line:
+        rec = reliable_checkpoint(_multiline_records(spark, paths))
+        headers = (rec.where(F.col("record_number") == 1)
+                   .select("path", csv_fields("value").alias("header")))
+        splits = rec.groupBy("path").agg(F.count(F.lit(1)).alias("n")).select(
+            "path", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("first_rid"), "n",
+            F.lit(0).cast("long").alias("offset"), F.lit(1).alias("split_rank"))
+        per_file = F.broadcast if len(paths) <= BROADCAST_FILES else (lambda df: df)
+        records = (rec.join(per_file(headers), "path", "left")
+                   .select("path", "record_number", csv_fields("value").alias("fields"), "header"))
+        return CsvScan(records=records, splits=splits, headers=headers)
     recs = (spark.read.text(paths).where(F.col("value") != "")
             .select(F.col("_metadata.file_path").alias("path"),
                     F.col("_metadata.file_block_start").alias("block"),

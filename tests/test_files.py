@@ -101,3 +101,18 @@ def test_contract_and_verdicts(spark, landing):
     assert got["raw/orders/f.csv"] == ("FAILED", "raw/orders/f.csv, row 3: order_id is missing.")
     # phase order: quantity at row 2 before the price at row 3
     assert got["raw/orders/g.csv"] == ("FAILED", "raw/orders/g.csv, row 2: quantity must be greater than 0.")
+
+
+def test_multiline_quoted_fields_match_dictreader(spark, tmp_path):
+    text = ('order_id,customer_id,order_date,quantity,unit_price\n'
+            'O1,"C,1\nsecond line",2026-09-01,1,1\n\n'
+            'O2,"a ""q""\n\nb",2026-09-02,2,2\n'
+            'O3,C3,2026-09-03,3,3\n')
+    p = tmp_path / "ml" / "m.csv"
+    p.parent.mkdir()
+    p.write_text(text)
+    scan = scan_records(spark, [str(p)], split_bound=1, multi_line=True)
+    got = sorted((r.row_number, tuple(r[c] for c in ORDER_COLUMNS))
+                 for r in project_by_name(scan, ORDER_COLUMNS).collect())
+    exp = sorted((n, tuple(row[c] for c in ORDER_COLUMNS)) for n, row in python_rows(text))
+    assert got == exp
