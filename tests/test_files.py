@@ -116,3 +116,18 @@ def test_multiline_quoted_fields_match_dictreader(spark, tmp_path):
                  for r in project_by_name(scan, ORDER_COLUMNS).collect())
     exp = sorted((n, tuple(row[c] for c in ORDER_COLUMNS)) for n, row in python_rows(text))
     assert got == exp
+
+
+def test_required_inputs_report_the_customer_file_first(spark, tmp_path):
+    from ordermart.sources.files import MissingInput, check_required
+    (tmp_path / "raw").mkdir()
+    landing = Landing(spark, str(tmp_path))
+    with pytest.raises(MissingInput, match="raw/customers/customers.csv"):
+        check_required(landing, ["raw/customers/customers.csv", "raw/orders/orders.csv"])
+    (tmp_path / "raw" / "customers").mkdir()
+    (tmp_path / "raw" / "customers" / "customers.csv").write_text("customer_id\n")
+    with pytest.raises(MissingInput, match="raw/orders/orders.csv"):
+        check_required(landing, ["raw/customers/customers.csv", "raw/orders/orders.csv"])
+    (tmp_path / "raw" / "orders").mkdir()
+    (tmp_path / "raw" / "orders" / "orders.csv").write_text("order_id\n")
+    check_required(landing, ["raw/customers/customers.csv", "raw/orders/orders.csv"])
