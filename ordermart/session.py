@@ -7,7 +7,6 @@ and command-line use.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,17 +70,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
                      uuid.uuid4().hex])
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can see a local-mode path."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_parent(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-
-
 def reliable_checkpoint(df):
     """``checkpoint()`` into spark.checkpoint.dir, computed once.
 
