@@ -28,6 +28,21 @@ def held_out_mod5(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == HELD_OUT_MOD5, F.lit(False))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers once per Spark context (as --py-files would)."""
+    import os
+    import shutil
+    import tempfile
+
+    context = spark.sparkContext
+    if not getattr(context, "_ordermart_shipped", False):
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="ordermart-")  # the driver's file server reads it as long as the context runs
+        shutil.copytree(top, f"{folder}/z/ordermart", ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(f"{folder}/ordermart", "zip", f"{folder}/z"))
+        context._ordermart_shipped = True
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write once to the shared folder of spark.checkpoint.dir and read back.
 
@@ -75,6 +90,7 @@ def map_texts(df: DataFrame, text: str, fn: Callable[[list[str], pa.RecordBatch]
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship_package(df.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
     cols = [*dict.fromkeys([*keep, text])]
 

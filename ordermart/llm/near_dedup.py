@@ -12,13 +12,15 @@ if the Jaccard similarity of their shingle sets is ``THRESHOLD`` or more.
 
 Scale.  Texts with the same word sequence form one exact class by a
 pre-aggregated group-by, and only one row of a class goes on.  A bucket
-(texts equal in a band) is never expanded into pairs.  Each round, every
-bucket compares its members with a few pivots of its own, and only those
-that are not yet in the pivot's component.  Pivots double from round to
-round, and a bucket is done when one component holds all its members or
-every member has been a pivot, so no link between different components is
-lost.  A group of copies takes one round.  Joins on a hot pivot or bucket
-are sort-merge joins between two shuffles, which adaptive execution splits.
+(texts equal in a band) is never expanded into pairs: its members are
+compared with its least member, and a group of copies is one component
+after that.  What is left are buckets of several components, as those of
+texts that share a frequent passage.  Their texts are joined exactly by
+prefix filtering (``_prefix_buckets``), and only texts of different
+components are compared, with pivots that multiply from round to round
+until each bucket is one component or all its members were pivots; so no
+link between components is lost.  Joins on a hot pivot or bucket are
+sort-merge joins between two shuffles, which adaptive execution splits.
 
 Results on edge cases.  Null, empty and wordless texts have no shingle:
 they are in no group, their class is their own doc_id and they are always
@@ -45,8 +47,8 @@ THRESHOLD = 0.8
 #: 26 bands of 5 registers: at similarity 0.8 a pair is missed with probability 3e-5.
 BANDS, ROWS = 26, 5
 M = BANDS * ROWS
-#: Pivots of a bucket after the first round, which has one; eight times as many from round to round.
-LATER_PIVOTS = 64
+#: Pivots of a prefix bucket in the first round; sixteen times as many from round to round.
+PIVOTS = 64
 
 _U = np.uint64
 _LAST_ID = (1 << 63) - 1
@@ -178,27 +180,53 @@ def _components(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
         _shingle_sets(_representatives(docs, classes.select("node", "id", "row_key").join(wanted, "node"))), "sets")
     pairs = (members.filter("node <> pivot")
              .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-    comps, done, pivots = None, 2, LATER_PIVOTS
-    while True:
-        links = _jaccard(pairs, sets)
-        if comps is not None:
-            links = links.union(comps.filter("node <> component").select(F.col("component").alias("a"),
-                                                                        F.col("node").alias("b")))
-        comps = connected_components(links, "a", "b")
-        labelled = (members.select("bucket", "node", "n").join(comps, "node", "left")
-                    .select("bucket", "node", "n", F.coalesce("component", "node").alias("comp")))
-        split = (labelled.filter(F.col("n") > done).groupBy("bucket")
-                 .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket"))
-        left = common.materialise(labelled.join(split, "bucket"), "open")
-        if left.isEmpty():
-            return comps
+    comps = connected_components(_jaccard(pairs, sets), "a", "b")
+    unsettled = common.materialise(_unsettled(members.filter("n > 2"), comps), "open")
+    if unsettled.isEmpty():
+        return comps
+    members = common.materialise(_prefix_buckets(unsettled.select("node", "comp").distinct(), sets), "prefixes")
+    unsettled, pivots = members, PIVOTS
+    while not unsettled.isEmpty():
         # about ``pivots`` members of each bucket, all members of a bucket no larger
         chance = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 30)) / float(1 << 30)
-        chosen = left.filter(chance * F.col("n") < pivots).select("bucket", F.col("node").alias("pivot"),
-                                                                  F.col("comp").alias("pivot_comp"))
-        pairs = (left.join(chosen, "bucket").filter("comp <> pivot_comp")
+        chosen = unsettled.filter(chance * F.col("n") < pivots).select(
+            "bucket", F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
+        pairs = (unsettled.join(chosen, "bucket").filter("comp <> pivot_comp")
                  .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        done, pivots = pivots, pivots * 8
+        comps = connected_components(_jaccard(pairs, sets).union(
+            comps.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
+        unsettled = common.materialise(_unsettled(members.filter(F.col("n") > pivots), comps), "open")
+        pivots *= 16
+    return comps
+
+
+def _unsettled(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(bucket, node, n, comp) of the buckets whose members are in different components."""
+    labelled = (members.select("bucket", "node", "n").join(comps, "node", "left")
+                .select("bucket", "node", "n", F.coalesce("component", "node").alias("comp")))
+    split = (labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo < hi").select("bucket"))
+    return labelled.join(split, "bucket")
+
+
+def _prefix_buckets(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, node, n, comp): shingles that two linked nodes of different components must share.
+
+    Sets of Jaccard similarity t or more share one of the first
+    n - ceil(t n) + 1 members of each in any common order.  The order here
+    puts shingles of one component only first, then the rare ones, so texts
+    that only share a frequent passage meet in no bucket.
+    """
+    items = (sets.join(nodes, "node").select("node", "comp", F.explode("items").alias("bucket")))
+    items = common.materialise(items, "items")
+    spread = (items.groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+              .filter("lo < hi").select("bucket", "n"))
+    ordered = (items.join(spread, "bucket", "left")
+               .groupBy("node", "comp").agg(F.array_sort(F.collect_list(
+                   F.struct(F.coalesce("n", F.lit(0)).alias("n"), "bucket"))).alias("all")))
+    first = F.size("all") - F.ceil(F.size("all") * F.lit(THRESHOLD) - 1e-9) + 1
+    return (ordered.select("node", "comp", F.explode(F.slice("all", 1, first.cast("int"))).alias("x"))
+            .select("x.bucket", "node", "x.n", "comp").filter("n > 0"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
