@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from .near_dedup import op3_probminhash_dedup
+from .substring_dedup import op9_substring_dedup
+from .toxicity import op7_toxicity
 
 QUERIES = {
     "op3_probminhash_dedup": op3_probminhash_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}

@@ -44,7 +44,7 @@ _LAST_ID = (1 << 63) - 1
 #: Code points that end a sentence before white space.
 _ENDS = [ord(c) for c in ".!?"]
 #: Sentences of more words than this are cut after every word whose hash is a multiple of CUT_ONE_OF.
-LONG_UNIT, CUT_ONE_OF = 24, 12
+LONG_UNIT, CUT_ONE_OF = 32, 20
 
 
 def units_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
