@@ -11,7 +11,8 @@ isolated words do not score by themselves.  A logistic model over the
 channels, fitted on the same labelled sample, gives the score.
 
 Insult weights are the log odds of a word in toxic against other labelled
-documents, kept if the word is significantly more frequent in toxic ones.
+documents, kept if the word is significantly more frequent in toxic ones;
+near copies count once.
 
 Scale.  Fitting reads a sample of ``SAMPLE_ROWS`` labelled documents at
 most (``sampling``), keeps ``LEXICON_SIZE`` words at most and sends that
@@ -37,14 +38,15 @@ from pyspark.sql.functions import pandas_udf
 
 from . import common
 from .sampling import labelled_sample, partial_counts
-from .words import Words, words_of
+from .words import Words, shingles_of, words_of
 
 #: Most labelled documents that the fit reads.
 SAMPLE_ROWS = 20_000
 #: Most learned insult words.
 LEXICON_SIZE = 2_000
-#: A word is learned if it is in so many toxic documents and so many deviations above its expectation.
-MIN_DOCS, MIN_Z = 4, 4.0
+#: A word is learned if its log odds and the evidence for them (n times the divergence
+#: of its toxic share from the average; 18 is a chance of about 1e-8) reach these.
+MIN_ODDS, MIN_EVIDENCE = 3.0, 18.0
 TOXIC_SCORE = 0.5
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -183,6 +185,23 @@ def _words(text: str) -> set[str]:
     return set("".join(c if c.isalnum() else " " for c in low).split())
 
 
+def one_of_copies(sample: DataFrame) -> DataFrame:
+    """``sample`` thinned of copies: one text of those that share their least three-word shingle.
+
+    Words of a toxic text with many near copies would pass as insults otherwise.
+    """
+
+    def least(texts, rows):
+        shingles, per = shingles_of(words_of(texts), 3)
+        at = np.concatenate([[0], np.cumsum(per)])
+        low = [shingles[a:b].min() if b > a else 0 for a, b in zip(at[:-1], at[1:])]
+        return {"text": pa.array(texts, pa.string()), "label": rows.column(0),
+                "least": np.array(low, dtype=np.uint64).view(np.int64)}
+
+    return (common.map_texts(sample, "text", least, "text string, label int, least long", ["label"])
+            .groupBy("least", "label").agg(F.min("text").alias("text")).select("text", "label"))
+
+
 def learn_insults(sample: DataFrame) -> dict[str, float]:
     """Weight of each word that is significantly more frequent in toxic documents of ``sample``."""
 
@@ -200,13 +219,15 @@ def learn_insults(sample: DataFrame) -> dict[str, float]:
     if total is None or not total.toxic or not total.clean:
         return {}
     share = total.toxic / (total.toxic + total.clean)
-    expected = (F.col("toxic") + F.col("clean")) * F.lit(share)
+    n, tiny = F.col("toxic") + F.col("clean"), F.lit(1e-12)
+    p = F.col("toxic") / n
+    evidence = n * (p * F.log(p / share + tiny) + (1 - p) * F.log((1 - p) / (1 - share) + tiny))
     odds = (F.log((F.col("toxic") + 0.5) / F.lit(total.toxic + 1.0))
             - F.log((F.col("clean") + 0.5) / F.lit(total.clean + 1.0)))
-    best = (counts.filter((F.col("word") != "") & (F.col("toxic") >= MIN_DOCS))
-            .withColumn("z", (F.col("toxic") - expected) / F.sqrt(expected * (1 - share) + 1e-9))
-            .withColumn("odds", odds).filter((F.col("z") >= MIN_Z) & (F.col("odds") >= 2.0))
-            .orderBy(F.desc("z"), "word").limit(LEXICON_SIZE))
+    best = (counts.filter((F.col("word") != "") & (F.col("toxic") > 0))
+            .select("word", odds.alias("odds"), evidence.alias("evidence"))
+            .filter((F.col("evidence") >= MIN_EVIDENCE) & (F.col("odds") >= MIN_ODDS))
+            .orderBy(F.desc("evidence"), "word").limit(LEXICON_SIZE))
     found = {r.word: float(r.odds) for r in best.collect()}
     common.release(counts)
     return found
@@ -216,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
     """Grammar and model from labelled documents that are not held out (crc32(doc_id) mod 5 is not 0)."""
     sample = common.materialise(
         labelled_sample(docs, labels, "toxic", common.held_out_mod5(F.col("doc_id")), rows), "sample")
-    grammar = Grammar.of(learn_insults(sample))
+    grammar = Grammar.of(learn_insults(one_of_copies(sample)))
 
     def features(texts, batch):
         x = channels(texts, grammar)
