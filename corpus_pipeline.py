@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermart.llm import common, near_dedup, substring_dedup, toxicity
+from pyspark.sql import functions as F
+
+from ordermart.llm import common, decontamination, near_dedup, packing, substring_dedup, toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +26,29 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return near_dedup.keep_one(docs)
 
 
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their texts without passages that an earlier one holds; ``n_chars`` follows the text."""
+    cut = substring_dedup.remove_repeats(docs)
+    return cut.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
+                        for c in docs.columns])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.remove_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and place: the pipeline's result."""
+    return packing.pack(packing.pieces_of(docs))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("near_dedup", drop_near_duplicates),
+    ("substring_dedup", cut_repeated_passages),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
 ]
 
 #: None of the stages can be expressed in SQL; tests/llm holds each against a brute-force version.

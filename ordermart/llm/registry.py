@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .decontamination import op2_qgram_decontamination
 from .near_dedup import op3_probminhash_dedup
+from .packing import op4_best_two_fit
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op2_qgram_decontamination": op2_qgram_decontamination,
     "op3_probminhash_dedup": op3_probminhash_dedup,
+    "op4_best_two_fit": op4_best_two_fit,
     "op7_toxicity": op7_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
 }

@@ -89,18 +89,23 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
 
+def span_hashes(value: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the values in each span [start, end), wherever the span lies; ``value`` is overwritten."""
+    _Tables.upto(len(value))
+    value *= _Tables.powers[:len(value)]
+    total = np.cumsum(value, dtype=_U)
+    before = np.where(start > 0, total[start - 1], _U(0))
+    return mix64((total[end - 1] - before) * _Tables.inverse[start])
+
+
 def words_of(texts: list[str]) -> Words:
     codes, begin = codes_of(texts)
     _Tables.load()
-    _Tables.upto(len(codes))
     value = _Tables.value[codes]
     inside = value != 0
     edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0))
     start, end = edge[0::2], edge[1::2]     # the closing line feed ends the last word
-    value *= _Tables.powers[:len(codes)]
-    total = np.cumsum(value, dtype=_U)
-    before = np.where(start > 0, total[start - 1], _U(0))
-    hashes = mix64((total[end - 1] - before) * _Tables.inverse[start])
+    hashes = span_hashes(value, start, end)
     return Words(hashes, start, end, np.searchsorted(start, begin), begin, codes)
 
 
