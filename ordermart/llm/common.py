@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-#: Characters handled at once inside a task; bounds the numpy work arrays.
-CHUNK_CHARS = 1 << 20
+#: Characters and texts handled at once inside a task; they bound the numpy work arrays.
+CHUNK_CHARS, CHUNK_TEXTS = 1 << 20, 1024
 
 #: CRC remainders that hold rows out of training, as the contracts fix them.
 HELD_OUT_MOD4 = 2
@@ -67,10 +67,10 @@ def release(df: DataFrame) -> None:
 
 
 def in_chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    """(start, end) ranges of at most ``limit`` characters, one text at least."""
+    """(start, end) ranges of at most ``limit`` characters and CHUNK_TEXTS texts, one text at least."""
     start, size = 0, 0
     for i, t in enumerate(texts):
-        if i > start and size + len(t) > limit:
+        if i > start and (size + len(t) > limit or i - start >= CHUNK_TEXTS):
             yield start, i
             start, size = i, 0
         size += len(t)

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from .decontamination import op2_qgram_decontamination
+from .language_id import op1_hyperdimensional_language
 from .near_dedup import op3_probminhash_dedup
 from .packing import op4_best_two_fit
+from .quality import op10_factorisation_quality
 from .substring_dedup import op9_substring_dedup
 from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_hyperdimensional_language": op1_hyperdimensional_language,
     "op2_qgram_decontamination": op2_qgram_decontamination,
     "op3_probminhash_dedup": op3_probminhash_dedup,
     "op4_best_two_fit": op4_best_two_fit,
     "op7_toxicity": op7_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_factorisation_quality": op10_factorisation_quality,
 }
 
 ORACLES: dict[str, str] = {}
