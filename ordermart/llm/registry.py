@@ -8,6 +8,7 @@ from .near_dedup import op3_probminhash_dedup
 from .packing import op4_best_two_fit
 from .quality import op10_factorisation_quality
 from .substring_dedup import op9_substring_dedup
+from .topk import OP5_SQL, op5_exact_top_k
 from .toxicity import op7_toxicity
 
 QUERIES = {
@@ -15,9 +16,12 @@ QUERIES = {
     "op2_qgram_decontamination": op2_qgram_decontamination,
     "op3_probminhash_dedup": op3_probminhash_dedup,
     "op4_best_two_fit": op4_best_two_fit,
+    "op5_exact_top_k": op5_exact_top_k,
     "op7_toxicity": op7_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_factorisation_quality": op10_factorisation_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_exact_top_k": OP5_SQL,
+}
