@@ -7,6 +7,7 @@ from .language_id import op1_hyperdimensional_language
 from .near_dedup import op3_probminhash_dedup
 from .packing import op4_best_two_fit
 from .quality import op10_factorisation_quality
+from .revisits import OP8_SQL, op8_revisit_resolution
 from .substring_dedup import op9_substring_dedup
 from .topk import OP5_SQL, op5_exact_top_k
 from .toxicity import op7_toxicity
@@ -18,10 +19,12 @@ QUERIES = {
     "op4_best_two_fit": op4_best_two_fit,
     "op5_exact_top_k": op5_exact_top_k,
     "op7_toxicity": op7_toxicity,
+    "op8_revisit_resolution": op8_revisit_resolution,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_factorisation_quality": op10_factorisation_quality,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_top_k": OP5_SQL,
+    "op8_revisit_resolution": OP8_SQL,
 }
