@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import op2_qgram_decontamination
+from .extraction import op6_site_style_tree
 from .language_id import op1_hyperdimensional_language
 from .near_dedup import op3_probminhash_dedup
 from .packing import op4_best_two_fit
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_probminhash_dedup": op3_probminhash_dedup,
     "op4_best_two_fit": op4_best_two_fit,
     "op5_exact_top_k": op5_exact_top_k,
+    "op6_site_style_tree": op6_site_style_tree,
     "op7_toxicity": op7_toxicity,
     "op8_revisit_resolution": op8_revisit_resolution,
     "op9_substring_dedup": op9_substring_dedup,
