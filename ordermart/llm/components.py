@@ -24,16 +24,16 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     else:       # u and its lower neighbours hang on the least of them
         out = hung.select("v", "m").union(low.select(F.col("u").alias("v"), "m")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.filter("u <> v").distinct()
+    return out.filter("u <> v")
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every node with an edge; a component is named by its least node."""
     state = common.materialise(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "cc")
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v"), "cc")
     mark = None
     while True:
-        step = common.materialise(_stars(_stars(state, True), False), "cc")
+        step = common.materialise(_stars(_stars(state, True), False).distinct(), "cc")
         common.release(state)
         state = step
         now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -251,9 +251,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns kept."""
-    name = "__matches"
-    while name in docs.columns:
-        name += "_"
+    name = common.free_name(docs, "__matches")
     for index in indexes(benchmark):
         docs = docs.withColumn(name, match_column(F.col("text"), index, docs.sparkSession)).filter(
             F.size(name) == 0).drop(name)

@@ -15,8 +15,8 @@ mark as navigation, forms, scripts, comments and so on (``BOILER_TAGS``,
 and adverts may change from page to page.  If a page marks its article
 (``article``, ``main``), what is in it has importance 1 and main text is
 looked for there only, since an article that is repeated on many pages is
-still an article.  Places that fewer than ``OWN_PAGES`` pages of a host
-have are judged by the tree merged over all hosts, those that fewer than
+still an article; what holds it stays too.  Copies of a page count once.
+Places that fewer than ``OWN_PAGES`` pages of a host have are judged by the tree merged over all hosts, those that fewer than
 ``ALL_PAGES`` pages have at all are kept.
 
 Scale.  The first pass sends one narrow row per page and place.  Entropies
@@ -212,9 +212,13 @@ class Page:
     def main_text(self, low: frozenset) -> str:
         """Blocks of main text, without the branches whose place is in ``low``."""
         n = len(self.tag)
+        whole = [t in ("html", "body") for t in self.tag]      # what holds the page or an article stays
+        for i in range(n - 1, 0, -1):
+            if whole[i] or self.role[i] == ARTICLE:
+                whole[self.parent[i]] = True
         out = [False] * n
         for i in range(1, n):
-            out[i] = out[self.parent[i]] or self.place[i] in low
+            out[i] = out[self.parent[i]] or (self.place[i] in low and not whole[i])
         marked = any(self.role[i] == ARTICLE and not out[i] for i in range(n))
         blocks: dict[int, list[str]] = {}
         for i, text, block in self.runs:
@@ -270,8 +274,8 @@ def extract(pages: DataFrame) -> DataFrame:
     common.ship_package(pages.sparkSession)
     names = [c for c in pages.columns if c != "text"]
     key = F.xxhash64(_host(pages["url"]), F.coalesce(pages["html"], F.lit("")))
-    rows = common.materialise(style_rows(pages.select(key.alias("page_key"), _host(pages["url"]).alias("host"), "html")), "styles")
-    cuts = (rows.select("page_key", "host", "place").distinct().join(low_places(rows), ["host", "place"])
+    rows = common.materialise(style_rows(pages.select(key.alias("page_key"), _host(pages["url"]).alias("host"), "html")).distinct(), "styles")
+    cuts = (rows.select("page_key", "host", "place").join(low_places(rows), ["host", "place"])
             .groupBy("page_key").agg(F.collect_set("place").alias("low")))
     cuts = common.materialise(cuts, "cuts")
     common.release(rows)
@@ -283,7 +287,7 @@ def extract(pages: DataFrame) -> DataFrame:
                           for h, x in zip(html, low)])
 
     joined = pages.join(cuts, key == cuts["page_key"], "left")
-    return joined.select(*[pages[c] for c in names], main_text(pages["html"], cuts["low"]).alias("text"))
+    return joined.select(*[pages[f"`{c}`"] for c in names], main_text(pages["html"], cuts["low"]).alias("text"))
 
 
 def op6_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

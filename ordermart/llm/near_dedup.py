@@ -15,12 +15,12 @@ pre-aggregated group-by, and only one row of a class goes on.  A bucket
 (texts equal in a band) is never expanded into pairs: its members are
 compared with its least member, and a group of copies is one component
 after that.  What is left are buckets of several components, as those of
-texts that share a frequent passage.  Their texts are joined exactly by
-prefix filtering (``_prefix_buckets``), and only texts of different
-components are compared, with pivots that multiply from round to round
-until each bucket is one component or all its members were pivots; so no
-link between components is lost.  Joins on a hot pivot or bucket are
-sort-merge joins between two shuffles, which adaptive execution splits.
+texts that share a frequent passage.  Prefix filtering (``_prefix_buckets``)
+finds which of their texts can still be linked; these are compared block by
+block (``_block_links``), unless they are in one component, so no link
+between components is lost and no pair becomes a row.  Joins on a hot pivot
+or bucket are sort-merge joins between two shuffles, which adaptive
+execution splits.
 
 Results on edge cases.  Null, empty and wordless texts have no shingle:
 they are in no group, their class is their own doc_id and they are always
@@ -47,8 +47,8 @@ THRESHOLD = 0.8
 #: 26 bands of 5 registers: at similarity 0.8 a pair is missed with probability 3e-5.
 BANDS, ROWS = 26, 5
 M = BANDS * ROWS
-#: Pivots of a prefix bucket in the first round; sixteen times as many from round to round.
-PIVOTS = 64
+#: Shingle sets of a block; two blocks are compared in one task.
+BLOCK_NODES = 256
 
 _U = np.uint64
 _LAST_ID = (1 << 63) - 1
@@ -184,20 +184,57 @@ def _components(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     unsettled = common.materialise(_unsettled(members.filter("n > 2"), comps), "open")
     if unsettled.isEmpty():
         return comps
-    members = common.materialise(_prefix_buckets(unsettled.select("node", "comp").distinct(), sets), "prefixes")
-    unsettled, pivots = members, PIVOTS
-    while not unsettled.isEmpty():
-        # about ``pivots`` members of each bucket, all members of a bucket no larger
-        chance = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 30)) / float(1 << 30)
-        chosen = unsettled.filter(chance * F.col("n") < pivots).select(
-            "bucket", F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
-        pairs = (unsettled.join(chosen, "bucket").filter("comp <> pivot_comp")
-                 .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        comps = connected_components(_jaccard(pairs, sets).union(
-            comps.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
-        unsettled = common.materialise(_unsettled(members.filter(F.col("n") > pivots), comps), "open")
-        pivots *= 16
-    return comps
+    prefixes = common.materialise(_prefix_buckets(unsettled.select("node", "comp").distinct(), sets), "prefixes")
+    if prefixes.isEmpty():
+        return comps
+    more = _block_links(prefixes, sets)
+    return connected_components(more.union(
+        comps.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
+
+
+def _block_links(prefixes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of different components that prefix buckets connect.
+
+    Nodes that buckets connect are a cluster; a cluster is cut into blocks
+    of about BLOCK_NODES sets, and each two blocks meet in one task.
+    """
+    # buckets and nodes are both 64-bit hashes: a star for each bucket
+    clusters = connected_components(prefixes, "bucket", "node").withColumnRenamed("component", "cluster")
+    members = prefixes.select("node", "comp").distinct().join(clusters, "node")
+    sized = (members.groupBy("cluster").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo < hi").select("cluster", F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("blocks")))
+    placed = (members.join(sized, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+              .join(sets, "node")
+              .select("cluster", "node", "comp", "block", "items", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+              .select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                      "node", "comp", "block", "items"))
+
+    def meet(key, rows):
+        import pandas as pd
+
+        sizes = np.fromiter(map(len, rows["items"]), np.int64, len(rows))
+        nodes, comps, block = (rows[c].to_numpy() for c in ("node", "comp", "block"))
+        _, flat = np.unique(np.concatenate(rows["items"].to_numpy()), return_inverse=True)
+        first = np.cumsum(sizes) - sizes
+        mark = np.zeros(flat.max(initial=-1) + 1, dtype=np.int64)
+        left = np.flatnonzero(block == key[1])
+        a, b = [], []
+        for i in left.tolist():
+            right = np.flatnonzero((block == key[2]) & (comps != comps[i]) & ((key[1] != key[2]) | (nodes > nodes[i]))
+                                   & (np.minimum(sizes, sizes[i]) >= THRESHOLD * np.maximum(sizes, sizes[i])))
+            if len(right):
+                own = flat[first[i]:first[i] + sizes[i]]
+                mark[own] = 1
+                n = sizes[right]
+                begin = np.cumsum(n) - n
+                both = np.add.reduceat(mark[flat[np.repeat(first[right] - begin, n) + np.arange(n.sum())]], begin)
+                mark[own] = 0
+                good = right[both >= THRESHOLD * (n + sizes[i] - both)]
+                a += [int(nodes[i])] * len(good)
+                b += nodes[good].tolist()
+        return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+
+    return placed.groupBy("cluster", "lo", "hi").applyInPandas(meet, "a long, b long")
 
 
 def _unsettled(members: DataFrame, comps: DataFrame) -> DataFrame:
@@ -267,13 +304,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without all but one document of each near-duplicate class, all columns kept."""
     kept = common.materialise(near_duplicates(docs).filter("kept").groupBy("id", "row_key")
                               .agg(F.count("*").alias("n"), F.max(F.col("class_id").isNull()).alias("free")), "kept")
-    key, names = F.xxhash64(F.coalesce(docs["text"], F.lit(""))), docs.columns
+    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     hit = docs["doc_id"].eqNullSafe(kept["id"]) & (key == kept["row_key"])
     wordless = F.length(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), "[^\\p{L}\\p{N}]", "")) == 0
     if not kept.filter("n > 1").isEmpty():
         # repeated rows of one document: only one of them stays, but for texts without words
-        once = docs.join(kept, hit).filter(~wordless).select(docs["*"]).dropDuplicates(["doc_id", "text"])
-        return once.union(docs.filter(wordless)).select(*names)
+        once = docs.join(kept, hit, "left_semi").filter(~wordless).dropDuplicates(["doc_id", "text"])
+        return once.union(docs.filter(wordless))
     return docs.join(kept, hit, "left_semi")
 
 

@@ -157,12 +157,12 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         return pd.DataFrame({"text": [None if o is None else t for o, t in zip(text, out_t)],
                              "spans": [[{"start": x, "end": y} for x, y in s] for s in out_s]})
 
-    names = docs.columns
+    names, made = docs.columns, common.free_name(docs, "__cut")
     joined = docs.join(again, docs["doc_id"].eqNullSafe(again["id"])
                        & (F.xxhash64(docs["text"]) == again["row_key"]), "left")
-    done = joined.select(*[docs[c] for c in names], cut(docs["text"], again["units"]).alias("__cut"))
-    return done.select(*[F.col("__cut.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
-                       F.col("__cut.spans").alias("removed_spans"))
+    done = joined.select(*[docs[f"`{c}`"] for c in names], cut(docs["text"], again["units"]).alias(made))
+    return done.select(*[F.col(f"{made}.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
+                       F.col(f"{made}.spans").alias("removed_spans"))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -273,9 +273,7 @@ def score_column(text: Column, grammar: Grammar, spark: SparkSession) -> Column:
 
 def remove_toxic(docs: DataFrame, grammar: Grammar) -> DataFrame:
     """The rows of ``docs`` whose score is below TOXIC_SCORE, all columns kept."""
-    name = "__toxicity"
-    while name in docs.columns:
-        name += "_"
+    name = common.free_name(docs, "__toxicity")
     return docs.withColumn(name, score_column(F.col("text"), grammar, docs.sparkSession)).filter(
         F.col(name) < TOXIC_SCORE).drop(name)
 
