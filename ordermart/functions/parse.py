@@ -60,6 +60,14 @@ def parse_decimal(c, dtype=RAW_PRICE_TYPE) -> Column:
     return F.when(is_decimal_text(c), s.try_cast(dtype.simpleString()))
 
 
+def has_excess_decimals(c) -> Column:
+    """More fraction digits than RAW_PRICE_TYPE holds, trailing zeros left out."""
+    s = F.regexp_replace(strip_all(c), "_", "")
+    fraction = F.regexp_replace(F.regexp_extract(s, r"[.]([0-9]*)", 1), "0+$", "")
+    exponent = F.coalesce(F.regexp_extract(s, r"[eE]([+-]?[0-9]+)", 1).try_cast("int"), F.lit(0))
+    return is_decimal_text(c) & s.rlike("^[^eE]*[1-9]") & (F.length(fraction) - exponent > RAW_PRICE_TYPE.scale)
+
+
 def is_strict_date_text(c) -> Column:
     s = strip_all(c)
     return s.rlike(STRICT_DATE_SYNTAX) & F.try_to_date(s, "yyyy-MM-dd").isNotNull()

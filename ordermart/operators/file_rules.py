@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.amounts import to_price, total_incremental
 from ..functions.clean import strip_all
 from ..functions.parse import (STRICT_DATE_SYNTAX as STRICT_DATE_RE, is_decimal_text, is_int_text,
-                               is_non_finite_text, parse_decimal, parse_int, parse_int_wide)
+                               has_excess_decimals, is_non_finite_text, parse_decimal, parse_int, parse_int_wide)
 from ..schemas import CUSTOMER_COLUMNS, ORDER_COLUMNS, VARCHAR_LIMITS
 
 # Message texts of the source project.
@@ -81,7 +81,8 @@ def prepare(rows: DataFrame, kind: str) -> DataFrame:
         q, p = F.col("quantity"), F.col("unit_price")
         extra += [is_int_text(q).alias("_q_is_int"), parse_int_wide(q).alias("_q_wide"),
                   parse_int(q).alias("_q_int"), is_decimal_text(p).alias("_p_is_dec"),
-                  is_non_finite_text(p).alias("_p_non_finite"), parse_decimal(p).alias("_p_dec")]
+                  is_non_finite_text(p).alias("_p_non_finite"),
+                  has_excess_decimals(p).alias("_p_excess"), parse_decimal(p).alias("_p_dec")]
     out = rows.select("*", *extra)
     for c in KINDS[kind]["dates"]:
         s_ = F.col(f"_s_{c}")
@@ -127,6 +128,7 @@ def row_checks(kind: str) -> list[Column]:
             _v(F.col("_q_is_int") & qi.isNull(), 3, 10,
                _msg("{file}, row {row}: {col} is outside the INT range.", "quantity")),
             _v(fin & pr.isNull(), 3, 11, _msg("{file}, row {row}: {col} is outside DECIMAL(12,2).", "unit_price")),
+            _v(F.col("_p_excess"), 3, 11, _msg("{file}, row {row}: {col} has more than 17 decimals.", "unit_price")),
             _v(fin & qi.isNotNull() & pr.isNotNull() & F.col("_total").isNull(), 3, 12,
                _msg("{file}, row {row}: {col} is outside DECIMAL(14,2).", "total_amount")),
         ]
@@ -164,7 +166,7 @@ def file_verdicts(contract: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
     aggregate with a map-side partial step (no sort, no string buffers,
     and no filter that the optimizer could push into the scan's joins).
     Pass 2 rebuilds the message for the one winning row of each file
-    (a broadcast semi-join; one row per failing file).
+    (a semi-join with one row per failing file).
     """
     keyed = (prepare(rows, kind).select("file_name", "row_number", first_row_error(kind).alias("e"))
              .select("file_name", _error_key(F.col("e")).alias("ekey")))
@@ -172,8 +174,8 @@ def file_verdicts(contract: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
                .where(F.col("ekey").isNotNull())
                .select("file_name", F.shiftright("ekey", 12).bitwiseAND(F.lit((1 << 40) - 1))
                        .alias("row_number")))
-    # one row per failing file of this batch: bounded by the file list
-    hit = rows.join(F.broadcast(winners), ["file_name", "row_number"], "left_semi")
+    # one row per failing file; AQE broadcasts it if its measured size allows
+    hit = rows.join(winners, ["file_name", "row_number"], "left_semi")
     first = prepare(hit, kind).select("file_name", first_row_error(kind)["message"].alias("message"))
     j = contract.join(first, "file_name", "left")
     err = F.coalesce(F.col("contract_error"), F.col("message"))
@@ -202,8 +204,27 @@ def date_violations(rows: DataFrame, date_col: str) -> DataFrame:
     return rows.select("file_name", "row_number", msg.alias("message")).where(F.col("message").isNotNull())
 
 
-def raise_on_date_errors(violations: DataFrame, limit: int = 1000) -> None:
-    """Raise once with the collected messages (at most ``limit`` lines shown)."""
-    msgs = [r.message for r in violations.orderBy("file_name", "row_number").limit(limit).collect()]
-    if msgs:
-        raise ValueError(DATE_CHECK_HEADER + "\n".join(msgs))
+class DateErrors(ValueError):
+    """Carries the exact number of errors and the folder with all of them."""
+
+    def __init__(self, total: int, path: str, shown: list[str]):
+        self.total, self.path = total, path
+        rest = "" if total == len(shown) else f"\n... {total} errors in all, every one of them in {path}"
+        super().__init__(DATE_CHECK_HEADER + "\n".join(shown) + rest)
+
+
+def raise_on_date_errors(violations: DataFrame, shown: int = 1000) -> None:
+    """Raise once if there are violations.
+
+    All of them are written to the shared folder; the message holds the
+    first ``shown`` lines and, if there are more, the total and the folder.
+    """
+    from ..session import scratch_path
+    spark = violations.sparkSession
+    path = scratch_path(spark, "date-errors")
+    violations.write.parquet(path)
+    found = spark.read.schema(violations.schema).parquet(path)
+    total = found.count()
+    if total:
+        first = found.orderBy("file_name", "row_number").limit(shown)
+        raise DateErrors(total, path, [r.message for r in first.collect()])

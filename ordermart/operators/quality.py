@@ -106,6 +106,7 @@ FULL_REFRESH_RULES: list[Rule] = [
          & F.col("total_amount").isNull()),
 ]
 
+# Fixed value: the header of the source project's message.
 VERDICT_HEADER = "Task 1 validation failed:"
 
 
@@ -165,8 +166,8 @@ def applicable(rules: list[Rule], tables: dict[str, DataFrame]) -> list[Rule]:
         df = tables.get(r.table)
         if df is None or (r.parent and r.parent not in tables):
             continue
-        if any(c not in df.columns for c in r.needs):
-            continue
+        if lacking := [c for c in r.needs if c not in df.columns]:
+            raise ValueError(f"rule {r.rule_id} needs the columns {lacking} of {r.table}")
         out.append(r)
     return out
 

@@ -43,7 +43,7 @@ def parse_int(x: str) -> str:
 def parse_dec(x: str) -> str:
     s = strip(x)
     return (f"(CASE WHEN regexp_full_match({s}, '{DEC_RE}') "
-            f"THEN TRY_CAST(replace({s}, '_', '') AS DECIMAL(27,10)) END)")
+            f"THEN TRY_CAST(replace({s}, '_', '') AS DECIMAL(27,17)) END)")
 
 
 def date_strict(x: str) -> str:

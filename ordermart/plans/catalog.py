@@ -33,20 +33,10 @@ def _fact(spark, sf_dir, messy=False) -> DataFrame:
     return model.build_fact_order(_model(spark, sf_dir, messy)[3])
 
 
-def _dim(spark, sf_dir, messy=False) -> DataFrame:
-    return model.build_dim_customer(_model(spark, sf_dir, messy)[2])
-
-
 def q_monthly_sales(spark, sf_dir):
     return reports.monthly_sales(_fact(spark, sf_dir))
 
 
-def _dim_attributes(spark, sf_dir):
-    """dim_customer without its surrogate key: the reports join on the
-    business key and read only attributes, so no key numbering is run."""
-    return _model(spark, sf_dir)[2]
-
-
 def q_sales_by_city(spark, sf_dir):
     _, _, customers, orders = _model(spark, sf_dir)
     return reports.sales_by_city(model.build_fact_order(orders), customers)
@@ -216,7 +206,7 @@ def q_describe_tables(spark, sf_dir):
 
 def q_preview_customers(spark, sf_dir):
     """Ten cleaned customers, ordered."""
-    return reports.preview(q_dim_customer(spark, sf_dir),
+    return reports.preview(_messy_transformed_customers(spark, sf_dir),
                            ["customer_id", "customer_name", "city", "email"], "customer_id")
 
 
@@ -230,7 +220,8 @@ def q_preview_orders(spark, sf_dir):
 # ------------------------------------------------------------ quality
 
 def _candidates(spark, sf_dir):
-    dim = model.build_dim_customer(_messy_transformed_customers(spark, sf_dir))
+    # no rule reads the surrogate key, so it is not numbered here
+    dim = _messy_transformed_customers(spark, sf_dir)
     fact = tamper_totals(_messy_transformed_orders(spark, sf_dir, keep_raw=True))
     return {"customers": dim, "orders": fact}
 
@@ -292,9 +283,7 @@ def _scan(spark, landing, kind):
     from .incremental import KIND_COLUMNS
     from ..sources.files import file_contract, project_by_name, scan_records
     ls = landing.list_csv(CUSTOMERS_PREFIX if kind == "customers" else ORDERS_PREFIX)
-    meta = ls.select("path", "length").collect()
-    bound = len(meta) + sum(int(r["length"]) for r in meta) // (128 << 20)
-    scan = scan_records(spark, [r["path"] for r in meta], split_bound=bound)
+    scan = scan_records(spark, [r["path"] for r in ls.select("path").collect()])
     rows = project_by_name(scan, KIND_COLUMNS[kind]).withColumn("file_name", landing.key(F.col("path")))
     return ls, scan, rows, file_contract(ls, scan, KIND_COLUMNS[kind])
 

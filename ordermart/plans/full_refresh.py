@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import quality
 from ..schemas import CUSTOMER_COLUMNS, ORDER_COLUMNS
-from ..sources.files import Landing, MissingInput, project_by_name, scan_records
+from ..session import reliable_checkpoint, scratch_path
+from ..sources.files import Landing, MissingInput, check_required, project_by_name, scan_records
 from . import model
 from .warehouse import Warehouse
 
@@ -28,17 +29,12 @@ class FullRefreshResult:
     fact: DataFrame            # published fact_order
 
 
-def read_raw(landing: Landing, prefix: str, columns: list[str], keep_position: bool = False,
-             multi_line: bool = False) -> DataFrame:
-    """S1 + S4: the CSV objects under a prefix, by header name; none -> error."""
-    ls = landing.list_csv(prefix)
-    meta = ls.select("path", "length").collect()      # object paths for the reader
+def read_raw(landing: Landing, prefix: str, columns: list[str], keep_position: bool = False) -> DataFrame:
+    """The CSV objects under a prefix, by header name; none -> error."""
+    meta = landing.list_csv(prefix).select("path").collect()      # object paths for the reader
     if not meta:
         raise MissingInput(f"Required input not found: {prefix}")
-    scan = scan_records(landing.spark, [r["path"] for r in meta],
-                        split_bound=len(meta) + sum(int(r["length"]) for r in meta) // (128 << 20),
-                        multi_line=multi_line)
-    rows = project_by_name(scan, columns)
+    rows = project_by_name(scan_records(landing.spark, [r["path"] for r in meta]), columns)
     if keep_position:
         return rows.withColumn("file_name", landing.key(F.col("path")))
     return rows.select(*columns)
@@ -46,30 +42,34 @@ def read_raw(landing: Landing, prefix: str, columns: list[str], keep_position: b
 
 def run_full_refresh(spark: SparkSession, landing: Landing, warehouse: Warehouse,
                      customers_prefix: str, orders_prefix: str,
-                     check_dates: bool = False, multi_line: bool = False) -> FullRefreshResult:
-    # 1. check input: customers are reported first
-    raw_c = read_raw(landing, customers_prefix, CUSTOMER_COLUMNS, check_dates, multi_line)
-    raw_o = read_raw(landing, orders_prefix, ORDER_COLUMNS, check_dates, multi_line)
+                     check_dates: bool = False) -> FullRefreshResult:
+    # 1. check input, before any file is read: customers are reported first
+    check_required(landing, [customers_prefix, orders_prefix])
+    raw_c = read_raw(landing, customers_prefix, CUSTOMER_COLUMNS, check_dates)
+    raw_o = read_raw(landing, orders_prefix, ORDER_COLUMNS, check_dates)
     if check_dates:
         # the source project's all-errors date check, run before loading
         from ..operators.file_rules import date_violations, raise_on_date_errors
         raise_on_date_errors(date_violations(raw_c, "created_date")
                              .unionByName(date_violations(raw_o, "order_date")))
         raw_c, raw_o = raw_c.select(*CUSTOMER_COLUMNS), raw_o.select(*ORDER_COLUMNS)
-    # 2. staging (truncate + insert, typed)
+    # 2. staging (truncate + insert, typed); the number texts go along for the type-limit rules
     warehouse.write("stg_customers", model.stage_customers(raw_c))
-    warehouse.write("stg_orders", model.stage_orders(raw_o))
+    wide = model.stage_orders(raw_o, keep_raw=True)
+    path = scratch_path(spark, "stg-orders-wide")
+    wide.write.parquet(path)
+    wide = spark.read.schema(wide.schema).parquet(path)
+    warehouse.write("stg_orders", wide)
     # 3. transform, from the staging tables
     tr_c = model.transform_customers(warehouse.read("stg_customers"))
-    tr_o = model.transform_orders(warehouse.read("stg_orders"))
+    tr_o = model.transform_orders(wide)
     # 4. candidates: surrogate keys are numbered once (checkpointed)
     dim = model.build_dim_customer(tr_c)
-    fact = model.build_fact_order(tr_o)
     # 5. validate the candidates, then publish
-    report = quality.check({"customers": dim, "orders": fact}).cache()
+    report = reliable_checkpoint(quality.check({"customers": dim, "orders": tr_o}))      # one row per rule
     quality.raise_on_failure(report)
     warehouse.write("dim_customer", dim)
-    warehouse.write("fact_order", fact)
+    warehouse.write("fact_order", model.build_fact_order(tr_o))
     return FullRefreshResult(report=report, dim=warehouse.read("dim_customer"),
                              fact=warehouse.read("fact_order"))
 

@@ -43,6 +43,7 @@ from ..sources.files import (Landing, check_any_files, file_contract, project_by
 
 KIND_COLUMNS = {"customers": CUSTOMER_COLUMNS, "orders": ORDER_COLUMNS}
 SUCCESS, FAILED, SKIPPED, PROCESSING, UNTOUCHED = "SUCCESS", "FAILED", "SKIPPED", "PROCESSING", "UNTOUCHED"
+# Fixed value: the source project's limit of a stored error message.
 ERROR_LIMIT = 1000
 
 
@@ -152,8 +153,6 @@ class IncrementalConfig:
     customers_prefix: str = "raw/customers"
     orders_prefix: str = "raw/orders"
     on_error: str = "stop"          # "stop" (source behaviour) or "continue"
-    max_fields: int = 64
-    multi_line: bool = False        # quoted fields may hold newlines (one task per file)
 
 
 @dataclass
@@ -185,20 +184,15 @@ def plan_files(listing: DataFrame, tracker_latest: DataFrame) -> DataFrame:
             .withColumn("action", F.when(F.col("prev_status") == SUCCESS, "SKIP").otherwise("PROCESS")))
 
 
-def _split_bound(files: list) -> int:
-    return len(files) + sum(int(r["length"]) for r in files) // (128 << 20)
-
-
-def scan_kind(spark: SparkSession, landing: Landing, files: DataFrame, kind: str, max_fields: int = 64,
-              multi_line: bool = False):
+def scan_kind(spark: SparkSession, landing: Landing, files: DataFrame, kind: str):
     """Rows by name (+ file_name) and the contract of each file."""
     # The reader needs the object paths, as any Spark file source does:
     # one small row per file to process.
-    meta = files.select("path", "length").collect()
+    meta = files.select("path").collect()
     cols = KIND_COLUMNS[kind]
     if not meta:
         return None, None
-    scan = scan_records(spark, [r["path"] for r in meta], max_fields, _split_bound(meta), multi_line)
+    scan = scan_records(spark, [r["path"] for r in meta])
     rows = project_by_name(scan, cols).withColumn("file_name", landing.key(F.col("path")))
     contract = file_contract(files.select("file_name", "path"), scan, cols)
     return rows, contract
@@ -212,8 +206,7 @@ def decide(spark: SparkSession, landing: Landing, plan: DataFrame, cfg: Incremen
     todo = plan.where(F.col("action") == "PROCESS")
     verdicts, rows_by_kind = None, {}
     for kind in ("customers", "orders"):
-        rows, contract = scan_kind(spark, landing, todo.where(F.col("kind") == kind), kind,
-                                   cfg.max_fields, cfg.multi_line)
+        rows, contract = scan_kind(spark, landing, todo.where(F.col("kind") == kind), kind)
         if rows is None:
             continue
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -282,10 +275,8 @@ def run_incremental(spark: SparkSession, landing: Landing, store: IngestionStore
     store.record_events(touched.select("file_name", F.lit(PROCESSING).alias("status"),
                                        F.lit(0).alias("record_count"),
                                        F.lit(None).cast("string").alias("error_message")), batch, 1)
-    # one row per good file of this run, whose paths the driver already
-    # handed to the reader: bounded, so broadcast
-    good = F.broadcast(decided.where(F.col("status") == SUCCESS)
-                       .select("file_name", F.col("ordinal").alias("file_ordinal")))
+    # one row per good file; AQE broadcasts it if its measured size allows
+    good = decided.where(F.col("status") == SUCCESS).select("file_name", F.col("ordinal").alias("file_ordinal"))
     for kind, rows in rows_by_kind.items():
         pub = publish_rows(kind, rows.join(good, "file_name", "inner"))
         store.table(kind).append(pub, batch)

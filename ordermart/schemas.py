@@ -30,9 +30,11 @@ PRICE_TYPE = T.DecimalType(12, 2)
 TOTAL_TYPE = T.DecimalType(14, 2)
 # Report sums are widened to the largest decimal, as a warehouse does.
 SUM_TYPE = T.DecimalType(38, 2)
-# Parse type for raw prices: 10 fractional digits, and the product with
-# an INT quantity (10 digits) still fits in 38 digits without rounding.
-RAW_PRICE_TYPE = T.DecimalType(27, 10)
+# Parse type for raw prices: as many integer digits as PRICE_TYPE has, and
+# 17 fraction digits, so that the product with an INT quantity (10 digits)
+# fits in 38 digits without rounding.  Prices with more decimals are a
+# violation (D17), never rounded.
+RAW_PRICE_TYPE = T.DecimalType(27, 17)
 
 
 def _struct(fields):

@@ -4,39 +4,51 @@ read, never changed (S7).
 
 Scan design, one pass over any mix of headers:
 
-* ``spark.read.text`` + one ``regexp_extract_all`` split every record
-  into its fields (quoted fields, doubled quotes; any field count).
-  Unlike the CSV source this keeps whitespace-only records (Python's
-  csv module yields them too) and drops only empty lines, which are not
-  records either.
+* ``spark.read.text`` + a field split: a plain split where a line has no
+  quote, else one ``regexp_extract_all`` with possessive loops (no
+  recursion, any field length) and, as in Python's csv module, text after
+  a closing quote kept.  Whitespace-only records stay, empty lines go.
+* A quoted field may hold line feeds.  The first pass marks the files that
+  have a line with an open quote; only those are read as a stream of lines
+  through the csv module, one task per file, lines in order and never
+  collected.  All other files are split freely.
 * Every record gets its split (``_metadata.file_path``,
   ``_metadata.file_block_start``) and ``monotonically_increasing_id``.
   One hash aggregation gives per split its first id and record count; a
   running sum over the splits of a file (one row per split) gives the
   offset.  Record number = offset + id - first id + 1: the header is 1,
-  data starts at 2.  No window and no sort runs over data rows.
+  data starts at 2.  No window and no sort runs over data rows.  The second
+  pass checks each record against its split: if the file was cut otherwise
+  in between, the job raises instead of losing or renumbering rows.
 * The first record of a file is its header; each required column is
   taken from the header position of its name (case-sensitive, the last
   one wins for a repeated name, as ``csv.DictReader`` does).
 
-The split summary holds one row per input split, a number the driver
-already plans for the scan; it is broadcast only below a bound checked
-from the listing, otherwise joined by a normal (AQE-managed) join.
+The split summary has fixed-width rows (40 bytes: file hash, block, first
+id, count, offset).  It is broadcast if its counted rows are within
+``BROADCAST_BYTES`` (800,000 splits take 32 MB), else joined by a normal
+(AQE-managed) join.  Paths are decoded once, so names may hold any
+character but a leading ``_`` or ``.``, which Spark's readers hide.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..session import reliable_checkpoint
 
-MAX_FIELDS = 64
-# Split summaries up to this many rows are broadcast (about 20 MB), and
-# per-file headers up to this many files.
-BROADCAST_SPLITS = 50_000
-BROADCAST_FILES = 50_000
+# Largest summary (one row per split, or one header per file) that is broadcast.
+BROADCAST_BYTES = 256 << 20
+SPLIT_ROW_BYTES, HEADER_ROW_BYTES = 40, 500
+
+
+def _within(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """Broadcast ``df`` if its counted rows fit; AQE decides otherwise."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -71,7 +83,7 @@ class Landing:
         self.root = qualified(self.spark, self.root)
 
     def key(self, path: Column) -> Column:
-        return F.substring(path, len(self.root) + 2, 1 << 30)
+        return F.substr(path, F.lit(len(self.root) + 2))
 
     def exists(self, key: str) -> bool:
         fs, p = _hadoop(self.spark, f"{self.root}/{key}")
@@ -90,8 +102,7 @@ class Landing:
         if not self.exists(prefix.strip("/")):
             return self.spark.createDataFrame([], LISTING_SCHEMA)
         src = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-        names = [_norm_uri(p) for p in src.inputFiles()
-                 if p.lower().endswith(".csv") and not p.endswith("/")]
+        names = [unquote(_norm_uri(p)) for p in src.inputFiles() if p.lower().endswith(".csv")]
         if not names:
             return self.spark.createDataFrame([], LISTING_SCHEMA)
         objects = self.spark.createDataFrame([(p,) for p in names], "path string")
@@ -123,108 +134,125 @@ def check_required(landing: Landing, keys: list[str]) -> None:
 def check_any_files(listing: DataFrame) -> None:
     """S3: no CSV under any prefix is an error; one empty prefix is fine."""
     if listing.isEmpty():
+        # fixed value: the source project's message, less a word
         raise MissingInput("No CSV files found under the configured customer/order prefixes.")
 
 
-# One CSV field: a quoted field (doubled quotes inside) or a run of
-# non-commas, starting at the line start or right after a comma.
-CSV_FIELD_RE = '(?<=^|,)("(?:[^"]|"")*"|[^,]*)'
+# One CSV field: a quoted part (doubled quotes inside) with what follows its
+# closing quote, or a run of non-commas, at the line start or after a comma.
+CSV_FIELD_RE = '(?<=^|,)("(?:[^"]++|"")*+"[^,]*+|[^,]*+)'
+QUOTED_RE = '^"((?:[^"]++|"")*+)"(.*+)$'
+# A quote opens a field and is not closed on the line (or may look so: such
+# files are read by the csv module, which decides).
+OPEN_QUOTE_RE = '(?:^|,)"(?:[^"]++|"")*+$'
 
 
 def csv_fields(line) -> Column:
-    """Split one CSV record into its fields (RFC 4180 quoting, no newlines)."""
+    """Split one CSV record without line feeds into its fields, as Python's csv module does."""
+    line = F.col(line) if isinstance(line, str) else line
     raw = F.regexp_extract_all(line, F.lit(CSV_FIELD_RE), 1)
-    return F.transform(raw, lambda x: F.when(
-        x.startswith('"') & x.endswith('"') & (F.length(x) >= 2),
-        F.replace(F.substring(x, 2, 1 << 30).substr(F.lit(1), F.length(x) - 2), F.lit('""'), F.lit('"')))
+    quoted = F.transform(raw, lambda x: F.when(
+        x.startswith('"') & x.rlike(QUOTED_RE),
+        F.concat(F.replace(F.regexp_extract(x, QUOTED_RE, 1), F.lit('""'), F.lit('"')), F.regexp_extract(x, QUOTED_RE, 2)))
         .otherwise(x))
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
 
 
 @dataclass
 class CsvScan:
     records: DataFrame   # path, record_number, fields, header
-    splits: DataFrame    # path, block, first_rid, n, offset
+    splits: DataFrame    # path, n (records) per split
     headers: DataFrame   # path, header
 
 
-def _multiline_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Records that may span lines: a line continues the record before it
-    while the quotes seen so far in that record are unbalanced.
+def _reader_path(path: str) -> str:
+    """A path as the reader takes it: pattern characters are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
-    Record boundaries need the lines of a file in order, so this runs one
-    window per file (like Spark's own multiLine CSV mode, a file is not
-    split).  Off by default.
-    """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("pos"),
-        "value", (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("q"))
-    w = Window.partitionBy("path").orderBy("pos")
-    before = F.coalesce(F.sum("q").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # parity of all quotes before the line; a record starts where it is even
-    lines = lines.withColumn("starts", (before % 2 == 0).cast("int"))
-    lines = lines.withColumn("rec", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    recs = (lines.groupBy("path", "rec")
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("parts"))
-            .select("path", "rec", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"))
-            .where(F.col("value") != ""))
-    n = Window.partitionBy("path").orderBy("rec")
-    return recs.select("path", F.row_number().over(n).alias("record_number"), "value")
-
-
-def scan_records(spark: SparkSession, paths: list[str], max_fields: int | None = None,
-                 split_bound: int | None = None, multi_line: bool = False) -> CsvScan:
-    """S4 + S6: every CSV record with (path, record_number, fields, header).
-
-    Three light passes over the text, no shuffle of records:
-    1. per split: first id and record count (hash aggregate, one row per split);
-    2. header: the first record of each file, found by a broadcast semi-join
-       on (path, first id) and parsed alone;
-    3. every record: broadcast joins with the split offsets and headers.
-    ``max_fields`` is kept for API compatibility: any field count is read.
-    ``multi_line`` allows quoted fields with newlines (one task per file).
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, block, value) of every line; paths decoded."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.when(path.startswith("file:///"), F.concat(F.lit("file:/"), F.substr(path, F.lit(9)))).otherwise(path)
+    return spark.read.text([_reader_path(p) for p in paths]).select(
+        path.alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+
+
+def _stream_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, record_number, fields) of files with line feeds in quoted fields.
+
+    The lines of a file come to one task in order and flow through the csv
+    module as a stream, so memory is bounded by one record.
     """
-    if multi_line:
-        rec = reliable_checkpoint(_multiline_records(spark, paths))
-        headers = (rec.where(F.col("record_number") == 1)
-                   .select("path", csv_fields("value").alias("header")))
-        splits = rec.groupBy("path").agg(F.count(F.lit(1)).alias("n")).select(
-            "path", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("first_rid"), "n",
-            F.lit(0).cast("long").alias("offset"), F.lit(1).alias("split_rank"))
-        per_file = F.broadcast if len(paths) <= BROADCAST_FILES else (lambda df: df)
-        records = (rec.join(per_file(headers), "path", "left")
-                   .select("path", "record_number", csv_fields("value").alias("fields"), "header"))
-        return CsvScan(records=records, splits=splits, headers=headers)
-    recs = (spark.read.text(paths).where(F.col("value") != "")
-            .select(F.col("_metadata.file_path").alias("path"),
-                    F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("rid"), "value"))
+    lines = (_lines(spark, paths).withColumn("pos", F.monotonically_increasing_id())
+             .repartition(len(paths), "path").sortWithinPartitions("path", "block", "pos").select("path", "value"))
+
+    def run(batches):
+        import csv
+        import itertools
+
+        import pyarrow as pa
+
+        csv.field_size_limit(2 ** 31 - 1)
+        rows = ((p, v) for b in batches for p, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        out = []
+        for path, group in itertools.groupby(rows, key=lambda r: r[0]):
+            number = 0
+            for fields in csv.reader(v + "\n" for _, v in group):
+                if fields:
+                    number += 1
+                    out.append((path, number, fields))
+                    if len(out) >= 10_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["path", "record_number", "fields"])
+                        out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["path", "record_number", "fields"])
+
+    return lines.mapInArrow(run, "path string, record_number long, fields array<string>")
+
+
+def scan_records(spark: SparkSession, paths: list[str]) -> CsvScan:
+    """S4 + S6: every CSV record with (path, record_number, fields, header)."""
+    lines = (_lines(spark, paths).where(F.col("value") != "")
+             .withColumn("file", F.xxhash64("path")).withColumn("rid", F.monotonically_increasing_id()))
     w = Window.partitionBy("path").orderBy("block")
-    splits = (recs.groupBy("path", "block")
-              .agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n"))
-              .select("path", "block", "first_rid", "n",
-                      F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                 F.lit(0)).alias("offset"),
-                      F.row_number().over(w).alias("split_rank")))
-    bounded = split_bound is not None and split_bound <= BROADCAST_SPLITS
-    small = F.broadcast if bounded else (lambda df: df)
-    # headers: one row per file, and the file list is already on the driver
-    per_file = F.broadcast if len(paths) <= BROADCAST_FILES else (lambda df: df)
-    # Both summaries are small (one row per split / per file); they are
-    # written to the shared checkpoint folder once, so every later use is a
-    # single pass over the text and the record ids they hold stay fixed.
-    splits = reliable_checkpoint(splits)
-    firsts = splits.where(F.col("split_rank") == 1).select("path", F.col("first_rid").alias("rid"))
-    headers = (recs.join(per_file(firsts), ["path", "rid"], "left_semi")
-               .select("path", csv_fields("value").alias("header")))
+    # one row per split, written once: what every later pass is checked against
+    splits = reliable_checkpoint(
+        lines.groupBy("path", "file", "block")
+        .agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n"),
+             F.max(F.col("value").rlike(OPEN_QUOTE_RE)).alias("open"))
+        .withColumn("offset", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("split_rank", F.row_number().over(w)))
+    facts = splits.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("path").alias("paths"),
+                       F.countDistinct("file").alias("files")).first()
+    if facts.paths != facts.files:
+        raise RuntimeError("two file names have the same 64-bit hash; rename one of them")
+    opened = [r.path for r in splits.where("open").select("path").distinct().collect()]   # a part of ``paths``
+    plain = lines.join(F.broadcast(spark.createDataFrame([(p,) for p in opened], "path string")), "path", "left_anti") \
+        if opened else lines
+
+    keys = _within(splits.select("file", "block", F.col("first_rid").alias("first"), "n", "offset"), facts.n, SPLIT_ROW_BYTES)
+    index = F.col("rid") - F.col("first")
+    # a left join that raises: a split cut otherwise than in the first pass must not lose rows
+    number = F.when(F.col("first").isNotNull() & (index >= 0) & (index < F.col("n")), F.col("offset") + index + 1).otherwise(
+        F.raise_error(F.lit("a file was cut into other splits than when it was numbered; run the scan again")).cast("long"))
+    numbered = plain.join(keys, ["file", "block"], "left").select("path", number.alias("record_number"), "value")
+
+    firsts = _within(splits.where(F.col("split_rank") == 1).select("file", F.col("first_rid").alias("rid")), facts.files, 16)
+    headers = plain.join(firsts, ["file", "rid"], "left_semi").select("path", csv_fields("value").alias("header"))
+    counts = splits.select("path", "n")
+    records = numbered.select("path", "record_number", csv_fields("value").alias("fields"))
+    if opened:
+        streamed = reliable_checkpoint(_stream_records(spark, opened))
+        records = records.unionByName(streamed)
+        headers = headers.unionByName(streamed.where("record_number = 1").select("path", F.col("fields").alias("header")))
+        counts = (counts.join(F.broadcast(spark.createDataFrame([(p,) for p in opened], "path string")), "path", "left_anti")
+                  .unionByName(streamed.groupBy("path").agg(F.count(F.lit(1)).alias("n"))))
     headers = reliable_checkpoint(headers)
-    numbered = (recs.join(small(splits.select("path", "block", "first_rid", "offset")),
-                          ["path", "block"], "inner")
-                .select("path", (F.col("offset") + F.col("rid") - F.col("first_rid") + 1)
-                        .alias("record_number"), "value"))
     # left join: predicates on the parsed fields must not be pushed into it
-    records = (numbered.join(per_file(headers), "path", "left")
-               .select("path", "record_number", csv_fields("value").alias("fields"), "header"))
-    return CsvScan(records=records, splits=splits, headers=headers)
+    records = records.join(_within(headers, facts.files, HEADER_ROW_BYTES), "path", "left").select(
+        "path", "record_number", "fields", "header")
+    return CsvScan(records=records, splits=counts, headers=headers)
 
 
 def field_by_name(name: str) -> Column:

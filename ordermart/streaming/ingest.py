@@ -7,23 +7,25 @@ file stream over the landing root delivers the paths of new objects
 files of that micro-batch.  The stream's checkpoint is the list of files
 already seen.
 
-* ``trigger(availableNow=True)`` processes the backlog in bounded
-  micro-batches (``max_files_per_trigger``) and stops.
+* ``trigger(availableNow=True)`` processes the backlog and stops, in one
+  micro-batch, or in bounded ones with ``max_files_per_trigger``.
 * In ``stop`` mode a failing file raises inside ``foreachBatch``; the
   batch is not committed, so the same files come again on the next start
   (after the file is corrected under the same name, I6).  Files already
-  SUCCESS in the tracker are skipped on the replay, and the data of the
-  replayed batch overwrites its own batch partition: the replay is
-  idempotent.
+  SUCCESS in the tracker are skipped on the replay.  A replay takes a new
+  batch id; rows of a batch that crashed before its SUCCESS events are
+  never visible.
+* Zero-length objects, which a file stream does not deliver, are taken
+  from the listing, so they fail as in the batch run.
 * File order inside a micro-batch follows the batch rules (customers
   first, then by name), not the arrival order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..plans.incremental import (IncrementalConfig, IngestionError, IngestionStore,
+from ..plans.incremental import (SUCCESS, IncrementalConfig, IngestionError, IngestionStore,
                                  listing_from_paths, run_incremental)
 from ..sources.files import Landing
 
@@ -42,7 +44,11 @@ def start_stream_ingest(spark: SparkSession, landing: Landing, store: IngestionS
     paths = reader.load(landing.root).select("path", "length")
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        listing = listing_from_paths(landing, batch, cfg)
+        # a zero-length object gives no stream row: take those not yet loaded from the listing
+        empty = landing.listing([cfg.customers_prefix, cfg.orders_prefix]).where("length = 0").select("path", "length")
+        done = store.tracker_latest().where(F.col("status") == SUCCESS).select("file_name")
+        empty = empty.join(done, landing.key(F.col("path")) == F.col("file_name"), "left_anti")
+        listing = listing_from_paths(landing, batch.where("length > 0").unionByName(empty), cfg)
         if listing.isEmpty():
             return
         run_incremental(spark, landing, store, cfg, raise_on_error=(cfg.on_error == "stop"),

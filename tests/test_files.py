@@ -54,7 +54,7 @@ def test_listing_is_recursive_and_case_insensitive(landing):
 
 def test_scan_matches_dictreader(spark, landing):
     ls = landing.list_csv("raw/orders")
-    scan = scan_records(spark, [r.path for r in ls.collect()], split_bound=10)
+    scan = scan_records(spark, [r.path for r in ls.collect()])
     got = {(landing_key, r.row_number): tuple(r[c] for c in ORDER_COLUMNS)
            for r in project_by_name(scan, ORDER_COLUMNS).withColumn("k", landing.key(F.col("path"))).collect()
            for landing_key in [r.k]}
@@ -77,7 +77,7 @@ def test_record_numbers_across_splits(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        scan = scan_records(spark, [str(p)], split_bound=100)
+        scan = scan_records(spark, [str(p)])
         assert scan.splits.count() > 5
         rows = project_by_name(scan, ORDER_COLUMNS).select("row_number", "order_id").collect()
     finally:
@@ -87,7 +87,7 @@ def test_record_numbers_across_splits(spark, tmp_path):
 
 def test_contract_and_verdicts(spark, landing):
     ls = landing.list_csv("raw/orders")
-    scan = scan_records(spark, [r.path for r in ls.collect()], split_bound=10)
+    scan = scan_records(spark, [r.path for r in ls.collect()])
     rows = project_by_name(scan, ORDER_COLUMNS).withColumn("file_name", landing.key(F.col("path")))
     contract = file_contract(ls, scan, ORDER_COLUMNS)
     got = {r.file_name: (r.status, r.error_message) for r in file_verdicts(contract, rows, "orders").collect()}
@@ -111,7 +111,7 @@ def test_multiline_quoted_fields_match_dictreader(spark, tmp_path):
     p = tmp_path / "ml" / "m.csv"
     p.parent.mkdir()
     p.write_text(text)
-    scan = scan_records(spark, [str(p)], split_bound=1, multi_line=True)
+    scan = scan_records(spark, [str(p)])
     got = sorted((r.row_number, tuple(r[c] for c in ORDER_COLUMNS))
                  for r in project_by_name(scan, ORDER_COLUMNS).collect())
     exp = sorted((n, tuple(row[c] for c in ORDER_COLUMNS)) for n, row in python_rows(text))
@@ -131,3 +131,60 @@ def test_required_inputs_report_the_customer_file_first(spark, tmp_path):
     (tmp_path / "raw" / "orders").mkdir()
     (tmp_path / "raw" / "orders" / "orders.csv").write_text("order_id\n")
     check_required(landing, ["raw/customers/customers.csv", "raw/orders/orders.csv"])
+
+
+HEAD = "order_id,customer_id,order_date,quantity,unit_price\n"
+QUOTED = {
+    "after closing.csv": HEAD + 'O1,"Ann"Lee,2026-09-01,1,1\nO2,"a""b" "c",2026-09-01,1,1\n',
+    "stray%41 + q.csv": HEAD + 'O1,Ann 5" Lee,2026-09-01,1,1\nO2,x,2026-09-01,1,1\n',
+    "long[1].csv": HEAD + 'O1,"' + 'y""z,' * 25_000 + '",2026-09-01,1,1\nO2,' + "w" * 100_000 + ",2026-09-01,1,1\n",
+    "newline.csv": HEAD + 'O1,"two\nlines, ""q""\n\nend",2026-09-01,1,1\n\nO2,x,2026-09-01,1,1\n',
+    "unclosed.csv": HEAD + 'O1,a,2026-09-01,1,1\nO2,"open,2026-09-01,1,1\nO3,x,2026-09-01,1,1\n',
+    "looks open.csv": HEAD + 'O1,"a,"b,2026-09-01,1\nO2,x,2026-09-01,1,1\n',
+}
+
+
+def test_quoting_and_names_match_dictreader(spark, tmp_path):
+    folder = tmp_path / "raw" / "orders"
+    folder.mkdir(parents=True)
+    for name, text in QUOTED.items():
+        (folder / name).write_text(text)
+    landing = Landing(spark, str(tmp_path))
+    ls = landing.list_csv("raw/orders")
+    assert {r.file_name for r in ls.collect()} == {f"raw/orders/{n}" for n in QUOTED}
+    scan = scan_records(spark, [r.path for r in ls.collect()])
+    rows = project_by_name(scan, ORDER_COLUMNS).withColumn("k", landing.key(F.col("path"))).collect()
+    got = {(r.k.rsplit("/", 1)[1], r.row_number): tuple(r[c] or None for c in ORDER_COLUMNS) for r in rows}
+    want = {(name, n): tuple(row.get(c) or None for c in ORDER_COLUMNS)
+            for name, text in QUOTED.items() for n, row in python_rows(text)}
+    assert got == want
+    counts = {r.file_name.rsplit("/", 1)[1]: r.data_rows for r in file_contract(ls, scan, ORDER_COLUMNS).collect()}
+    assert counts == {name: len(python_rows(text)) for name, text in QUOTED.items()}
+
+
+def test_other_splits_never_lose_rows(spark, tmp_path):
+    p = tmp_path / "big.csv"
+    p.write_text(HEAD + "".join(f"O{i},C,2026-09-01,1,1\n" for i in range(200_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        rows = project_by_name(scan_records(spark, [str(p)]), ORDER_COLUMNS)
+        assert rows.where("cast(substr(order_id, 2) as bigint) + 2 = row_number").count() == 200_000
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+        try:
+            again = project_by_name(scan_records(spark, [str(p)]), ORDER_COLUMNS)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "700k")
+            assert again.where("cast(substr(order_id, 2) as bigint) + 2 = row_number").count() == 200_000
+        except Exception as e:
+            assert "cut into other splits" in str(e)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_all_date_errors_are_kept(spark):
+    from ordermart.operators.file_rules import DateErrors, raise_on_date_errors
+    bad = spark.range(1500).selectExpr("'f.csv' AS file_name", "id AS row_number", "concat('row ', id) AS message")
+    with pytest.raises(DateErrors) as e:
+        raise_on_date_errors(bad)
+    assert e.value.total == 1500 and spark.read.parquet(e.value.path).count() == 1500
+    raise_on_date_errors(bad.where("false"))
