@@ -1,6 +1,7 @@
 """Cleaning functions: ``Column -> Column``, all JVM-side built-ins.
 
-Each one stays inside whole-stage codegen; none needs a Python UDF.
+None needs a Python UDF.  All but ``initcap_words``, whose ``transform``
+lambda Spark interprets, stay inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -8,19 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # The whitespace set of Python's ``str.strip()`` /
-# ``str.isspace()``, written as a Java regex character class:
-# \t \n \x0B \f \r, the separators \x1C-\x1F, space, \x85, \xA0,
-# U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
-PY_WHITESPACE_CLASS = (
-    "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A"
-    "\\u2028\\u2029\\u202F\\u205F\\u3000]"
-)
-# The same set for engines whose regex has no \u escape (RE2, DuckDB).
+# ``str.isspace()``: \t \n \x0B \f \r, the separators \x1C-\x1F, space,
+# \x85, \xA0, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000,
+# as a regex class of RE2 (DuckDB).
 PY_WHITESPACE_CLASS_RE2 = (
     "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\x{1680}\\x{2000}-\\x{200A}"
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
-_STRIP_RE = f"^{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+\\z"
 # The same set as plain characters, for btrim (no regex engine per row).
 PY_WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
                        + "".join(chr(c) for c in range(0x2000, 0x200B))
@@ -59,7 +54,7 @@ def initcap_words(c) -> Column:
     cap = F.transform(
         tokens,
         lambda t: F.when(t.rlike("^[A-Za-z0-9]"),
-                         F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30)))
+                         F.concat(F.upper(F.substring(t, 1, 1)), F.substr(t, F.lit(2))))
         .otherwise(t))
     return F.when(_col(c).isNull(), F.lit(None).cast("string")).otherwise(F.array_join(cap, ""))
 
@@ -77,16 +72,11 @@ def lower_trim(c) -> Column:
 def strip_all(c) -> Column:
     """P5: remove leading/trailing whitespace like Python ``str.strip()``.
 
-    ``btrim`` with the character set works on the UTF-8 bytes directly;
-    the regex form (``strip_all_regex``) gives the same result.
+    ``btrim`` with the character set works on the UTF-8 bytes directly.
     """
     return F.btrim(_col(c), F.lit(PY_WHITESPACE_CHARS))
 
 
-def strip_all_regex(c) -> Column:
-    return F.regexp_replace(_col(c), _STRIP_RE, "")
-
-
 def month_bucket(c) -> Column:
     """DATE_FORMAT(d, '%Y-%m')."""
     return F.date_format(_col(c), "yyyy-MM")

@@ -35,10 +35,6 @@ def any_blank(cols) -> Column:
     return any_of(is_blank(c) for c in cols)
 
 
-def any_null(cols) -> Column:
-    return any_of(_col(c).isNull() for c in cols)
-
-
 def email_invalid(c) -> Column:
     """null, or not of the e-mail shape."""
     return _col(c).isNull() | ~_col(c).rlike(EMAIL_RE)

@@ -314,6 +314,12 @@ SELECT (SELECT count(*) FROM lc) AS customer_count, (SELECT count(*) FROM lo) AS
        (SELECT CAST(sum(total_amount) AS DECIMAL(38,2)) FROM lo) AS order_total""")
 
 
+def order_totals_listing() -> str:
+    c = _run_ctes()
+    c["lo"] = LATEST_ORDERS
+    return with_(c, "SELECT order_id, quantity, unit_price, total_amount FROM lo ORDER BY order_id")
+
+
 def stream_ingest() -> str:
     return tracker_history()
 
@@ -329,4 +335,5 @@ FROM fact f JOIN dim d ON f.customer_id = d.customer_id""")
 ORACLES = {f.__name__: f for f in (stream_ingest, full_refresh, upsert_compacted, date_violations,
     required_inputs, list_inputs, scan_by_name, scan_customers, row_numbers, file_contract,
     file_violations, file_verdicts, file_plan, incremental_run, run_summary, upsert_latest,
-    upsert_customers, tracker_history, files_per_status, incremental_counts)}
+    upsert_customers, tracker_history, files_per_status, incremental_counts,
+    order_totals_listing)}

@@ -235,10 +235,22 @@ def order_totals_refresh() -> str:
 
 def order_totals_incremental() -> str:
     q, p = parse_int("quantity"), parse_dec("unit_price")
-    return with_({"raw_o": raw_orders_sql(False)}, f"""
-SELECT order_id, {q} AS quantity, TRY_CAST({p} AS DECIMAL(12,2)) AS unit_price,
-       TRY_CAST(round_even({q} * {p}, 2) AS DECIMAL(14,2)) AS total_amount
-FROM raw_o""")
+    # half-even on the exact product, as a whole number of 1e-17 (no float, no earlier rounding)
+    return with_({
+        "raw_o": raw_orders_sql(False),
+        "probe": """
+SELECT order_id, quantity, CASE CAST(substr(order_id, 2) AS BIGINT) % 29
+    WHEN 7 THEN '0.01499999999999999' WHEN 11 THEN '0.00500000000001'
+    WHEN 13 THEN unit_price || '500000000000001' WHEN 17 THEN unit_price || '500000000'
+    ELSE unit_price END AS unit_price FROM raw_o""",
+        "typed": f"SELECT order_id, {q} AS quantity, {p} AS price FROM probe",
+        "whole": """
+SELECT *, CAST(quantity AS HUGEINT) * CAST(replace(CAST(price AS VARCHAR), '.', '') AS HUGEINT) AS units FROM typed""",
+        "cut": "SELECT *, units // 1000000000000000 AS cents, abs(units % 1000000000000000) AS rest FROM whole"}, """
+SELECT order_id, quantity, TRY_CAST(price AS DECIMAL(12,2)) AS unit_price,
+       TRY_CAST(CAST(cents + CASE WHEN rest > 500000000000000 OR (rest = 500000000000000 AND cents % 2 <> 0)
+                             THEN sign(units) ELSE 0 END AS DECIMAL(20,0)) / 100 AS DECIMAL(14,2)) AS total_amount
+FROM cut""")
 
 
 # The parser probe texts, by order key mod 12 (as in the catalog).
@@ -323,12 +335,10 @@ def describe_tables() -> str:
             ("fact_order", "order_id", "string"), ("fact_order", "customer_id", "string"),
             ("fact_order", "order_date", "date"), ("fact_order", "quantity", "int"),
             ("fact_order", "unit_price", "decimal(12,2)"), ("fact_order", "total_amount", "decimal(14,2)")]
-    vals = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in rows)
-    # reads the fact so the check still depends on the given tables
-    return with_(messy_model(), f"""
-SELECT table_name, col_name, data_type
-FROM (VALUES {vals}) v(table_name, col_name, data_type)
-WHERE (SELECT count(*) FROM fact) >= 0""")
+    source = {"dim_customer": "tr_c", "fact_order": "tr_o"}
+    return with_(messy_model(), " UNION ALL ".join(
+        f"SELECT '{a}' AS table_name, '{b}' AS col_name, '{c}' AS data_type, "
+        f"count({'*' if b == 'customer_key' else b}) AS filled FROM {source[a]}" for a, b, c in rows))
 
 
 def preview_customers() -> str:

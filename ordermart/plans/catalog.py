@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import amounts, clean, parse, predicates
 from ..operators import quality
+from ..schemas import TABLES
 from ..session import scratch_path
 from ..sources.bindings import raw_customers, raw_orders, tamper_totals
 from ..sources.tables import read_table
@@ -87,6 +88,14 @@ def q_order_totals_refresh(spark, sf_dir):
 def q_order_totals_incremental(spark, sf_dir):
     """Total on the unrounded price, half-even to cents."""
     raw = raw_orders(spark, sf_dir)
+    # prices with 11 to 17 decimals, at and near half a cent
+    key = F.substr("order_id", F.lit(2)).try_cast("bigint")
+    price = F.col("unit_price")
+    raw = raw.withColumn("unit_price", F.when(key % 29 == 7, F.lit("0.01499999999999999"))
+                         .when(key % 29 == 11, F.lit("0.00500000000001"))
+                         .when(key % 29 == 13, F.concat(price, F.lit("500000000000001")))
+                         .when(key % 29 == 17, F.concat(price, F.lit("500000000")))
+                         .otherwise(price))
     q = parse.parse_int("quantity")
     p = parse.parse_decimal("unit_price")
     return raw.select("order_id", q.alias("quantity"), amounts.to_price(p).alias("unit_price"),
@@ -197,11 +206,21 @@ def q_table_counts(spark, sf_dir):
 
 
 def q_describe_tables(spark, sf_dir):
-    """K6 + P15: register the published targets with their DDL, then DESCRIBE."""
-    wh = _published(spark, sf_dir)
+    """K6 + P15: the targets' DDL registered and DESCRIBEd, with the filled values of each column."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     db = "wh_" + wh.root.rsplit("/", 1)[-1]
     wh.create_tables(db, ["dim_customer", "fact_order"])
-    return wh.describe(db, "dim_customer").unionByName(wh.describe(db, "fact_order"))
+    # one key for each row, so the customer table is counted without numbering it
+    frames = {"dim_customer": _messy_transformed_customers(spark, sf_dir).withColumn("customer_key", F.lit(1)),
+              "fact_order": _messy_transformed_orders(spark, sf_dir)}
+    out = None
+    for name, df in frames.items():
+        cols = [f.name for f in TABLES[name].fields]
+        filled = df.agg(*[F.count(c).alias(c) for c in cols]).select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("col_name"), F.col(c).alias("filled")) for c in cols])).alias("x")).select("x.*")
+        part = wh.describe(db, name).join(filled, "col_name").select("table_name", "col_name", "data_type", "filled")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_preview_customers(spark, sf_dir):
@@ -475,6 +494,12 @@ def q_incremental_counts(spark, sf_dir):
     return both.agg(*[F.max(x).alias(x) for x in ("customer_count", "order_count", "order_total")])
 
 
+def q_order_totals_listing(spark, sf_dir):
+    """Every order after the run with its quantity, price and total, ordered by id."""
+    _, store = _run(spark, sf_dir)
+    return store.visible("orders").select("order_id", "quantity", "unit_price", "total_amount").orderBy("order_id")
+
+
 def q_stream_ingest(spark, sf_dir):
     """I8: the same ingestion as a file stream (availableNow); tracker afterwards."""
     from ..streaming.ingest import run_stream_once
@@ -542,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "tracker_history": q_tracker_history,
     "files_per_status": q_files_per_status,
     "incremental_counts": q_incremental_counts,
+    "order_totals_listing": q_order_totals_listing,
     "stream_ingest": q_stream_ingest,
     "full_refresh": q_full_refresh,
 }

@@ -85,9 +85,3 @@ def preview(df: DataFrame, cols: list[str], order_by: str, n: int = 10) -> DataF
     top-k (TakeOrderedAndProject), not as a global sort.
     """
     return df.select(*cols).orderBy(F.col(order_by).asc_nulls_first(), *cols).limit(n)
-
-
-def incorrect_amounts(fact: DataFrame) -> DataFrame:
-    """Script check: COUNT(*) WHERE total_amount <> quantity * unit_price."""
-    return fact.agg(F.count_if(F.col("total_amount") != F.col("quantity") * F.col("unit_price"))
-                    .alias("incorrect_amounts"))

@@ -127,7 +127,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, messy: bool = False) -> DataFra
 
 def tamper_totals(fact: DataFrame) -> DataFrame:
     """Candidate fact with every 401st order's total off by one cent."""
-    key = F.substring(F.trim("order_id"), 2, 1 << 30).try_cast("bigint")
+    key = F.substr(F.trim("order_id"), F.lit(2)).try_cast("bigint")
     return fact.withColumn(
         "total_amount",
         F.when(key % 401 == 0, (F.col("total_amount") + F.lit(0.01).cast("decimal(3,2)"))
