@@ -243,11 +243,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
         x = channels(texts, grammar)
         return {"label": batch.column(0), "x": common.flat_lists(x.ravel(), [x.shape[1]] * len(x), pa.float64())}
 
-    seen = common.map_texts(sample, "text", features, "label int, x array<double>", ["label"]).orderBy("label", "x").toPandas()
+    seen = common.map_texts(sample, "text", features, "label int, x array<double>", ["label"]).toPandas()
     common.release(sample)
     y = (seen["label"].to_numpy() == 1).astype(float) if len(seen) else np.zeros(0)
     if 0 < y.sum() < len(y):
-        grammar.model = _logistic(np.stack(seen["x"].to_numpy()), y)
+        x = np.stack(seen["x"].to_numpy())
+        order = np.lexsort([*x.T, y])       # rows arrive in any order; the fit is the same each time
+        grammar.model = _logistic(x[order], y[order])
     return grammar
 
 
