@@ -4,18 +4,18 @@ A warehouse UNIQUE KEY table (a later row replaces an earlier one with the
 same key) is kept as Parquet partitioned by ``batch_id``.  A run writes
 its rows into its own batch partition (dynamic partition overwrite, so a
 replayed batch replaces itself: idempotent), and readers see the latest
-row per key by an ordering struct, e.g. (batch_id, file_ordinal,
+row per key in the order of, e.g., (batch_id, file_ordinal,
 row_number): last batch, then last file, then last row wins, and the
 whole row is replaced.
 
-``max_by`` is an ordinary aggregate with a map-side partial step, so a
-key that holds a third of all rows is reduced inside each task before
-the shuffle; no group is ever collected whole.
+The greatest order number of a key is an ordinary hash aggregate with a
+map-side partial step, so a key that holds a third of all rows is reduced
+inside each task before the shuffle; no group is ever collected whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -55,11 +55,26 @@ class ChangeLog:
         row = self.log().agg(F.max("batch_id")).first()
         return int(row[0]) if row and row[0] is not None else 0
 
+    def _rank(self) -> Column:
+        """One fixed-width number in the order of (batch_id, order_cols); -1 is the least order value.
+
+        A batch id has up to 13 digits, a file ordinal 11 and a row number 14.
+        """
+        digits = (11, 14)[-len(self.order_cols):]
+        rank = F.col("batch_id").cast("decimal(38,0)")
+        for c, n in zip(self.order_cols, digits):
+            rank = (rank * F.lit(10 ** n).cast("decimal(15,0)") + F.col(c) + 1).cast("decimal(38,0)")
+        return rank
+
     def latest(self, log: DataFrame | None = None) -> DataFrame:
-        """One row per key: the row with the greatest (batch_id, order_cols)."""
-        log = self.log() if log is None else log
-        values = [f.name for f in self.schema.fields if f.name != self.key]
-        order = F.struct(F.col("batch_id"), *[F.col(c) for c in self.order_cols])
-        return (log.groupBy(self.key)
-                .agg(F.max_by(F.struct(*values), order).alias("_r"))
-                .select(self.key, *[F.col(f"_r.{v}").alias(v) for v in values]))
+        """One row per key: the row with the greatest (batch_id, order_cols).
+
+        The greatest rank of a key is a hash aggregate over a number; the
+        rows are then found by a semi-join, which adaptive execution splits
+        for a hot key.
+        """
+        log = (self.log() if log is None else log).withColumn("_rank", self._rank())
+        best = log.groupBy(self.key).agg(F.max("_rank").alias("_rank"))
+        same_key = log[self.key].eqNullSafe(best[self.key])
+        return (log.join(best, same_key & (log["_rank"] == best["_rank"]), "left_semi")
+                .select(*[f.name for f in self.schema.fields]))

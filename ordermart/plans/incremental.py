@@ -72,10 +72,10 @@ class IngestionStore:
                                  ("event_seq",))
 
     def table(self, kind: str) -> ChangeLog:
-        return self.customers if kind == "customers" else self.orders
+        return {"customers": self.customers, "orders": self.orders, "tracker": self.tracker}[kind]
 
     def tracker_latest(self) -> DataFrame:
-        return self.tracker.latest()
+        return self.visible("tracker")
 
     def next_batch(self) -> int:
         """A run writes its tracker events before its data, so the tracker
@@ -83,7 +83,7 @@ class IngestionStore:
         return self.tracker.max_batch() + 1
 
     def _columns(self, kind: str) -> list[str]:
-        return [f.name for f in (INC_CUSTOMERS if kind == "customers" else INC_ORDERS).fields]
+        return [f.name for f in {"customers": INC_CUSTOMERS, "orders": INC_ORDERS, "tracker": TRACKER}[kind].fields]
 
     def _snapshot_root(self, kind: str) -> str:
         return f"{self.root}/snapshots/{kind}"
@@ -106,24 +106,26 @@ class IngestionStore:
         With a snapshot at batch B, only log partitions after B are read
         (a partition filter) and the snapshot rows rank before all of them.
         """
-        log = self.table(kind).log()
-        ok = (self.tracker.log().where(F.col("status") == SUCCESS)
-              .select("file_name", "batch_id").distinct())
-        snap = self.latest_snapshot(kind)
-        rows = log.join(ok, ["file_name", "batch_id"], "left_semi")
+        table, snap = self.table(kind), self.latest_snapshot(kind)
+        rows = table.log()
         if snap is not None:
             rows = rows.where(F.col("batch_id") > snap)
+        if kind != "tracker":
+            ok = self.tracker.log().where(F.col("status") == SUCCESS)
+            if snap is not None:
+                ok = ok.where(F.col("batch_id") > snap)
+            rows = rows.join(ok.select("file_name", "batch_id").distinct(), ["file_name", "batch_id"], "left_semi")
+        if snap is not None:
             base = self.spark.read.parquet(f"{self._snapshot_root(kind)}/batch={snap}")
-            base = base.select(*[F.col(c) for c in self._columns(kind)],
-                               F.lit(None).cast("string").alias("file_name"),
-                               F.lit(-1).cast("long").alias("file_ordinal"),
-                               F.lit(-1).cast("long").alias("row_number"),
-                               F.lit(snap).cast("long").alias("batch_id"))
+            for f in table.log_schema.fields:
+                if f.name not in base.columns:
+                    value = F.lit(snap) if f.name == "batch_id" else F.lit(-1) if f.name in table.order_cols else F.lit(None)
+                    base = base.withColumn(f.name, value.cast(f.dataType))
             rows = rows.unionByName(base)
-        return self.table(kind).latest(rows).select(*self._columns(kind))
+        return table.latest(rows).select(*self._columns(kind))
 
     def compact(self, kind: str) -> int:
-        """Write the current latest view as a snapshot at the newest batch.
+        """Write the current latest view ("customers", "orders" or "tracker") as a snapshot at the newest batch.
 
         Later reads start from the snapshot, so the cost of the latest view
         stays proportional to the table plus the batches since, not to

@@ -208,3 +208,37 @@ def test_full_refresh_date_check_collects_all_errors(spark, tmp_path):
                             "in/customers/customers.csv, row 3: Invalid created_date '10/9/2026'. Expected YYYY-MM-DD.\n"
                             "in/orders/orders.csv, row 2: order_date is missing.\n"
                             "in/orders/orders.csv, row 3: Invalid order_date '2026-02-30'. Expected YYYY-MM-DD.")
+
+
+def test_compacted_reads_open_the_snapshot_and_later_batches_only(spark, tmp_path):
+    store = IngestionStore(spark, str(tmp_path / "wh"))
+
+    def batch(n):
+        files = spark.createDataFrame([(f"f{n}.csv", "SUCCESS", 1, None), ("hot.csv", "FAILED" if n % 2 else "SUCCESS", n, "e")],
+                                      "file_name string, status string, record_count long, error_message string")
+        store.record_events(files, n, 2)
+        rows = spark.createDataFrame([(f"O{n}", f"C{n}", 1, n), ("HOT", f"C{n}", 2, 1)],
+                                     "order_id string, customer_id string, file_ordinal long, row_number long")
+        store.orders.append(rows.selectExpr("*", "cast(null as date) order_date", f"{n} quantity", "1.00 unit_price",
+                                            "1.00 total_amount", f"'f{n}.csv' file_name"), n)
+
+    def state():
+        return (sorted(map(str, store.visible("orders").collect())),
+                sorted((r.file_name, r.status, r.record_count) for r in store.tracker_latest().collect()))
+
+    for n in range(1, 9):
+        batch(n)
+    before = state()
+    assert len(before[0]) == 9 and ("hot.csv", "SUCCESS", 8) in before[1]
+    for kind in ("orders", "tracker"):
+        store.compact(kind)
+    assert state() == before
+    batch(9)
+    for kind, log in (("orders", "inc_orders"), ("tracker", "ingestion_tracker")):
+        opened = store.visible(kind).inputFiles()
+        read = {p for p in opened if f"/{log}/" in p}
+        plan = store.visible(kind)._jdf.queryExecution().executedPlan().toString()
+        assert f"snapshots/{kind}/batch=8" in " ".join(opened) and read
+        assert "SortAggregate" not in plan and "batch_id" in plan and "PartitionFilters: [isnotnull(batch_id" in plan
+    orders, files = state()
+    assert len(orders) == 10 and ("hot.csv", "FAILED", 9) in files
