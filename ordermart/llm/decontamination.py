@@ -34,7 +34,7 @@ from . import common
 from .words import _Tables, codes_of, span_hashes
 
 Q = 12
-WINDOW = 100
+WINDOW = 60
 ERROR_RATE = 0.06
 #: Characters of benchmark text in one index; larger benchmarks take several passes.
 BLOCK_CHARS = 8_000_000
