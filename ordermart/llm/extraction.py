@@ -22,9 +22,10 @@ Places that fewer than ``OWN_PAGES`` pages of a host have are judged by the tree
 Scale.  The first pass sends one narrow row per page and place.  Entropies
 come from pre-aggregated group-bys over (host, place, feature), so a host
 with a third of all pages is many small groups.  The low places come back
-by a join on (host, place), which adaptive execution splits, and then as
-one short list per distinct page, so no list grows with a host.  The second
-pass cuts the pages.
+as a broadcast if their counted rows are few (``LOW_PLACES``).  Otherwise a
+join on (host, place), which adaptive execution splits, brings them to the
+pages as one short list per distinct page, so no list grows with a host.
+The second pass cuts the pages.
 
 Results on edge cases.  Null and empty html give empty text; a page without
 markup is one block.  A null url is a host of its own (the empty one).
@@ -51,6 +52,9 @@ OWN_PAGES = 4
 #: Pages with a place from which the tree of all hosts decides about it.
 ALL_PAGES = 20
 
+#: Low places (40 bytes or so each) up to which they are broadcast; a join brings more to their pages.
+LOW_PLACES = 200_000
+
 #: Fixed values of HTML: elements by role.
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -274,20 +278,35 @@ def extract(pages: DataFrame) -> DataFrame:
     common.ship_package(pages.sparkSession)
     names = [c for c in pages.columns if c != "text"]
     key = F.xxhash64(_host(pages["url"]), F.coalesce(pages["html"], F.lit("")))
-    rows = common.materialise(style_rows(pages.select(key.alias("page_key"), _host(pages["url"]).alias("host"), "html")).distinct(), "styles")
-    cuts = (rows.select("page_key", "host", "place").join(low_places(rows), ["host", "place"])
+    rows = common.materialise(style_rows(pages.select(
+        key.alias("page_key"), _host(pages["url"]).alias("host"), "html")).distinct(), "styles")
+    low = common.materialise(low_places(rows), "low")
+    if low.count() <= LOW_PLACES:
+        by_host: dict[str, set] = {}
+        for r in low.collect():
+            by_host.setdefault(r.host, set()).add(r.place)
+        common.release(rows)
+        held = pages.sparkSession.sparkContext.broadcast({h: frozenset(p) for h, p in by_host.items()})
+
+        @F.pandas_udf("string")
+        def main_text(html, host):
+            import pandas as pd
+            return pd.Series([Page(h or "").main_text(held.value.get(x, frozenset())) for h, x in zip(html, host)])
+
+        return pages.select(*[pages[f"`{c}`"] for c in names], main_text(pages["html"], _host(pages["url"])).alias("text"))
+    cuts = (rows.select("page_key", "host", "place").join(low, ["host", "place"])
             .groupBy("page_key").agg(F.collect_set("place").alias("low")))
     cuts = common.materialise(cuts, "cuts")
     common.release(rows)
 
     @F.pandas_udf("string")
-    def main_text(html, low):
+    def cut_text(html, places):
         import pandas as pd
         return pd.Series([Page(h or "").main_text(frozenset(x) if x is not None else frozenset())
-                          for h, x in zip(html, low)])
+                          for h, x in zip(html, places)])
 
     joined = pages.join(cuts, key == cuts["page_key"], "left")
-    return joined.select(*[pages[f"`{c}`"] for c in names], main_text(pages["html"], cuts["low"]).alias("text"))
+    return joined.select(*[pages[f"`{c}`"] for c in names], cut_text(pages["html"], cuts["low"]).alias("text"))
 
 
 def op6_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

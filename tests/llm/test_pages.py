@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from ordermart.llm import extraction as ex
@@ -24,7 +25,9 @@ def test_article_text_of_marked_pages(spark):
     assert got == {i: TEXT.format(i=i, x=edges.words(i, 5)) for i in range(6)}
 
 
-def test_entropy_decides_without_marks(spark):
+@pytest.mark.parametrize("most", [200_000, 0])      # low places broadcast, or joined
+def test_entropy_decides_without_marks(spark, monkeypatch, most):
+    monkeypatch.setattr(ex, "LOW_PLACES", most)
     html = ("<body><div class=top><p>Menu A</p><p>Menu B</p></div><div class=body><p>{x}</p><p>{y}</p></div>"
             "<div class=base>Made by us</div></body>")
     rows = [(i, f"http://a.example/{i}", html.format(x=edges.words(i, 9), y=edges.words(100 + i, 9))) for i in range(8)]
