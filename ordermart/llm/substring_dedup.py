@@ -1,9 +1,13 @@
 """Operator 9: exact repeated passages by hashing the units of lines.
 
 Method.  A text is cut into lines and a line into sentences (a unit ends
-after ``.``, ``!`` or ``?`` before white space, or at a line feed), and long
-sentences at places their words decide, so a passage is found in the
-middle of a line, and an edited sentence in its unchanged parts.  A unit is normalised to its
+after ``.``, ``!`` or ``?`` before white space, or at a line feed).  Inside a
+sentence of any length, the least hash of two neighbouring words in every
+window of ``WINDOW`` such pairs ends a unit too (winnowing), so cuts are at
+most ``WINDOW`` words apart and the words of a window alone decide them.  Of
+a repeated passage of 50 words or more, wherever it begins and ends, all but
+``2 * WINDOW + 1`` words at most are whole units; 25 words stay to be found.
+A unit is normalised to its
 lower-case words and hashed to 128 bits.  The digests are grouped over all
 documents, and the occurrence ranked first (least doc_id, then place in the
 text) is the original.  In every other place the unit is a repeat.  Repeats
@@ -35,16 +39,34 @@ from pyspark.sql.functions import pandas_udf
 from . import common
 from .words import Words, mix64, words_of
 
-#: Words of a run of repeated units from which it is removed: half of the
-#: passages of 50 words to catch, for the sentences cut by what stands before.
+#: Words of a run of repeated units from which it is removed: what a passage of
+#: 50 words holds in whole units at least (50 - 2 * WINDOW - 1).
 MIN_WORDS = 25
 
 _U = np.uint64
 _LAST_ID = (1 << 63) - 1
 #: Code points that end a sentence before white space.
 _ENDS = [ord(c) for c in ".!?"]
-#: Sentences of more words than this are cut after every word whose hash is a multiple of CUT_ONE_OF.
-LONG_UNIT, CUT_ONE_OF = 32, 20
+#: Neighbouring word pairs of a sentence among which the least hash ends a unit.
+WINDOW = 12
+
+
+def _least_pairs(w: Words, word: np.ndarray) -> np.ndarray:
+    """Second words of the pairs that are the least (leftmost) of a window inside a sentence, but for a sentence's last word."""
+    n = len(w.hashes)
+    if n <= WINDOW:
+        return np.zeros(0, dtype=np.int64)
+    size = np.diff(word)
+    sentence = np.repeat(np.arange(len(size)), size)
+    pair = mix64(w.hashes[:-1] * _U(0x9E3779B97F4A7C15) + w.hashes[1:])   # pair i ends with word i + 1
+    windows = n - WINDOW
+    least, at = pair[:windows].copy(), np.arange(windows)
+    for j in range(1, WINDOW):
+        less = pair[j:j + windows] < least
+        least[less] = pair[j:j + windows][less]
+        at[less] = np.flatnonzero(less) + j
+    chosen = np.unique(at[sentence[:windows] == sentence[WINDOW:]]) + 1
+    return chosen[sentence[chosen] == sentence[np.minimum(chosen + 1, n - 1)]]
 
 
 def units_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,12 +79,7 @@ def units_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     stop = (c[:-1] == _ENDS[0]) | (c[:-1] == _ENDS[1]) | (c[:-1] == _ENDS[2])
     cut[1:-1] |= stop & space[1:]
     cut[w.begin] = True
-    # a long sentence is cut on, at places that its words alone decide
-    edge = np.flatnonzero(cut)
-    word = np.searchsorted(w.start, edge)
-    size = np.diff(word)
-    long = np.repeat(size > LONG_UNIT, size) & (w.hashes % _U(CUT_ONE_OF) == 0)
-    cut[w.end[long]] = True
+    cut[w.end[_least_pairs(w, np.searchsorted(w.start, np.flatnonzero(cut)))]] = True
     edge = np.flatnonzero(cut)
     return edge, np.searchsorted(w.start, edge), np.searchsorted(edge, w.begin)
 

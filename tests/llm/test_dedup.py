@@ -154,6 +154,57 @@ def test_given_documents_cut_as_brute_force(spark):
     assert got == _brute_cut([tuple(r) for r in docs.collect()])
 
 
+def _spliced():
+    """Documents without sentence ends, with few and with mixed ones; passages of 50 words and more stand anywhere in them."""
+    r, rows = random.Random(8), []
+    common = edges.words(40, 60).split()
+
+    def prose(seed, n, ends):
+        w = [r.choice(common) if r.random() < 0.4 else x for x in edges.words(seed, n).split()]
+        return [x + (r.choice([".", "!", ".\n", "?"]) if r.random() < ends else "") for x in w]
+
+    for i in range(240):
+        ends = (0, 0.03, 0.15)[i % 3]
+        passage = prose(5000 + i, (50, 51, 60, 75)[i % 4], ends)
+        for doc in (2 * i, 2 * i + 1):
+            w = prose(9000 + doc, r.randint(60, 120), ends)
+            at = r.randint(0, len(w))
+            rows.append((doc, " ".join([*w[:at], *passage, *w[at:]]).replace("\n ", "\n")))
+    return rows
+
+
+def test_every_shared_run_of_50_words_is_cut(spark):
+    rows = _spliced()
+    got = {r.doc_id: r.removed_spans for r in sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    seen, shared = set(), 0
+    for d, t in rows:
+        w = words_of([t])
+        gone = np.zeros(len(t) + 1, dtype=bool)
+        for s in got[d]:
+            gone[s.start:s.end] = True
+        h = w.hashes.tolist()
+        runs = [tuple(h[i:i + 50]) for i in range(len(h) - 49)]
+        for i, run in enumerate(runs):
+            if run in seen:
+                shared += 1
+                assert gone[w.start[i:i + 50]].sum() >= sd.MIN_WORDS
+        assert not got[d] or any(run in seen for run in runs)
+        seen.update(runs)
+    assert shared >= 240
+
+
+def test_units_of_a_passage_do_not_depend_on_its_sentence():
+    passage = edges.words(77, 40)
+    found = []
+    for text in (passage, edges.words(78, 3) + " " + passage, edges.words(79, 90) + " " + passage + " " + edges.words(80, 90)):
+        w = words_of([text])
+        _, word, _ = sd.units_of(w)
+        assert np.diff(word).max() <= 2 * sd.WINDOW
+        found.append({tuple(w.hashes[a:b].tolist()) for a, b in zip(word[:-1], word[1:])})
+    whole = found[0] & found[1] & found[2]
+    assert sum(map(len, whole)) >= 40 - 2 * sd.WINDOW - 1
+
+
 def test_cut_edges(spark):
     out = sd.remove_repeats(edges.clashing(spark))
     assert out.columns == [*edges.clashing(spark).columns, "removed_spans"]
