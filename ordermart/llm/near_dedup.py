@@ -1,12 +1,15 @@
 """Operator 3: near-duplicate classes with ProbMinHash.
 
-Method.  A text is a weighted set of five-word shingles; the weight is how
-often the shingle occurs.  ProbMinHash draws, for each shingle, the arrival
-times of a Poisson process whose rate is the weight; each arrival falls
-into one of ``M`` registers, a register keeps its earliest arrival, and a
-shingle stops as soon as its next arrival is later than the latest register
-(early termination).  Two texts agree in a register with the probability
-Jaccard similarity of their weighted sets.  Registers are banded, equal
+Method.  A text is the set of its five-word shingles.  ProbMinHash draws,
+for each shingle, the arrival times of a Poisson process whose rate is the
+shingle's weight; each arrival falls into one of ``M`` registers, a register
+keeps its earliest arrival, and a shingle stops as soon as its next arrival
+is later than the latest register (early termination).  Two texts agree in a
+register with the probability Jaccard similarity of their weighted sets.
+Links are defined on sets, so every shingle weighs 1, however often it
+occurs, and the probability is the sets' Jaccard similarity: a line repeated
+in one copy only does not part it from the other.
+Registers are banded, equal
 bands make candidates, and candidates are verified exactly: they are linked
 if the Jaccard similarity of their shingle sets is ``THRESHOLD`` or more.
 
@@ -54,19 +57,16 @@ _U = np.uint64
 _LAST_ID = (1 << 63) - 1
 
 
-def weighted_sets(shingles: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of each text, how often each occurs, and how many a text has."""
-    parts, counts, sizes, at = [], [], np.zeros(len(per), dtype=np.int64), 0
+def shingle_sets(shingles: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each text, and how many a text has."""
+    parts, sizes, at = [], np.zeros(len(per), dtype=np.int64), 0
     for i, n in enumerate(per.tolist()):
         if n:
-            s, c = np.unique(shingles[at:at + n], return_counts=True)
+            s = np.unique(shingles[at:at + n])
             parts.append(s)
-            counts.append(c)
             sizes[i] = len(s)
             at += n
-    if not parts:
-        return np.zeros(0, dtype=_U), np.zeros(0), sizes
-    return np.concatenate(parts), np.concatenate(counts).astype(np.float64), sizes
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=_U), sizes
 
 
 def prob_minhash(items: np.ndarray, weights: np.ndarray, sizes: np.ndarray, m: int = M) -> np.ndarray:
@@ -113,8 +113,8 @@ def _signatures(docs: DataFrame) -> DataFrame:
     def fn(texts, rows):
         w = words_of(texts)
         shingles, per = shingles_of(w, SHINGLE_WORDS)
-        items, weights, sizes = weighted_sets(shingles, per)
-        keys = band_keys(prob_minhash(items, weights, sizes))
+        items, sizes = shingle_sets(shingles, per)
+        keys = band_keys(prob_minhash(items, np.ones(len(items)), sizes))
         node, check = sequence_digest(w)
         none = w.counts() == 0
         counts = np.where(none, 0, keys.shape[1])
@@ -129,7 +129,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
 def _shingle_sets(texts: DataFrame) -> DataFrame:
     def fn(texts, rows):
         shingles, per = shingles_of(words_of(texts), SHINGLE_WORDS)
-        items, _, sizes = weighted_sets(shingles, per)
+        items, sizes = shingle_sets(shingles, per)
         return {"node": rows.column(0), "items": common.flat_lists(items.view(np.int64), sizes, pa.int64())}
 
     return common.map_texts(texts, "text", fn, "node long, items array<long>", ["node"])

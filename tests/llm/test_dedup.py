@@ -62,6 +62,18 @@ def test_classes_equal_brute_force(spark):
     assert sorted(kept) == sorted(set(want.values()))
 
 
+def test_copies_whose_lines_repeat_differently_equal_brute_force(spark):
+    rows = []
+    for i in range(60):
+        n, line, times = ((400, 12, 30), (200, 10, 100), (1000, 12, 200))[i % 3]
+        text, last = edges.words(6000 + i, n), edges.words(7000 + i, line)
+        rows += [(2 * i, f"{text}\n{last}"), (2 * i + 1, text + f"\n{last}" * times)]
+    want = _brute_classes(rows)
+    assert all(want[d] == d // 2 * 2 for d in want)
+    got = {r.id: r.class_id for r in nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_given_documents_equal_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     got = {r.id: r.class_id for r in nd.near_duplicates(docs).collect()}
