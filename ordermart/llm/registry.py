@@ -9,6 +9,7 @@ from .near_dedup import op3_probminhash_dedup
 from .packing import op4_best_two_fit
 from .quality import op10_factorisation_quality
 from .revisits import OP8_SQL, op8_revisit_resolution
+from .shuffling import op11_hypergeometric_shuffle
 from .substring_dedup import op9_substring_dedup
 from .topk import OP5_SQL, op5_exact_top_k
 from .toxicity import op7_toxicity
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_revisit_resolution": op8_revisit_resolution,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_factorisation_quality": op10_factorisation_quality,
+    "op11_hypergeometric_shuffle": op11_hypergeometric_shuffle,
 }
 
 ORACLES: dict[str, str] = {
