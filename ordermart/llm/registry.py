@@ -7,6 +7,7 @@ from .extraction import op6_site_style_tree
 from .language_id import op1_hyperdimensional_language
 from .near_dedup import op3_probminhash_dedup
 from .packing import op4_best_two_fit
+from .periodic_runs import op13_periodic_runs
 from .quality import op10_factorisation_quality
 from .revisits import OP8_SQL, op8_revisit_resolution
 from .shuffling import op11_hypergeometric_shuffle
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_factorisation_quality": op10_factorisation_quality,
     "op11_hypergeometric_shuffle": op11_hypergeometric_shuffle,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
