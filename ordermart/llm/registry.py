@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import op2_qgram_decontamination
+from .divergence import OP12_SQL, op12_source_divergence
 from .extraction import op6_site_style_tree
 from .language_id import op1_hyperdimensional_language
 from .near_dedup import op3_probminhash_dedup
@@ -27,10 +28,12 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_factorisation_quality": op10_factorisation_quality,
     "op11_hypergeometric_shuffle": op11_hypergeometric_shuffle,
+    "op12_source_divergence": op12_source_divergence,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_top_k": OP5_SQL,
     "op8_revisit_resolution": OP8_SQL,
+    "op12_source_divergence": OP12_SQL,
 }
