@@ -11,10 +11,10 @@ problem, in this order:
   phase 3  the insert: values must fit the declared column types.
 
 Here every row's candidate violations are built as an array of
-``struct(phase, seq, message)``; ``array_min`` keeps the row's first, and
-one ``min(struct(phase, row, seq, message))`` per file picks the file's
-first error.  That is a partial (map-side) aggregation, so a file of any
-size reduces to one row per task before the shuffle.
+``struct(phase, seq, message)``; the least is the row's first error, and the
+message with the least (phase, row, seq) is the file's.  That is a partial
+(map-side) aggregation, so a file of any size reduces to one row per task
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -67,27 +67,27 @@ def _v(cond: Column, phase: int, seq: int, message: Column) -> Column:
                            message.alias("message")))
 
 
-def prepare(rows: DataFrame, kind: str) -> DataFrame:
-    """Strip and parse each field once, as columns, before the checks.
+def prepare(rows: DataFrame, *kinds: str) -> DataFrame:
+    """Strip and parse each field of the kinds once, as columns, before the checks.
 
     The checks read these columns many times; computing them in a
     projection of their own keeps every regex to one evaluation per row
     (Catalyst does not collapse a projection into one that would repeat
     a non-trivial expression) and keeps the generated code small.
     """
-    cols = KINDS[kind]["columns"]
+    cols = dict.fromkeys(c for k in kinds for c in KINDS[k]["columns"])
     extra = [strip_all(c).alias(f"_s_{c}") for c in cols]
-    if kind == "orders":
+    if "orders" in kinds:
         q, p = F.col("quantity"), F.col("unit_price")
         extra += [is_int_text(q).alias("_q_is_int"), parse_int_wide(q).alias("_q_wide"),
                   parse_int(q).alias("_q_int"), is_decimal_text(p).alias("_p_is_dec"),
                   is_non_finite_text(p).alias("_p_non_finite"),
                   has_excess_decimals(p).alias("_p_excess"), parse_decimal(p).alias("_p_dec")]
     out = rows.select("*", *extra)
-    for c in KINDS[kind]["dates"]:
+    for c in dict.fromkeys(d for k in kinds for d in KINDS[k]["dates"]):
         s_ = F.col(f"_s_{c}")
         out = out.withColumn(f"_d_{c}", s_.rlike(STRICT_DATE_RE) & F.try_to_date(s_, "yyyy-MM-dd").isNotNull())
-    if kind == "orders":
+    if "orders" in kinds:
         out = out.withColumn("_p_price", to_price(F.col("_p_dec"))).withColumn(
             "_total", total_incremental(F.col("_q_int"), F.col("_p_dec")))
     return out
@@ -159,24 +159,23 @@ def _error_key(e: Column) -> Column:
                   + e["seq"].cast("long"))
 
 
-def file_verdicts(contract: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
+def file_verdicts(contract: DataFrame, rows: DataFrame, kind: str | None = None) -> DataFrame:
     """file_name, data_rows, status (OK/FAILED), error_message.
 
-    Pass 1 keeps, per file, the smallest fixed-width error key: a hash
-    aggregate with a map-side partial step (no sort, no string buffers,
-    and no filter that the optimizer could push into the scan's joins).
-    Pass 2 rebuilds the message for the one winning row of each file
-    (a semi-join with one row per failing file).
+    One pass over the rows of one kind, or of all kinds with a ``kind``
+    column.  Per file the message with the smallest (phase, row, seq) is
+    kept by an object hash aggregate, which holds one message a file in
+    each task: no sort of the rows and no second pass to rebuild messages.
     """
-    keyed = (prepare(rows, kind).select("file_name", "row_number", first_row_error(kind).alias("e"))
-             .select("file_name", _error_key(F.col("e")).alias("ekey")))
-    winners = (keyed.groupBy("file_name").agg(F.min("ekey").alias("ekey"))
-               .where(F.col("ekey").isNotNull())
-               .select("file_name", F.shiftright("ekey", 12).bitwiseAND(F.lit((1 << 40) - 1))
-                       .alias("row_number")))
-    # one row per failing file; AQE broadcasts it if its measured size allows
-    hit = rows.join(winners, ["file_name", "row_number"], "left_semi")
-    first = prepare(hit, kind).select("file_name", first_row_error(kind)["message"].alias("message"))
+    kinds = [kind] if kind else list(KINDS)
+    error = first_row_error(kinds[0]) if kind else F.coalesce(
+        *[F.when(F.col("kind") == k, first_row_error(k)) for k in kinds])
+    keyed = (prepare(rows, *kinds).select("file_name", "row_number", error.alias("e"))
+             .select("file_name", _error_key(F.col("e")).alias("ekey"), F.col("e")["message"].alias("message")))
+    # the set has one element at most; with it Spark takes the object hash aggregate
+    first = (keyed.groupBy("file_name")
+             .agg(F.min_by("message", "ekey").alias("message"), F.collect_set(F.when(F.col("ekey").isNotNull(), True)).alias("some"))
+             .where(F.size("some") > 0).select("file_name", "message"))
     j = contract.join(first, "file_name", "left")
     err = F.coalesce(F.col("contract_error"), F.col("message"))
     return j.select("file_name", "data_rows",

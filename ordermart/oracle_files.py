@@ -191,6 +191,22 @@ def scan_customers() -> str:
                               "created_date FROM rc")
 
 
+def scan_quoted() -> str:
+    return """
+WITH n AS (
+  SELECT o_orderkey AS k, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
+         'raw/notes/notes_' || lpad(CAST(o_orderkey // 20000 AS VARCHAR), 6, '0') || '.csv' AS file_name
+  FROM orders)
+SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY k) + 1 AS row_number,
+       'O' || CAST(k AS VARCHAR) AS order_id, 'C' || CAST(o_custkey AS VARCHAR) AS customer_id,
+       CASE k % 5 WHEN 0 THEN 'called "again"' || chr(10) || chr(10) || 'on ' || day || ', no "answer"'
+                  WHEN 1 THEN chr(10) || CAST(k AS VARCHAR) || ',' || chr(10)
+                  WHEN 2 THEN 'plain ' || day
+                  WHEN 3 THEN '"x",' || chr(10) || '"y' || repeat('"' || chr(10), k % 4)
+                  ELSE '' END AS note
+FROM n"""
+
+
 def row_numbers() -> str:
     return with_(file_ctes(), "SELECT file_name, order_id, row_number FROM ro")
 
@@ -268,6 +284,24 @@ def incremental_run() -> str:
                               "WHERE status <> 'UNTOUCHED'")
 
 
+def _continue_ctes() -> dict[str, str]:
+    c = _run_ctes()
+    c["d"] = """
+SELECT file_name, kind, ordinal, prev_status, st AS status,
+       CASE WHEN st = 'SUCCESS' THEN CAST(data_rows AS BIGINT) ELSE CAST(0 AS BIGINT) END AS record_count,
+       CASE WHEN st = 'FAILED' THEN verr END AS error_message
+FROM d0"""
+    return c
+
+
+def incremental_continue() -> str:
+    return with_(_continue_ctes(), "SELECT file_name, status, record_count, error_message FROM d")
+
+
+def upsert_continue() -> str:
+    return with_(_continue_ctes(), LATEST_ORDERS)
+
+
 def run_summary() -> str:
     return with_(_run_ctes(), """
 SELECT count(*) FILTER (WHERE status = 'SUCCESS') AS processed_files,
@@ -333,7 +367,7 @@ FROM fact f JOIN dim d ON f.customer_id = d.customer_id""")
 
 
 ORACLES = {f.__name__: f for f in (stream_ingest, full_refresh, upsert_compacted, date_violations,
-    required_inputs, list_inputs, scan_by_name, scan_customers, row_numbers, file_contract,
-    file_violations, file_verdicts, file_plan, incremental_run, run_summary, upsert_latest,
+    required_inputs, list_inputs, scan_by_name, scan_customers, scan_quoted, row_numbers, file_contract,
+    file_violations, file_verdicts, file_plan, incremental_run, incremental_continue, upsert_continue, run_summary, upsert_latest,
     upsert_customers, tracker_history, files_per_status, incremental_counts,
     order_totals_listing)}

@@ -345,6 +345,17 @@ def q_scan_customers(spark, sf_dir):
                        "email", "created_date")
 
 
+def q_scan_quoted(spark, sf_dir):
+    """Files whose quoted fields hold line feeds, quotes and commas, by header name."""
+    from ..sources.bindings import NOTES_PREFIX, materialize_notes
+    from ..sources.files import project_by_name, scan_records
+    landing = _memo_landing(spark, ("notes", sf_dir), lambda: materialize_notes(
+        spark, sf_dir, scratch_path(spark, "landing-notes")))
+    scan = scan_records(spark, [r["path"] for r in landing.list_csv(NOTES_PREFIX).select("path").collect()])
+    rows = project_by_name(scan, ["order_id", "customer_id", "note"])
+    return rows.select(landing.key(F.col("path")).alias("file_name"), "row_number", "order_id", "customer_id", "note")
+
+
 def q_row_numbers(spark, sf_dir):
     """Physical record number of every order row."""
     _, _, rows, _ = _scan(spark, _landing(spark, sf_dir), "orders")
@@ -387,15 +398,11 @@ def q_date_violations(spark, sf_dir):
 
 
 def q_file_verdicts(spark, sf_dir):
-    """First error of each file, in the source's check order."""
+    """First error of each file, in the source's check order; one scan of both kinds."""
     from ..operators.file_rules import file_verdicts
-    landing = _landing(spark, sf_dir)
-    out = None
-    for kind in ("customers", "orders"):
-        _, _, rows, contract = _scan(spark, landing, kind)
-        v = file_verdicts(contract, rows, kind)
-        out = v if out is None else out.unionByName(v)
-    return out
+    from .incremental import IncrementalConfig, listed, scan_files
+    rows, contract = scan_files(spark, listed(_landing(spark, sf_dir), IncrementalConfig()).withColumn("ordinal", F.lit(0)))
+    return file_verdicts(contract, rows)
 
 
 def _seeded_store(spark, landing):
@@ -422,17 +429,15 @@ def q_file_plan(spark, sf_dir):
     landing = _landing(spark, sf_dir)
     store = _seeded_store(spark, landing)
     plan = plan_files(list_files(landing, IncrementalConfig()), store.tracker_latest())
-    decided, rows, _ = decide(spark, landing, plan, IncrementalConfig())
-    for r in rows.values():
-        r.unpersist()
+    decided, _, _ = decide(spark, plan, IncrementalConfig())
     return decided.select("file_name", "ordinal", "prev_status", "status", "record_count", "error_message")
 
 
-def _run(spark, sf_dir):
-    from .incremental import run_incremental
+def _run(spark, sf_dir, on_error="stop"):
+    from .incremental import IncrementalConfig, run_incremental
     landing = _landing(spark, sf_dir)
     store = _seeded_store(spark, landing)
-    return run_incremental(spark, landing, store, raise_on_error=False), store
+    return run_incremental(spark, landing, store, IncrementalConfig(on_error=on_error), raise_on_error=False), store
 
 
 def q_incremental_run(spark, sf_dir):
@@ -441,6 +446,18 @@ def q_incremental_run(spark, sf_dir):
     return res.run_log.select("file_name", "status", "record_count", "error_message")
 
 
+def q_incremental_continue(spark, sf_dir):
+    """I5 in continue mode: the run log; good files after a failure are published too."""
+    res, _ = _run(spark, sf_dir, "continue")
+    return res.run_log.select("file_name", "status", "record_count", "error_message")
+
+
+def q_upsert_continue(spark, sf_dir):
+    """K4: the order table after a run in continue mode."""
+    _, store = _run(spark, sf_dir, "continue")
+    return store.visible("orders")
+
+
 def q_run_summary(spark, sf_dir):
     """A10."""
     from .incremental import run_summary
@@ -553,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "list_inputs": q_list_inputs,
     "scan_by_name": q_scan_by_name,
     "scan_customers": q_scan_customers,
+    "scan_quoted": q_scan_quoted,
     "row_numbers": q_row_numbers,
     "file_contract": q_file_contract,
     "file_violations": q_file_violations,
@@ -560,6 +578,8 @@ QUERIES: dict[str, Query] = {
     "date_violations": q_date_violations,
     "file_plan": q_file_plan,
     "incremental_run": q_incremental_run,
+    "incremental_continue": q_incremental_continue,
+    "upsert_continue": q_upsert_continue,
     "run_summary": q_run_summary,
     "upsert_latest": q_upsert_latest,
     "upsert_compacted": q_upsert_compacted,

@@ -7,27 +7,31 @@ One run, set-based:
 2. order the files: customers first, then orders, each by name; join the
    tracker's latest status: SUCCESS -> SKIPPED (J3, I7), anything else is
    (re)processed (I6);
-3. scan all files to process in ONE job per kind and compute each file's
-   verdict (contract, row rules, first error: D14-D16, D19);
-4. stop-at-first-failure without a loop: ``cut`` = smallest ordinal of a
-   FAILED file; files before it are published, the cut file is FAILED,
-   later files are left untouched (I5).  ``on_error="continue"`` publishes
-   every good file instead;
+3. take the files to process in waves, in their order, of at most
+   ``wave_bytes`` each; one scan reads both kinds.  The contract of a
+   wave's files (headers and counts) is known from the scan's summary
+   before any row is parsed;
+4. stop-at-first-failure (I5): rows are parsed only of files before the
+   first contract failure, written once to the shared folder, and judged
+   (row rules, first error: D14-D16, D19).  ``cut`` = smallest ordinal of
+   a FAILED file: files before it are published, the cut file is FAILED,
+   later files are left untouched, and later waves are never read.
+   ``on_error="continue"`` reads all waves and publishes every good file;
 5. write tracker PROCESSING events, then the rows of the good files into
    their change logs, then the SUCCESS / FAILED events (K4, K5).  A
    reader only sees rows whose file has a SUCCESS event in the same
    batch, so a crash between the writes leaves nothing half-visible and a
    retry is safe.
 
-The plan (one row per file) is checkpointed before anything is written,
-so the run log does not change when the tracker does.
+The plan (one row per file) is written before anything else, so the run
+log does not change when the tracker does.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.amounts import to_price, total_incremental
@@ -37,11 +41,14 @@ from ..operators.file_rules import file_verdicts
 from ..operators.keys import add_row_number
 from ..operators.upsert import ChangeLog
 from ..schemas import CUSTOMER_COLUMNS, INC_CUSTOMERS, INC_ORDERS, ORDER_COLUMNS, TRACKER
-from ..session import reliable_checkpoint
+from ..session import drop_path, scratch_path, written
 from ..sources.files import (Landing, check_any_files, file_contract, project_by_name,
                              scan_records)
 
 KIND_COLUMNS = {"customers": CUSTOMER_COLUMNS, "orders": ORDER_COLUMNS}
+ALL_COLUMNS = list(dict.fromkeys(CUSTOMER_COLUMNS + ORDER_COLUMNS))
+ROW_SCHEMA = ("row_number long, file_name string, ordinal long, kind string, "
+              + ", ".join(f"{c} string" for c in ALL_COLUMNS))
 SUCCESS, FAILED, SKIPPED, PROCESSING, UNTOUCHED = "SUCCESS", "FAILED", "SKIPPED", "PROCESSING", "UNTOUCHED"
 # Fixed value: the source project's limit of a stored error message.
 ERROR_LIMIT = 1000
@@ -155,6 +162,7 @@ class IncrementalConfig:
     customers_prefix: str = "raw/customers"
     orders_prefix: str = "raw/orders"
     on_error: str = "stop"          # "stop" (source behaviour) or "continue"
+    wave_bytes: int = 1 << 40       # files read at once; in stop mode no wave after a failure is read
 
 
 @dataclass
@@ -166,6 +174,12 @@ class RunResult:
     extra: dict = field(default_factory=dict)
 
 
+def listed(landing: Landing, cfg: IncrementalConfig) -> DataFrame:
+    """file_name, path, length and kind of every CSV object under the two prefixes."""
+    kind = F.when(F.col("prefix_rank") == 0, "customers").otherwise("orders")
+    return landing.listing([cfg.customers_prefix, cfg.orders_prefix]).select("file_name", "path", "length", kind.alias("kind"))
+
+
 def list_files(landing: Landing, cfg: IncrementalConfig) -> DataFrame:
     """Listing with kind and processing ordinal (customers first, by name).
 
@@ -173,9 +187,7 @@ def list_files(landing: Landing, cfg: IncrementalConfig) -> DataFrame:
     per-partition counts), so even a very long listing is not funnelled
     through one task.
     """
-    ls = landing.listing([cfg.customers_prefix, cfg.orders_prefix])
-    kind = F.when(F.col("prefix_rank") == 0, "customers").otherwise("orders")
-    ls = ls.select("file_name", "path", "length", kind.alias("kind"), "prefix_rank")
+    ls = listed(landing, cfg).withColumn("prefix_rank", F.when(F.col("kind") == "customers", 0).otherwise(1))
     return add_row_number(ls, ["prefix_rank", "file_name"], "ordinal").drop("prefix_rank")
 
 
@@ -186,43 +198,82 @@ def plan_files(listing: DataFrame, tracker_latest: DataFrame) -> DataFrame:
             .withColumn("action", F.when(F.col("prev_status") == SUCCESS, "SKIP").otherwise("PROCESS")))
 
 
-def scan_kind(spark: SparkSession, landing: Landing, files: DataFrame, kind: str):
-    """Rows by name (+ file_name) and the contract of each file."""
-    # The reader needs the object paths, as any Spark file source does:
-    # one small row per file to process.
-    meta = files.select("path").collect()
-    cols = KIND_COLUMNS[kind]
-    if not meta:
-        return None, None
-    scan = scan_records(spark, [r["path"] for r in meta])
-    rows = project_by_name(scan, cols).withColumn("file_name", landing.key(F.col("path")))
-    contract = file_contract(files.select("file_name", "path"), scan, cols)
+def scan_files(spark: SparkSession, files: DataFrame):
+    """Rows by name (file_name, kind, ordinal, row_number, columns of both kinds) and the contract of each file.
+
+    ``files`` (file_name, path, kind, ordinal) is one small row per file;
+    the reader needs their paths, as any Spark file source does.
+    """
+    scan = scan_records(spark, [r["path"] for r in files.select("path").collect()])
+    names = files.select("path", "file_name", "kind", "ordinal")
+    rows = project_by_name(scan, ALL_COLUMNS).join(names, "path", "left").drop("path")
+    contract = None
+    for kind, columns in KIND_COLUMNS.items():
+        c = file_contract(files.where(F.col("kind") == kind).select("file_name", "path"), scan, columns)
+        contract = c if contract is None else contract.unionByName(c)
     return rows, contract
 
 
-def decide(spark: SparkSession, landing: Landing, plan: DataFrame, cfg: IncrementalConfig):
-    """Verdict per file; statuses after the stop-at-first-failure cut."""
-    # one row per file, used several times: pin it (and the tracker state it
-    # was planned against) in the shared checkpoint folder
-    plan = reliable_checkpoint(plan)
-    todo = plan.where(F.col("action") == "PROCESS")
-    verdicts, rows_by_kind = None, {}
-    for kind in ("customers", "orders"):
-        rows, contract = scan_kind(spark, landing, todo.where(F.col("kind") == kind), kind)
-        if rows is None:
-            continue
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        rows_by_kind[kind] = rows
-        v = file_verdicts(contract, rows, kind)
-        verdicts = v if verdicts is None else verdicts.unionByName(v)
-    if verdicts is None:
-        verdicts = spark.createDataFrame([], "file_name string, data_rows long, status string, error_message string")
+def _waves(files: list, limit: int):
+    """Files in their order, cut where the next would exceed ``limit`` bytes (one file at least)."""
+    wave, size = [], 0
+    for f in files:
+        if wave and size + f.length > limit:
+            yield wave
+            wave, size = [], 0
+        wave.append(f)
+        size += f.length
+    if wave:
+        yield wave
+
+
+def _judge(spark: SparkSession, files: DataFrame, stop: bool):
+    """Verdicts of one wave, and the folder with the parsed rows of the files that may be published."""
+    rows, contract = scan_files(spark, files)
+    contract = written(contract, "contract")
+    able = files.join(contract.where(F.col("contract_error").isNull()).select("file_name"), "file_name", "left_semi")
+    if stop:
+        bad = files.join(contract.where(F.col("contract_error").isNotNull()), "file_name", "left_semi").agg(F.min("ordinal")).first()[0]
+        if bad is not None:     # nothing after the first contract failure is parsed
+            able = able.where(F.col("ordinal") < bad)
+            if able.isEmpty():
+                return file_verdicts(contract, rows.limit(0)), None
+            rows, _ = scan_files(spark, able)
+    if not stop:
+        rows = rows.join(able.select("file_name"), "file_name", "left_semi")
+    path = scratch_path(spark, "rows")
+    rows.write.partitionBy("kind").parquet(path)
+    parsed = spark.read.schema(ROW_SCHEMA).parquet(path)
+    return file_verdicts(contract, parsed), path
+
+
+def decide(spark: SparkSession, plan: DataFrame, cfg: IncrementalConfig):
+    """Status of every file after the stop-at-first-failure cut.
+
+    Returns the files, the folders with parsed rows and the cut's ordinal.
+    """
+    # one row per file, used several times: pin it (and the tracker state it was planned against)
+    plan = written(plan, "plan")
+    stop = cfg.on_error == "stop"
+    columns = ["file_name", "path", "kind", "ordinal", "length"]
+    todo = plan.where(F.col("action") == "PROCESS").select(*columns).orderBy("ordinal").collect()
+    schema = plan.select(*columns).schema
+    verdicts = spark.createDataFrame([], "file_name string, data_rows long, status string, error_message string")
+    folders = []
+    for wave in _waves(todo, cfg.wave_bytes):
+        v, path = _judge(spark, spark.createDataFrame(wave, schema), stop)
+        v = written(v, "verdicts")
+        verdicts = verdicts.unionByName(v)
+        folders += [path] if path else []
+        if stop and not v.where(F.col("status") == FAILED).isEmpty():
+            break
     d = plan.join(verdicts.withColumnRenamed("status", "verdict"), "file_name", "left")
     status = (F.when(F.col("action") == "SKIP", SKIPPED)
-              .when(F.col("verdict") == "OK", SUCCESS).otherwise(FAILED))
-    d = reliable_checkpoint(d.withColumn("status", status))
+              .when(F.col("verdict") == "OK", SUCCESS)
+              .when(F.col("verdict").isNotNull(), FAILED).otherwise(UNTOUCHED))
+    d = written(d.withColumn("status", status), "decided")
     cut = None
-    if cfg.on_error == "stop":
+    if stop:
         cut = d.where(F.col("status") == FAILED).agg(F.min("ordinal")).first()[0]
     if cut is not None:
         d = d.withColumn("status", F.when(F.col("ordinal") > cut, UNTOUCHED).otherwise(F.col("status")))
@@ -230,7 +281,7 @@ def decide(spark: SparkSession, landing: Landing, plan: DataFrame, cfg: Incremen
                  F.when(F.col("status") == SUCCESS, F.col("data_rows")).otherwise(F.lit(0))
                  .cast("long").alias("record_count"),
                  F.when(F.col("status") == FAILED, F.col("error_message")).alias("error_message"))
-    return d, rows_by_kind, cut
+    return d, folders, cut
 
 
 def publish_rows(kind: str, rows: DataFrame) -> DataFrame:
@@ -271,7 +322,7 @@ def run_incremental(spark: SparkSession, landing: Landing, store: IngestionStore
     listing = list_files(landing, cfg) if listing is None else listing
     check_any_files(listing)
     plan = plan_files(listing, store.tracker_latest())
-    decided, rows_by_kind, cut = decide(spark, landing, plan, cfg)
+    decided, folders, cut = decide(spark, plan, cfg)
     batch = batch_id if batch_id is not None else store.next_batch()
     touched = decided.where(F.col("status").isin(SUCCESS, FAILED))
     store.record_events(touched.select("file_name", F.lit(PROCESSING).alias("status"),
@@ -279,12 +330,14 @@ def run_incremental(spark: SparkSession, landing: Landing, store: IngestionStore
                                        F.lit(None).cast("string").alias("error_message")), batch, 1)
     # one row per good file; AQE broadcasts it if its measured size allows
     good = decided.where(F.col("status") == SUCCESS).select("file_name", F.col("ordinal").alias("file_ordinal"))
-    for kind, rows in rows_by_kind.items():
-        pub = publish_rows(kind, rows.join(good, "file_name", "inner"))
-        store.table(kind).append(pub, batch)
+    if folders:
+        rows = reduce(DataFrame.unionByName, [spark.read.schema(ROW_SCHEMA).parquet(f) for f in folders])
+        for kind in KIND_COLUMNS:
+            pub = publish_rows(kind, rows.where(F.col("kind") == kind).drop("kind", "ordinal").join(good, "file_name", "inner"))
+            store.table(kind).append(pub, batch)
     store.record_events(touched.select("file_name", "status", "record_count", "error_message"), batch, 2)
-    for rows in rows_by_kind.values():
-        rows.unpersist()
+    for folder in folders:
+        drop_path(spark, folder)
     run_log = decided.where(F.col("status") != UNTOUCHED).select(
         "file_name", "kind", "ordinal", "status", "record_count", "error_message")
     error = None

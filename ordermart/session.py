@@ -70,6 +70,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
                      uuid.uuid4().hex])
 
 
+def written(df, *tag: str):
+    """Write ``df`` once as Parquet to the shared folder and read it back: one job, lineage cut."""
+    path = scratch_path(df.sparkSession, *tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def reliable_checkpoint(df):
     """``checkpoint()`` into spark.checkpoint.dir, computed once.
 

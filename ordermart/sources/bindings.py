@@ -278,3 +278,33 @@ def full_refresh_lines(spark: SparkSession, sf_dir: str, messy: bool = False) ->
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ``notes``: one CSV object for every NOTE_FILE_KEYS order keys, so their number
+# grows with the data.  Most notes hold line feeds, quotes or commas.
+NOTE_FILE_KEYS = 20_000
+NOTES_PREFIX = "raw/notes"
+_NOTE_STD = ["order_id", "customer_id", "note"]
+
+
+def note_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_name, seq, line) of the notes; a line may hold line feeds inside quotes."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    idx = F.floor(k / NOTE_FILE_KEYS).cast("int")
+    day = _s(F.col("o_orderdate").cast("date"))
+    note = (F.when(k % 5 == 0, F.concat(F.lit('called "again"\n\non '), day, F.lit(', no "answer"')))
+            .when(k % 5 == 1, F.concat(F.lit("\n"), _s(k), F.lit(",\n")))
+            .when(k % 5 == 2, F.concat(F.lit("plain "), day))
+            .when(k % 5 == 3, F.concat(F.lit('"x",\n"y'), F.repeat(F.lit('"\n'), (k % 4).cast("int")))))
+    rows = o.select(F.concat(F.lit(f"{NOTES_PREFIX}/notes_"), F.lpad(_s(idx), 6, "0"), F.lit(".csv")).alias("file_name"),
+                    idx.alias("file_idx"), k.alias("seq"), F.concat(F.lit("O"), _s(k)).alias("order_id"),
+                    F.concat(F.lit("C"), _s(F.col("o_custkey"))).alias("customer_id"), note.alias("note"))
+    return file_lines(rows, [(F.col("file_idx") % 2 == 1, [_NOTE_STD[2], _NOTE_STD[0], _NOTE_STD[1]]), (F.lit(True), _NOTE_STD)],
+                      blank_after=F.col("seq") % 50 == 7)
+
+
+def materialize_notes(spark: SparkSession, sf_dir: str, root: str) -> str:
+    from .landing import write_named_files
+    write_named_files(note_lines(spark, sf_dir), root)
+    return root

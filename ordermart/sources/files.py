@@ -2,27 +2,28 @@
 contract (S5) and physical record numbers (S6).  The raw zone is only
 read, never changed (S7).
 
-Scan design, one pass over any mix of headers:
-
-* ``spark.read.text`` + a field split: a plain split where a line has no
-  quote, else one ``regexp_extract_all`` with possessive loops (no
-  recursion, any field length) and, as in Python's csv module, text after
-  a closing quote kept.  Whitespace-only records stay, empty lines go.
-* A quoted field may hold line feeds.  The first pass marks the files that
-  have a line with an open quote; only those are read as a stream of lines
-  through the csv module, one task per file, lines in order and never
-  collected.  All other files are split freely.
-* Every record gets its split (``_metadata.file_path``,
-  ``_metadata.file_block_start``) and ``monotonically_increasing_id``.
-  One hash aggregation gives per split its first id and record count; a
-  running sum over the splits of a file (one row per split) gives the
-  offset.  Record number = offset + id - first id + 1: the header is 1,
-  data starts at 2.  No window and no sort runs over data rows.  The second
-  pass checks each record against its split: if the file was cut otherwise
-  in between, the job raises instead of losing or renumbering rows.
-* The first record of a file is its header; each required column is
-  taken from the header position of its name (case-sensitive, the last
-  one wins for a repeated name, as ``csv.DictReader`` does).
+Scan design, for any mix of headers:
+
+* First pass over the text (``spark.read.text``): one row per split
+  (``_metadata.file_path``, ``_metadata.file_block_start``) with its record
+  count, its first line and whether a line leaves a quote open.  The rows
+  are written once to the shared folder; headers, record numbers and the
+  file contract all come from them.  The first line of a file is its
+  header; a blank one is a header without names, as for ``csv.DictReader``.
+* Second pass: a plain split where a line has no quote, else one
+  ``regexp_extract_all`` with possessive loops (no recursion, any field
+  length) and, as in Python's csv module, text after a closing quote kept.
+  Whitespace-only records stay, later empty lines go.
+* Record number = records in earlier splits + place in the split, the
+  latter from ``monotonically_increasing_id``: the header is 1, data starts
+  at 2.  No window and no sort runs over data rows.  The second pass checks
+  each record against its split: if the file was cut otherwise in between,
+  the job raises instead of losing or renumbering rows.
+* Files in which a quoted field holds line feeds are read split by split
+  too, after a prefix scan of the quote states of their splits
+  (``sources.quoted``).
+* Each required column is taken from the header position of its name
+  (case-sensitive, the last one wins for a repeated name).
 
 The split summary has fixed-width rows (40 bytes: file hash, block, first
 id, count, offset).  It is broadcast if its counted rows are within
@@ -39,7 +40,8 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..session import reliable_checkpoint
+from ..session import written
+from . import quoted
 
 # Largest summary (one row per split, or one header per file) that is broadcast.
 BROADCAST_BYTES = 256 << 20
@@ -141,10 +143,7 @@ def check_any_files(listing: DataFrame) -> None:
 # One CSV field: a quoted part (doubled quotes inside) with what follows its
 # closing quote, or a run of non-commas, at the line start or after a comma.
 CSV_FIELD_RE = '(?<=^|,)("(?:[^"]++|"")*+"[^,]*+|[^,]*+)'
-QUOTED_RE = '^"((?:[^"]++|"")*+)"(.*+)$'
-# A quote opens a field and is not closed on the line (or may look so: such
-# files are read by the csv module, which decides).
-OPEN_QUOTE_RE = '(?:^|,)"(?:[^"]++|"")*+$'
+QUOTED_RE = '(?s)^"((?:[^"]++|"")*+)"(.*+)\\z'
 
 
 def csv_fields(line) -> Column:
@@ -178,81 +177,80 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         path.alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
-def _stream_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, record_number, fields) of files with line feeds in quoted fields.
-
-    The lines of a file come to one task in order and flow through the csv
-    module as a stream, so memory is bounded by one record.
-    """
-    lines = (_lines(spark, paths).withColumn("pos", F.monotonically_increasing_id())
-             .repartition(len(paths), "path").sortWithinPartitions("path", "block", "pos").select("path", "value"))
-
-    def run(batches):
-        import csv
-        import itertools
-
-        import pyarrow as pa
-
-        csv.field_size_limit(2 ** 31 - 1)
-        rows = ((p, v) for b in batches for p, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-        out = []
-        for path, group in itertools.groupby(rows, key=lambda r: r[0]):
-            number = 0
-            for fields in csv.reader(v + "\n" for _, v in group):
-                if fields:
-                    number += 1
-                    out.append((path, number, fields))
-                    if len(out) >= 10_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["path", "record_number", "fields"])
-                        out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["path", "record_number", "fields"])
-
-    return lines.mapInArrow(run, "path string, record_number long, fields array<string>")
+def _quoted_records(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Records (path, record_number, fields) and splits (path, n) of files with line feeds in quoted fields."""
+    lines = _lines(spark, paths)
+    starts = written(quoted.split_starts(quoted.split_states(lines)), "quoted-splits")
+    rows = starts.count()
+    placed = lines.join(_within(starts.select("path", "block", "inside", "offset"), rows, 200), ["path", "block"])
+    if rows * 200 > BROADCAST_BYTES:    # a shuffled join loses the order of the lines: sort each split again
+        placed = (lines.withColumn("pos", F.monotonically_increasing_id())
+                  .join(starts.select("path", "block", "inside", "offset"), ["path", "block"])
+                  .repartition("path", "block").sortWithinPartitions("path", "block", "pos"))
+    parts = written(quoted.split_records(placed), "quoted-records")
+    return quoted.join_pieces(parts), starts.select("path", "n")
 
 
 def scan_records(spark: SparkSession, paths: list[str]) -> CsvScan:
     """S4 + S6: every CSV record with (path, record_number, fields, header)."""
-    lines = (_lines(spark, paths).where(F.col("value") != "")
-             .withColumn("file", F.xxhash64("path")).withColumn("rid", F.monotonically_increasing_id()))
-    w = Window.partitionBy("path").orderBy("block")
+    by_path = Window.partitionBy("path").orderBy("block")
+    before = by_path.rowsBetween(Window.unboundedPreceding, -1)
+    value = F.col("value")
     # one row per split, written once: what every later pass is checked against
-    splits = reliable_checkpoint(
-        lines.groupBy("path", "file", "block")
-        .agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n"),
-             F.max(F.col("value").rlike(OPEN_QUOTE_RE)).alias("open"))
-        .withColumn("offset", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("split_rank", F.row_number().over(w)))
-    facts = splits.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("path").alias("paths"),
-                       F.countDistinct("file").alias("files")).first()
+    splits = (_lines(spark, paths).withColumn("at", F.monotonically_increasing_id())
+              .groupBy("path", "block")
+              .agg(F.min("at").alias("at"), F.count_if(value != "").alias("lines"), F.min_by("value", "at").alias("first_line"),
+                   F.collect_set(F.when(quoted.opens(value), True)).alias("opens")))     # at most one element
+    first = F.row_number().over(by_path) == 1
+    in_task = Window.partitionBy(F.shiftright("at", 33)).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (splits.withColumn("file", F.xxhash64("path")).withColumn("first", first)
+              .withColumn("open", F.size("opens") > 0)
+              # the id of the split's first record among the records of its task
+              .withColumn("first_rid", F.shiftleft(F.shiftright("at", 33), 33) + F.coalesce(F.sum("lines").over(in_task), F.lit(0)))
+              # a leading blank line is the header
+              .withColumn("blank", F.col("first") & (F.col("first_line") == ""))
+              .withColumn("n", F.col("lines") + F.col("blank").cast("int"))
+              .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)) + F.col("blank").cast("int"))
+              .withColumn("first_line", F.when(F.col("first"), F.col("first_line")))
+              .drop("at", "opens"))
+    splits = written(splits, "splits")
+    facts = splits.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("path").alias("paths"), F.countDistinct("file").alias("files"),
+                       F.collect_set(F.when(F.col("open"), F.col("path"))).alias("opened")).first()
     if facts.paths != facts.files:
         raise RuntimeError("two file names have the same 64-bit hash; rename one of them")
-    opened = [r.path for r in splits.where("open").select("path").distinct().collect()]   # a part of ``paths``
-    plain = lines.join(F.broadcast(spark.createDataFrame([(p,) for p in opened], "path string")), "path", "left_anti") \
-        if opened else lines
+    opened = facts.opened       # a part of ``paths``
+
+    def without(df: DataFrame, names: list[str]) -> DataFrame:
+        return df.join(F.broadcast(spark.createDataFrame([(p,) for p in names], "path string")), "path", "left_anti") if names else df
 
-    keys = _within(splits.select("file", "block", F.col("first_rid").alias("first"), "n", "offset"), facts.n, SPLIT_ROW_BYTES)
-    index = F.col("rid") - F.col("first")
+    lines = (_lines(spark, paths).where(value != "")
+             .withColumn("file", F.xxhash64("path")).withColumn("rid", F.monotonically_increasing_id()))
+    keys = _within(splits.select("file", "block", "first_rid", "lines", "offset"), facts.n, SPLIT_ROW_BYTES)
+    index = F.col("rid") - F.col("first_rid")
     # a left join that raises: a split cut otherwise than in the first pass must not lose rows
-    number = F.when(F.col("first").isNotNull() & (index >= 0) & (index < F.col("n")), F.col("offset") + index + 1).otherwise(
+    number = F.when(F.col("first_rid").isNotNull() & (index >= 0) & (index < F.col("lines")), F.col("offset") + index + 1).otherwise(
         F.raise_error(F.lit("a file was cut into other splits than when it was numbered; run the scan again")).cast("long"))
-    numbered = plain.join(keys, ["file", "block"], "left").select("path", number.alias("record_number"), "value")
-
-    firsts = _within(splits.where(F.col("split_rank") == 1).select("file", F.col("first_rid").alias("rid")), facts.files, 16)
-    headers = plain.join(firsts, ["file", "rid"], "left_semi").select("path", csv_fields("value").alias("header"))
-    counts = splits.select("path", "n")
+    numbered = without(lines, opened).join(keys, ["file", "block"], "left").select("path", number.alias("record_number"), "value")
     records = numbered.select("path", "record_number", csv_fields("value").alias("fields"))
+    counts = splits.select("path", "n")
+    heads = splits.where("first").select("path", F.when(F.col("blank"), F.array().cast("array<string>"))
+                                         .otherwise(csv_fields("first_line")).alias("header"))
     if opened:
-        streamed = reliable_checkpoint(_stream_records(spark, opened))
+        streamed, quoted_counts = _quoted_records(spark, opened)
+        blank = splits.where("blank").select("path")
+        streamed = (streamed.join(_within(blank.withColumn("shift", F.lit(1)), facts.paths, HEADER_ROW_BYTES), "path", "left")
+                    .select("path", (F.col("record_number") + F.coalesce("shift", F.lit(0))).alias("record_number"), "fields"))
+        # a blank header line is one more record
+        counts = (without(counts, opened).unionByName(quoted_counts)
+                  .unionByName(splits.where(F.col("blank") & F.col("path").isin(opened)).select("path", F.lit(1).cast("long").alias("n"))))
+        heads = (without(heads, opened)
+                 .unionByName(streamed.where("record_number = 1").select("path", F.col("fields").alias("header")))
+                 .unionByName(heads.where(F.col("path").isin(opened) & (F.size("header") == 0))))
         records = records.unionByName(streamed)
-        headers = headers.unionByName(streamed.where("record_number = 1").select("path", F.col("fields").alias("header")))
-        counts = (counts.join(F.broadcast(spark.createDataFrame([(p,) for p in opened], "path string")), "path", "left_anti")
-                  .unionByName(streamed.groupBy("path").agg(F.count(F.lit(1)).alias("n"))))
-    headers = reliable_checkpoint(headers)
     # left join: predicates on the parsed fields must not be pushed into it
-    records = records.join(_within(headers, facts.files, HEADER_ROW_BYTES), "path", "left").select(
+    records = records.join(_within(heads, facts.paths, HEADER_ROW_BYTES), "path", "left").select(
         "path", "record_number", "fields", "header")
-    return CsvScan(records=records, splits=counts, headers=headers)
+    return CsvScan(records=records, splits=counts, headers=heads)
 
 
 def field_by_name(name: str) -> Column:

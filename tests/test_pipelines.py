@@ -242,3 +242,39 @@ def test_compacted_reads_open_the_snapshot_and_later_batches_only(spark, tmp_pat
         assert "SortAggregate" not in plan and "batch_id" in plan and "PartitionFilters: [isnotnull(batch_id" in plan
     orders, files = state()
     assert len(orders) == 10 and ("hot.csv", "FAILED", 9) in files
+
+
+def test_stop_mode_reads_nothing_past_a_failure(spark, tmp_path, monkeypatch):
+    from ordermart.plans import incremental
+    root = tmp_path / "landing"
+    put(root, "raw/customers/customers_01.csv", C_HDR + "C1,Ann,X,a@b.co,2026-10-01\n")
+    put(root, "raw/orders/orders_01.csv", O_HDR + "O1,C1,2026-10-01,1,2\n")
+    put(root, "raw/orders/orders_02.csv", "order_id,quantity\nO2,1\n")
+    put(root, "raw/orders/orders_03.csv", O_HDR + "O3,C1,2026-10-01,1,2\n")
+    put(root, "raw/orders/orders_04.csv", O_HDR + "O4,C1,2026-10-01,1,2\n")
+    landing = Landing(spark, str(root))
+    scans = []
+    real = incremental.scan_records
+
+    def scan_spy(session, paths):
+        scans.append([p.rsplit("/", 1)[1] for p in paths])
+        return real(session, paths)
+
+    monkeypatch.setattr(incremental, "scan_records", scan_spy)
+    for wave in (1 << 40, 200, 1):
+        scans.clear()
+        store = IngestionStore(spark, str(tmp_path / f"wh{wave}"))
+        res = run_incremental(spark, landing, store, IncrementalConfig(wave_bytes=wave), raise_on_error=False)
+        assert res.error == "raw/orders/orders_02.csv is missing required columns: ['customer_id', 'order_date', 'unit_price']"
+        assert {r.file_name[-13:]: r.status for r in res.plan.where("kind = 'orders'").collect()} == {
+            "orders_01.csv": "SUCCESS", "orders_02.csv": "FAILED", "orders_03.csv": "UNTOUCHED", "orders_04.csv": "UNTOUCHED"}
+        assert {r.order_id for r in store.visible("orders").collect()} == {"O1"}
+        opened = {f for s in scans for f in s}
+        if wave == 1:       # a wave per file: files after the failing one are never opened
+            assert opened == {"customers_01.csv", "orders_01.csv", "orders_02.csv"}
+        if wave > 1 << 30:  # one wave: its rows are parsed from a scan that ends before the bad header
+            assert scans[-1] == ["customers_01.csv", "orders_01.csv"]
+    # continue mode reads on, whatever the waves
+    store = IngestionStore(spark, str(tmp_path / "wh-continue"))
+    res = run_incremental(spark, landing, store, IncrementalConfig(on_error="continue", wave_bytes=100))
+    assert {r.order_id for r in store.visible("orders").collect()} == {"O1", "O3", "O4"} and res.error is None
