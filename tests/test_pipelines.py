@@ -278,3 +278,78 @@ def test_stop_mode_reads_nothing_past_a_failure(spark, tmp_path, monkeypatch):
     store = IngestionStore(spark, str(tmp_path / "wh-continue"))
     res = run_incremental(spark, landing, store, IncrementalConfig(on_error="continue", wave_bytes=100))
     assert {r.order_id for r in store.visible("orders").collect()} == {"O1", "O3", "O4"} and res.error is None
+
+
+def test_a_crash_before_the_last_events_shows_nothing(spark, tmp_path, monkeypatch):
+    root = tmp_path / "landing"
+    put(root, "raw/orders/orders_01.csv", O_HDR + "A1,C1,2026-10-01,1,2\n")
+    landing = Landing(spark, str(root))
+    store = IngestionStore(spark, str(tmp_path / "wh"))
+    run_incremental(spark, landing, store)
+    put(root, "raw/orders/orders_02.csv", O_HDR + "A1,C1,2026-10-01,9,2\nA2,C1,2026-10-01,1,2\n")
+    real = IngestionStore.record_events
+
+    def crash(self, events, batch_id, event_seq):
+        if event_seq == 2:
+            raise RuntimeError("executor lost")
+        real(self, events, batch_id, event_seq)
+
+    monkeypatch.setattr(IngestionStore, "record_events", crash)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        run_incremental(spark, landing, store)
+    monkeypatch.undo()
+    seen = lambda: {r.order_id: r.quantity for r in store.visible("orders").collect()}
+    assert store.open_batches("orders") == [2] and store.next_batch() == 3 and seen() == {"A1": 1}
+    run_incremental(spark, landing, store)      # the same file again, in a new batch
+    assert seen() == {"A1": 9, "A2": 1}
+    assert store.vacuum() == [2] and store.open_batches("orders") == [] and seen() == {"A1": 9, "A2": 1}
+
+
+def test_snapshot_is_merged_without_moving_it(spark, tmp_path, monkeypatch):
+    from ordermart.plans import incremental
+    monkeypatch.setattr(incremental, "SNAPSHOT_BUCKET_BYTES", 500)
+    store = IngestionStore(spark, str(tmp_path / "wh"))
+
+    def batch(n, ids):
+        files = spark.createDataFrame([(f"f{n}.csv", "SUCCESS", 1, None)],
+                                      "file_name string, status string, record_count long, error_message string")
+        rows = spark.createDataFrame([(f"O{i}", f"C{n}", 1, k) for k, i in enumerate(ids)],
+                                     "order_id string, customer_id string, file_ordinal long, row_number long")
+        store.orders.append(rows.selectExpr("*", "cast(null as date) order_date", f"{n} quantity", "1.00 unit_price",
+                                            "1.00 total_amount", f"'f{n}.csv' file_name"), n)
+        store.record_events(files, n, 2)
+
+    def rows():
+        return sorted((r.order_id, r.quantity) for r in store.visible("orders").collect())
+
+    batch(1, range(300))
+    batch(2, range(0, 300, 3))
+    store.compact("orders")
+    batch(3, range(0, 300, 7))
+    want = sorted((f"O{i}", 3 if i % 7 == 0 else 2 if i % 3 == 0 else 1) for i in range(300))
+    assert rows() == want and store._snapshot("orders")[1] > 1
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        view = store.visible("orders")
+        view.collect()
+        plan = view._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        scan = next(i for i, line in enumerate(plan.splitlines()) if "snapshot_" in line and "Scan" in line)
+        above = []
+        depth = len(plan.splitlines()[scan]) - len(plan.splitlines()[scan].lstrip(" :+-"))
+        for line in reversed(plan.splitlines()[:scan]):     # the operators over the snapshot, up to the join
+            d = len(line) - len(line.lstrip(" :+-"))
+            if d < depth:
+                depth = d
+                above.append(line.strip(" :+-"))
+            if "SortMergeJoin" in line or "HashJoin" in line:
+                break
+        assert above[-1].startswith(("SortMergeJoin", "ShuffledHashJoin")) and not any("Exchange" in x for x in above)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # a new session has no table of it: the folder's name tells its buckets
+    name = store._bucketed("orders", *store._snapshot("orders"))[1]
+    spark.sql(f"DROP TABLE {name}")
+    assert rows() == want
+    store.compact("orders")
+    assert rows() == want and store.latest_snapshot("orders") == 3
