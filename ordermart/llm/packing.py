@@ -18,6 +18,7 @@ reaches the driver.  Tokens are made once, with a bounded cache of words
 in each Python worker, since the tokenizer treats words on their own.
 
 Results on edge cases.  Null and empty texts are one piece of the end id.
+Strings of special tokens in a text give their ids, as the tokenizer does.
 Null doc_ids and repeated rows are packed like others, each row by itself.
 An empty table gives no row.  Other columns take no part.
 """
@@ -70,7 +71,8 @@ class ChunkTokenizer:
 
         path = vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        # strings of the vocabulary's own tokens, which the tokenizer takes out of a text first
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks: dict[str, bytes] = {}
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.as_bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in _LETTERS + _SIGNS + "0123456789"}
@@ -94,7 +96,7 @@ class ChunkTokenizer:
         return cls._held[vocabulary]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        plain = [i for i, t in enumerate(texts) if _PLAIN.fullmatch(t)]
+        plain = [i for i, t in enumerate(texts) if _PLAIN.fullmatch(t) and not any(m in t for m in self.marks)]
         out: list = [None] * len(texts)
         for i, b in zip(plain, self._plain_ids([texts[i] for i in plain])):
             out[i] = b
@@ -240,17 +242,18 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     """``pieces`` (with ``length``) and their sequence_id and offset."""
     spark = pieces.sparkSession
     common.ship_package(spark)
-    held = common.materialise(pieces.withColumn("__uid", F.monotonically_increasing_id()), "pieces")
+    uid, bucket, first, at_place, at = (common.free_name(pieces, c) for c in ("__uid", "__bucket", "__before", "__place", "__at"))
+    held = common.materialise(pieces.withColumn(uid, F.monotonically_increasing_id()), "pieces")
     counted = held.groupBy("length").agg(F.count("*").alias("n")).collect()     # ``sequence`` rows at most
     histogram = {int(r.length): r.n for r in counted}
     table, _ = plan(histogram, sequence)
     buckets = max(1, -(-max(histogram.values(), default=1) // BUCKET_PIECES))
-    held = held.withColumn("__bucket", F.pmod(F.xxhash64("__uid"), F.lit(buckets)))
-    before = (held.groupBy("length", "__bucket").agg(F.count("*").alias("n"))
-              .withColumn("__before", F.sum("n").over(Window.partitionBy("length").orderBy("__bucket")) - F.col("n"))
+    held = held.withColumn(bucket, F.pmod(F.xxhash64(uid), F.lit(buckets)))
+    before = (held.groupBy("length", bucket).agg(F.count("*").alias("n"))
+              .withColumn(first, F.sum("n").over(Window.partitionBy("length").orderBy(bucket)) - F.col("n"))
               .drop("n"))
-    number = F.row_number().over(Window.partitionBy("length", "__bucket").orderBy("__uid")) - 1
-    numbered = held.withColumn("__place", number).join(before, ["length", "__bucket"])
+    number = F.row_number().over(Window.partitionBy("length", bucket).orderBy(uid)) - 1
+    numbered = held.withColumn(at_place, number).join(before, ["length", bucket])
     plan_rows = spark.sparkContext.broadcast(table)     # bounded by the sequence length, not by the corpus
 
     @F.pandas_udf("sequence_id long, offset long")
@@ -267,9 +270,9 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
             hi[step[~up]] = mid[~up]
         return pd.DataFrame({"sequence_id": n + t[at, 2], "offset": t[at, 3]})
 
-    out = numbered.withColumn("__at", place(F.col("length"), F.col("__before") + F.col("__place")))
-    return out.select(*[F.col(c) for c in pieces.columns], F.col("__at.sequence_id").alias("sequence_id"),
-                      F.col("__at.offset").alias("offset"))
+    out = numbered.withColumn(at, place(F.col("length"), F.col(first) + F.col(at_place)))
+    return out.select(*[F.col(f"`{c}`") for c in pieces.columns], F.col(f"{at}.sequence_id").alias("sequence_id"),
+                      F.col(f"{at}.offset").alias("offset"))
 
 
 def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,8 +17,10 @@ Results on edge cases.  Vectors that are null, or hold null or non-finite
 components, and rows without an id take no part.  Empty vectors score 0.
 Vectors of other lengths are compared on the terms that both have.  Rows
 with the query's id are its own and no candidates; other repeated rows
-each count.  Fewer candidates than k: all are returned.  Scores beyond 64
-bits raise an error.  Other columns take no part.
+each count.  Fewer candidates than k: all are returned.  Scores that may
+pass 64 bits, by the lengths of the two vectors, are summed in unbounded
+integers; one that does not fit raises an error only if it is returned.
+Other columns take no part.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ from . import common
 K = 10
 SCALE = 1024
 QUERY_DIVISOR = 100
+#: Products of two lengths below this keep every partial sum within 64 bits.
+SAFE = float(1 << 62)
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 #: Rows of a block; a candidate block of 64 terms takes about 16 MB while it is searched.
 CANDIDATE_BLOCK, QUERY_BLOCK = 16_384, 4_096
 
@@ -82,14 +87,25 @@ def _unpack(frame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return ids[order], row[some], term[some], values[some]
 
 
-def search_block(queries, candidates, k: int) -> tuple[list, list, list]:
-    """(query_id, vec_id, score) of the k best candidates of a block for each query of a block."""
+def _lengths(row: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
+    """Euclidean length of each row."""
+    return np.sqrt(np.bincount(row, weights=weight.astype(np.float64) ** 2, minlength=rows))
+
+
+def search_block(queries, candidates, k: int) -> tuple[list, list, list, list]:
+    """(query_id, vec_id, score, fits) of the k best candidates of a block for each query of a block.
+
+    A score that does not fit into 64 bits stands at their end, with ``fits`` false.
+    """
     cid, crow, cterm, cweight = _unpack(candidates)
     qid, qrow, qterm, qweight = _unpack(queries)
-    if len(cweight) and len(qweight):
-        most = int(np.abs(cweight).max()) * int(np.abs(qweight).max()) * (int(max(cterm.max(), qterm.max())) + 1)
-        if most >= 1 << 62:
-            raise OverflowError("scores would not fit into 64 bits")
+    # no sum of products is larger than the product of the lengths
+    clength, qlength = _lengths(crow, cweight, len(cid)), _lengths(qrow, qweight, len(qid))
+    by_row = [{} for _ in range(len(cid))] if len(cid) and len(qid) and clength.max() * qlength.max() >= SAFE else None
+    if by_row is not None:
+        for r in np.flatnonzero(clength * qlength.max() >= SAFE).tolist():
+            at = np.flatnonzero(crow == r)
+            by_row[r] = dict(zip(cterm[at].tolist(), cweight[at].tolist()))
     order = np.argsort(cterm, kind="stable")
     crow, cterm, cweight = crow[order], cterm[order], cweight[order]
     terms = int(max(cterm.max(initial=-1), qterm.max(initial=-1))) + 1
@@ -97,7 +113,7 @@ def search_block(queries, candidates, k: int) -> tuple[list, list, list]:
     order = np.argsort(qrow, kind="stable")
     qterm, qweight = qterm[order], qweight[order]
     first = np.searchsorted(qrow[order], np.arange(len(qid) + 1))
-    out_q, out_v, out_s = [], [], []
+    out_q, out_v, out_s, out_f = [], [], [], []
     for i in range(len(qid)):
         scores = np.zeros(len(cid), dtype=np.int64)
         for t, w in zip(qterm[first[i]:first[i + 1]].tolist(), qweight[first[i]:first[i + 1]].tolist()):
@@ -106,6 +122,14 @@ def search_block(queries, candidates, k: int) -> tuple[list, list, list]:
                 scores += w * cweight[a:b]
             else:
                 scores[crow[a:b]] += w * cweight[a:b]
+        wide = np.flatnonzero(clength * qlength[i] >= SAFE)
+        fits = np.ones(len(cid), dtype=bool)
+        if len(wide):       # these sums may have wrapped: unbounded integers
+            query = dict(zip(qterm[first[i]:first[i + 1]].tolist(), qweight[first[i]:first[i + 1]].tolist()))
+            for r in wide.tolist():
+                exact = sum(w * by_row[r].get(t, 0) for t, w in query.items())
+                scores[r] = min(max(exact, LEAST), MOST)
+                fits[r] = LEAST <= exact <= MOST
         able = np.flatnonzero(cid != qid[i])
         s = scores[able]
         if len(s) > k:
@@ -116,7 +140,8 @@ def search_block(queries, candidates, k: int) -> tuple[list, list, list]:
         out_q += [int(qid[i])] * len(able)
         out_v += cid[able].tolist()
         out_s += s.tolist()
-    return out_q, out_v, out_s
+        out_f += fits[able].tolist()
+    return out_q, out_v, out_s, out_f
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
@@ -133,14 +158,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     candidates = candidates.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qn - 1))))
 
     def meet(left, right):
-        q, v, s = search_block(left, right, k)
-        return pd.DataFrame({"query_id": q, "vec_id": v, "score": s})
+        q, v, s, f = search_block(left, right, k)
+        return pd.DataFrame({"query_id": q, "vec_id": v, "score": s, "fits": f})
 
     found = (queries.groupBy("qb", "cb").cogroup(candidates.groupBy("qb", "cb"))
-             .applyInPandas(meet, "query_id long, vec_id long, score long"))
+             .applyInPandas(meet, "query_id long, vec_id long, score long, fits boolean"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", F.when(F.col("fits"), F.col("score")).otherwise(
+                F.raise_error(F.lit("a score does not fit into 64 bits")).cast("long")).alias("score")))
 
 
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

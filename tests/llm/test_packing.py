@@ -1,30 +1,34 @@
 import collections
+import functools
 import random
 import zlib
 
 import numpy as np
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ordermart.llm import packing
 
 from . import edges
 
 
+@functools.cache
 def _tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(max_size=60) | st.text(alphabet="aBcé'’.,! \n\t12ßŒ|$s't", max_size=80))
+@given(st.text(max_size=60) | st.text(alphabet="aBcé'’.,! \n\t12ßŒ|$s't", max_size=80)
+       | st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "a", "é", "　", "\n"])).map("".join))
+@example("<|endoftext|>")
+@example("plain text <|endoftext|> goes on<|startoftext|>here")
 def test_ids_equal_the_tokenizer(text):
     own = packing.ChunkTokenizer.get(packing.VOCABULARY)
     got = np.frombuffer(own.ids([text, "x " + text])[0], "<u4").tolist()
-    assert got == own.tokenizer.encode(text, add_special_tokens=False).ids
+    assert got == _tokenizer().encode(text, add_special_tokens=False).ids
 
 
 def test_plan_places_every_piece_once():
@@ -79,5 +83,16 @@ def test_round_trip(spark):
         assert at <= packing.SEQUENCE
 
 
+def test_columns_with_the_names_of_its_own(spark):
+    pieces = packing.pieces_of(edges.documents(spark))
+    plain = {(p.doc_id, p.piece, p.ids_crc32): p.length for p in packing.pack(pieces).collect()}
+    for c in ("__uid", "__bucket", "__before", "__place", "__at", "a.b"):
+        pieces = pieces.withColumn(c, F.lit(7))
+    got = packing.pack(pieces)
+    assert got.columns == [*pieces.columns, "sequence_id", "offset"]
+    rows = got.collect()
+    assert {(p.doc_id, p.piece, p.ids_crc32): p.length for p in rows} == plain and {p["__at"] for p in rows} == {7}
+
+
 def test_empty_table(spark):
     assert packing.pack(packing.pieces_of(edges.empty(spark))).count() == 0

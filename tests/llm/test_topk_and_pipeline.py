@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
@@ -30,6 +31,29 @@ def test_top_k_edges(spark):
     assert topk.top_k(topk.integer_vectors(df.filter("false")), F.col("vec_id") == 0).count() == 0
 
 
+def test_scores_near_the_end_of_64_bits(spark):
+    """One large component stops nothing; sums that wrap in between are exact; only returned scores must fit."""
+    top = 3e9 / 1024
+    rows = [(0, [1.0, 0.5, 0.0]), (100, [top, -1.0, 2.0]), (1, [0.25, 1.0, 1.0]), (2, [top, top, -top]), (3, [0.0, 0.0, 9.0]),
+            (200, [top * 900, top * 900, 0.0])]
+    ints = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    got = topk.top_k(topk.integer_vectors(spark.createDataFrame(rows[:5], "vec_id long, embedding array<double>")),
+                     F.col("vec_id") % 100 == 0).collect()
+    want = set()
+    for q in (0, 100):
+        scores = sorted((-sum(a * b for a, b in zip(ints[q], ints[v])), v) for v in (0, 100, 1, 2, 3) if v != q)
+        want |= {(q, k + 1, v, -s) for k, (s, v) in enumerate(scores)}
+    assert {tuple(r) for r in got} == want
+    with pytest.raises(Exception, match="does not fit"):
+        both = spark.createDataFrame([rows[5], (300, [top * 900, top * 900, 1.0])], "vec_id long, embedding array<double>")
+        topk.top_k(topk.integer_vectors(both), F.col("vec_id") % 100 == 0).collect()
+    # a sum below the least that fits is no result where others are better
+    many = [(i, [float(i % 7), 1.0, 0.0]) for i in range(1, 30)] + [(400, [-top * 900, -top * 900, 0.0]), rows[5]]
+    found = topk.top_k(topk.integer_vectors(spark.createDataFrame(many, "vec_id long, embedding array<double>")),
+                       F.col("vec_id") == 200).collect()
+    assert len(found) == 10 and 400 not in {r.vec_id for r in found}
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     v = topk.integer_vectors(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet"))
     want = sorted(map(tuple, topk.top_k(v, F.col("vec_id") % 100 == 0).collect()))
