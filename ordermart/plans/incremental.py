@@ -281,16 +281,18 @@ def _judge(spark: SparkSession, files: DataFrame, stop: bool):
     rows, contract = scan_files(spark, files)
     contract = written(contract, "contract")
     able = files.join(contract.where(F.col("contract_error").isNull()).select("file_name"), "file_name", "left_semi")
-    if stop:
+    if stop:        # no row after the first contract failure is parsed
         bad = files.join(contract.where(F.col("contract_error").isNotNull()), "file_name", "left_semi").agg(F.min("ordinal")).first()[0]
-        if bad is not None:     # nothing after the first contract failure is parsed
+        if bad is not None:
             able = able.where(F.col("ordinal") < bad)
-            if able.isEmpty():
+            before, after = files.agg(*[F.coalesce(F.sum(F.when(c, F.col("length"))), F.lit(0)) for c in
+                                        (F.col("ordinal") < bad, F.col("ordinal") >= bad)]).first()
+            if before == 0:
                 return contract.select("file_name", "data_rows", F.when(F.col("contract_error").isNull(), "OK").otherwise(FAILED)
                                        .alias("status"), F.col("contract_error").alias("error_message")), None
-            rows, _ = scan_files(spark, able)
-    if not stop:
-        rows = rows.join(able.select("file_name"), "file_name", "left_semi")
+            if after > before:      # to number the files before it anew reads less than what follows it
+                rows, _ = scan_files(spark, able)
+    rows = rows.join(able.select("file_name"), "file_name", "left_semi")
     path = scratch_path(spark, "rows")
     rows.write.partitionBy("kind").parquet(path)
     parsed = spark.read.schema(ROW_SCHEMA).parquet(path)
