@@ -81,19 +81,3 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def reliable_checkpoint(df):
-    """``checkpoint()`` into spark.checkpoint.dir, computed once.
-
-    An eager checkpoint of an unpersisted DataFrame runs its plan twice
-    (once to count, once to write the checkpoint files); persisting first
-    lets the write read the persisted blocks.  The persisted copy is
-    released once the checkpoint files exist.
-    """
-    from pyspark import StorageLevel
-    checkpoint_root(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = held.checkpoint(eager=True)
-    held.unpersist()
-    return out

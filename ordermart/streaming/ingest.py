@@ -13,8 +13,9 @@ already seen.
   batch is not committed, so the same files come again on the next start
   (after the file is corrected under the same name, I6).  Files already
   SUCCESS in the tracker are skipped on the replay.  A replay takes a new
-  batch id; rows of a batch that crashed before its SUCCESS events are
-  never visible.
+  batch id, since the rows of files that succeeded before stay in the old
+  one; rows of a batch that crashed before its last events are never
+  visible, and ``IngestionStore.vacuum`` deletes them.
 * Zero-length objects, which a file stream does not deliver, are taken
   from the listing, so they fail as in the batch run.
 * File order inside a micro-batch follows the batch rules (customers
