@@ -1,19 +1,23 @@
 """Operator 2: benchmark decontamination with the q-gram lemma.
 
-Method.  Texts are reduced to their letters and digits in lower case.  A
-window of w = min(``WINDOW``, item length) characters of a benchmark item
-occurs in a document with at most k = ``ERROR_RATE`` w edits only if the
-two share w - q + 1 - k q of their q-grams, all within k diagonals of each
-other.  Shared q-grams are counted per document, item and diagonal band;
-bands are 2k wide and overlap by k, so every set of k diagonals lies in one.
-Regions that reach the bound within a window's length are verified by a
-banded alignment, exact within the region, that gives the number of edits.
-
-Scale.  The index of the benchmark is sent to the tasks in blocks of at
-most ``BLOCK_CHARS`` characters, one after the other if the benchmark is
-larger, so its size is bounded.  Documents are read once per block in a
-narrow pass: no shuffle, no group, and a passage that a third of all
-documents hold costs each of them the same.
+Method.  Texts are reduced to their letters and digits in lower case.  An
+item is found where a window of w = min(``WINDOW``, item length) characters
+of it occurs in the document with at most k = ``ERROR_RATE`` w edits (6 in
+60: a replaced word of six letters), fewer only in items of under 32.
+Such a window shares w - q + 1 - k q of its q-grams with the document, all
+within k + 1 diagonals.  Shared q-grams are counted per document, item and
+diagonal band; bands are 2k wide and overlap by k, so each lies in one.
+Every window that meets the bound in a band is verified on the 2k diagonals
+of that band.  Windows copied letter by letter are seen by their consecutive
+q-grams, and the pair needs no alignment.  So no pair within the budget is
+lost, and none beyond it is reported.
+
+Scale.  The index of the benchmark is sent to the tasks in blocks of about
+``BLOCK_CHARS`` characters, one after the other if the benchmark is larger:
+each block is applied, written and dropped before the next is read.
+Documents are read once per block in a narrow pass: no shuffle, no group,
+and a passage that a third of all documents hold costs each of them the
+same.  Work arrays are cut at ``PAIRS`` shared q-grams.
 
 Results on edge cases.  Null, empty and short texts have no match.  An item
 with fewer than ``Q`` letters and digits matches nothing: it is too short
@@ -24,7 +28,9 @@ whatever their names are.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +39,20 @@ from pyspark.sql import functions as F
 from . import common
 from .words import _Tables, codes_of, span_hashes
 
-Q = 12
+Q = 8
 WINDOW = 60
-ERROR_RATE = 0.06
+ERROR_RATE = 0.1
 #: Characters of benchmark text in one index; larger benchmarks take several passes.
 BLOCK_CHARS = 8_000_000
 
 MATCHES = "array<struct<item_id:long,start:int,end:int,edits:int>>"
 _FILTER_BITS = 22
+#: From the first to the last shared q-gram of a match: its window and one insertion an edit.
+SPREAD = WINDOW + int(ERROR_RATE * WINDOW) - Q
+#: Pairs of shared q-grams and windows handled at once inside a task; they bound the work arrays.
+PAIRS, ALIGNED = 1 << 21, 1 << 13
+#: Cells of the alignment: edits times _UNIT and a diagonal below it; _FAR is out of the band.
+_UNIT, _FAR = 64, 1 << 20
 
 
 @dataclass
@@ -95,127 +107,163 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     return Index([i for i, _ in items], low, first, hashes[order], item[order], place[order], window, budget, bound, seen)
 
 
-def _regions(index: Index, low: np.ndarray, first: np.ndarray, hashes: np.ndarray):
-    """(document, item, place in the texts, place in the item) where a region reaching the bound begins."""
+def _slices(hits: np.ndarray, counts: np.ndarray):
+    """(first, end) of runs of hits with about PAIRS pairs, or one hit, in their core.
+
+    ``end`` reaches as far past the core as a match that begins in it.
+    """
+    part = np.cumsum(counts) // PAIRS
+    cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(hits)]])
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if b > a:
+            yield a, int(np.searchsorted(hits, hits[b - 1] + SPREAD, "right"))
+
+
+def _shared(index: Index, first: np.ndarray, hashes: np.ndarray):
+    """Shared q-grams in slices: (document, item, place in the texts, place in the item) of each."""
     hit = np.flatnonzero(index.seen[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] & (hashes != 0))
     lo = np.searchsorted(index.grams, hashes[hit], "left")
     hi = np.searchsorted(index.grams, hashes[hit], "right")
     hit, lo, n = hit[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
     if not len(hit) or not len(index.bound):
-        return None
-    # a window with too few shared q-grams of any item holds no region
-    least, width = int(index.bound.min()), WINDOW - Q
+        return
+    # a stretch with too few places of shared q-grams, of whatever item, holds no match
+    least = int(index.bound.min())
     far = np.zeros(len(hit), dtype=bool)
     if len(hit) >= least:
-        near = np.flatnonzero(hit[least - 1:] - hit[:len(hit) - least + 1] <= width)
+        near = np.flatnonzero(hit[least - 1:] - hit[:len(hit) - least + 1] <= SPREAD)
         mark = np.zeros(len(hit) + 1, dtype=np.int64)
         np.add.at(mark, near, 1)
         np.add.at(mark, near + least, -1)
         far = np.cumsum(mark[:-1]) > 0
     hit, lo, n = hit[far], lo[far], n[far]
     if not len(hit):
-        return None
-    row = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    where = np.repeat(hit, n)
-    item, place = index.item[row], index.place[row]
-    doc = np.searchsorted(first, where, "right") - 1
-    diagonal = where - first[doc] - place + WINDOW * 1_000_000
+        return
+    for a, b in _slices(hit, n):
+        m = n[a:b]
+        row = np.repeat(lo[a:b] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        where = np.repeat(hit[a:b], m)
+        yield np.searchsorted(first, where, "right") - 1, index.item[row], where, index.place[row]
+
+
+def _verbatim(index: Index, doc, item, where, place):
+    """(document, item, place in the texts) of the first whole window of each pair that is copied letter by letter."""
+    diagonal = where - place
+    order = np.lexsort((where, diagonal, item, doc))
+    doc, item, where, diagonal = (x[order] for x in (doc, item, where, diagonal))
+    length = index.window[item] - Q
+    then = np.arange(len(doc)) + length
+    whole = then < len(doc)
+    then = np.minimum(then, len(doc) - 1)
+    whole &= ((doc[then] == doc) & (item[then] == item) & (diagonal[then] == diagonal) & (where[then] - where == length))
+    return doc[whole], item[whole], where[whole]
+
+
+def _windows(index: Index, first: np.ndarray, doc, item, where, place):
+    """(document, item, start in the item, lowest diagonal) of every item window that meets the bound in a band."""
     step = np.maximum(1, index.budget[item])
-    band = diagonal // step
-    doc, item, where, place = (np.concatenate([x, x]) for x in (doc, item, where, place))
+    band = (where - first[doc] - place) // step
+    doc, item, place, step = (np.concatenate([x, x]) for x in (doc, item, place, step))
     band = np.concatenate([band, band - 1])
-    order = np.lexsort((where, band, item, doc))
-    doc, item, where, place, band = (x[order] for x in (doc, item, where, place, band))
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
-    group = np.cumsum(new) - 1
-    # hits of the group within a window's length from each hit on
-    key = group * (1 << 40) + where
-    upto = np.searchsorted(key, key + index.window[item] - Q, "right")
-    count = upto - np.arange(len(key))
-    good = np.flatnonzero(count >= index.bound[item])
-    if not len(good):
-        return None
-    # of the regions of a group that begin within one window, the fullest
-    cell = where[good] // index.window[item[good]]
-    best = good[np.lexsort((where[good], -count[good], cell, group[good]))]
-    cell = where[best] // index.window[item[best]]
-    lead = np.ones(len(best), dtype=bool)
-    lead[1:] = (group[best][1:] != group[best][:-1]) | (cell[1:] != cell[:-1])
-    best = best[lead]
-    last = upto[best] - 1
-    return (np.concatenate([doc[best]] * 2), np.concatenate([item[best]] * 2),
-            np.concatenate([where[best], where[last]]), np.concatenate([place[best], place[last]]),
-            np.repeat([0, 1], len(best)))
-
-
-def align(patterns: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least edits of each pattern (rows; 0 pads the end) anywhere in its text, and where the match ends."""
+    order = np.lexsort((place, band, item, doc))
+    doc, item, place, band, step = (x[order] for x in (doc, item, place, band, step))
+    # a window that begins at s has the q-grams s to s + w - q: the bound-th after a hit must be among them
+    bound, reach = index.bound[item], index.window[item] - Q
+    then = np.arange(len(doc)) + bound - 1
+    good = then < len(doc)
+    then = np.minimum(then, len(doc) - 1)
+    good &= (doc[then] == doc) & (item[then] == item) & (band[then] == band) & (place[then] - place <= reach)
+    at = np.flatnonzero(good)
+    size = index.first[item[at] + 1] - index.first[item[at]]
+    low = np.maximum(0, place[then[at]] - reach[at])
+    high = np.minimum(place[at], size - index.window[item[at]])
+    # both ends grow along a band: leave out the starts that the hit before gave
+    same = np.zeros(len(at), dtype=bool)
+    same[1:] = ((doc[at][1:] == doc[at][:-1]) & (item[at][1:] == item[at][:-1]) & (band[at][1:] == band[at][:-1]))
+    low[1:] = np.where(same[1:], np.maximum(low[1:], high[:-1] + 1), low[1:])
+    n = np.maximum(0, high - low + 1)
+    row = np.repeat(np.arange(len(at)), n)
+    start = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    at = at[row]
+    return doc[at], item[at], start, band[at] * step[at]
+
+
+def align(patterns: np.ndarray, texts: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Banded alignment of each pattern (rows; 0 pads the end) with its text on the diagonals 0 to wide - 1.
+
+    ``texts`` begin at the pattern's place on diagonal 0.  Returns the least
+    edits, and the text places where that alignment begins and ends.
+    """
     n, m = patterns.shape
-    width = texts.shape[1]
-    ramp = np.arange(width + 1, dtype=np.int32)
-    row = np.zeros((n, width + 1), dtype=np.int32)
+    width = int(wide.max())
+    ramp = np.arange(width, dtype=np.int32) * _UNIT
+    closed = np.arange(width) >= wide[:, None]
+    # a cell holds edits * _UNIT + the diagonal that its path began on
+    row = np.where(closed, _FAR, np.arange(width, dtype=np.int32))
     for j in range(m):
         live = patterns[:, j] != 0
-        step = np.empty_like(row)
-        step[:, 0] = row[:, 0] + 1
-        step[:, 1:] = np.minimum(row[:, :-1] + (texts != patterns[:, j:j + 1]), row[:, 1:] + 1)
+        if not live.any():
+            break
+        step = row + np.where(texts[:, j:j + width] != patterns[:, j:j + 1], _UNIT, 0)
+        step[:, :-1] = np.minimum(step[:, :-1], row[:, 1:] + _UNIT)
         step = np.minimum.accumulate(step - ramp, axis=1) + ramp
-        row = np.where(live[:, None], step, row)
+        row = np.where(live[:, None], np.where(closed, _FAR, step), row)
     end = row.argmin(axis=1)
-    return row[np.arange(n), end], end
+    best = row[np.arange(n), end]
+    return best // _UNIT, best % _UNIT, end + (patterns != 0).sum(axis=1)
 
 
 def matches(texts: list[str], index: Index) -> list[list[tuple]]:
-    """(item_id, start, end, edits) of each item found in each text, in character offsets."""
+    """(item_id, start, end, edits) of each item found in each text, in character offsets.
+
+    The match has the least edits; of copies letter by letter it is the first.
+    """
     out: list[list[tuple]] = [[] for _ in texts]
     low, at, first, hashes = _reduced(texts)
-    found = _regions(index, low, first, hashes)
-    if found is None:
-        return out
     begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     best: dict[tuple[int, int], tuple] = {}
-    for s in range(0, len(found[0]), 512):
-        doc, item, where, place, tail = (x[s:s + 512] for x in found)
-        w, k = index.window[item], index.budget[item]
-        size = np.diff(index.first)[item]
-        # the item's window that begins with the region's first hit, or ends with its last
-        left = np.where(tail == 1, np.maximum(0, place + Q - w), np.minimum(place, size - w))
-        text0 = where - (place - left) - k
-        p = np.zeros((len(doc), int(w.max())), dtype=np.uint32)
-        t = np.zeros((len(doc), int((w + 2 * k).max())), dtype=np.uint32)
-        cols = np.arange(p.shape[1])
-        src = index.first[item][:, None] + left[:, None] + cols
-        p = np.where(cols < w[:, None], index.codes[np.minimum(src, len(index.codes) - 1)], 0)
-        cols = np.arange(t.shape[1])
-        src = text0[:, None] + cols
-        inside = (src >= first[doc][:, None]) & (src < first[doc + 1][:, None]) & (cols < (w + 2 * k)[:, None])
-        t = np.where(inside, low[np.clip(src, 0, len(low) - 1)], 1)
-        edits, end = align(p, t)
-        for i in np.flatnonzero(edits <= k).tolist():
-            d, e = int(doc[i]), int(edits[i])
-            z = int(min(max(text0[i] + end[i], first[d] + 1), first[d + 1]))
-            a = int(max(first[d], z - w[i]))
-            hit = (e, int(at[a] - begin[d]), int(at[z - 1] - begin[d]) + 1)
-            old = best.get((d, int(item[i])))
-            if old is None or hit < old:
-                best[d, int(item[i])] = hit
+
+    def keep(doc, item, edits, a, z):
+        a, z = np.maximum(a, first[doc]), np.minimum(z, first[doc + 1])
+        for d, i, *hit in zip(doc.tolist(), item.tolist(), edits.tolist(), a.tolist(), z.tolist()):
+            if (d, i) not in best or hit < best[d, i]:
+                best[d, i] = hit
+
+    for doc, item, where, place in _shared(index, first, hashes):
+        d, i, a = _verbatim(index, doc, item, where, place)
+        keep(d, i, np.zeros(len(d), dtype=np.int64), a, a + index.window[i])
+        items = len(index.ids)
+        copied = np.array([d * items + i for (d, i), hit in best.items() if hit[0] == 0], dtype=np.int64)
+        rest = ~np.isin(doc * items + item, copied) & (index.budget[item] > 0)
+        doc, item, start, diagonal = _windows(index, first, doc[rest], item[rest], where[rest], place[rest])
+        for s in range(0, len(doc), ALIGNED):
+            d, i, p, g = (x[s:s + ALIGNED] for x in (doc, item, start, diagonal))
+            w, k = index.window[i], index.budget[i]
+            cols = np.arange(int(w.max()))
+            src = (index.first[i] + p)[:, None] + cols
+            pattern = np.where(cols < w[:, None], index.codes[np.minimum(src, len(index.codes) - 1)], 0)
+            cols = np.arange(int(w.max() + 2 * k.max()))
+            origin = first[d] + p + g
+            src = origin[:, None] + cols
+            inside = (src >= first[d][:, None]) & (src < first[d + 1][:, None])
+            text = np.where(inside, low[np.clip(src, 0, len(low) - 1)], 1)
+            edits, a, z = align(pattern, text, 2 * k)
+            ok = np.flatnonzero(edits <= k)
+            keep(d[ok], i[ok], edits[ok], origin[ok] + a[ok], origin[ok] + z[ok])
     for (d, i), (e, a, z) in sorted(best.items()):
-        out[d].append((index.ids[i], a, z, e))
+        out[d].append((index.ids[i], int(at[a] - begin[d]), int(at[z - 1] - begin[d]) + 1, e))
     return out
 
 
-def indexes(benchmark: DataFrame) -> list[Index]:
-    """Indexes over blocks of items (item_id, text); each holds BLOCK_CHARS characters at most, or one item."""
+def indexes(benchmark: DataFrame) -> Iterator[tuple[Index, bool]]:
+    """Indexes over blocks of items (item_id, text) of about BLOCK_CHARS characters at most, or one item; and whether it is the last."""
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("id"), "text")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    if not total:
-        return []
     blocks = -(-2 * total // BLOCK_CHARS)
-    block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
-    return [build_index(sorted(((r.id, r.text) for r in items.filter(block == b).toLocalIterator()),
-                               key=lambda x: (x[0] is None, x)))
-            for b in range(blocks)]
+    block = F.pmod(F.xxhash64("id", "text"), F.lit(max(1, blocks)))
+    for b in range(blocks):
+        rows = sorted(((r.id, r.text) for r in items.filter(block == b).toLocalIterator()), key=lambda x: (x[0] is None, x))
+        yield build_index(rows), b == blocks - 1
 
 
 def match_column(text: Column, index: Index, spark: SparkSession) -> Column:
@@ -236,26 +284,44 @@ def match_column(text: Column, index: Index, spark: SparkSession) -> Column:
     return find(text)
 
 
+def _block_by_block(benchmark: DataFrame, apply) -> list[DataFrame]:
+    """``apply(index, before)`` for each block of the benchmark, each result written before the next block is read.
+
+    The last one is not written: a benchmark of one block takes one narrow pass.
+    """
+    done: list[DataFrame] = []
+    for index, last in indexes(benchmark):
+        part = apply(index, done[-1] if done else None)
+        done.append(part if last else common.materialise(part, "decontaminated"))
+    return done
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, end, edits): the best match of each item in each row of ``docs``."""
-    found = None
-    for index in indexes(benchmark):
-        part = (docs.select("doc_id", F.explode(match_column(F.col("text"), index, docs.sparkSession)).alias("m"))
+    spark = docs.sparkSession
+
+    def found(index, _):
+        return (docs.select("doc_id", F.explode(match_column(F.col("text"), index, spark)).alias("m"))
                 .select("doc_id", "m.item_id", "m.start", "m.end", "m.edits"))
-        found = part if found is None else found.union(part)
-    if found is None:
+
+    parts = _block_by_block(benchmark, found)
+    if not parts:
         return docs.select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (
             ("item_id", "long"), ("start", "int"), ("end", "int"), ("edits", "int"))]).filter("false")
-    return found
+    return reduce(DataFrame.union, parts)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns kept."""
     name = common.free_name(docs, "__matches")
-    for index in indexes(benchmark):
-        docs = docs.withColumn(name, match_column(F.col("text"), index, docs.sparkSession)).filter(
+
+    def kept(index, before):
+        rows = docs if before is None else before
+        return rows.withColumn(name, match_column(F.col("text"), index, docs.sparkSession)).filter(
             F.size(name) == 0).drop(name)
-    return docs
+
+    parts = _block_by_block(benchmark, kept)
+    return parts[-1] if parts else docs
 
 
 def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,23 +7,96 @@ from ordermart.llm import decontamination as dc
 from . import edges
 
 
-def _naive(p, t):
-    row = [0] * (len(t) + 1)
-    for i, c in enumerate(p, 1):
-        new = [i]
-        for j, d in enumerate(t, 1):
-            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
-        row = new
-    return min(row)
-
-
-def test_align_equals_plain_edit_distance():
-    r = random.Random(2)
-    for _ in range(60):
-        p = [r.randint(1, 3) for _ in range(r.randint(1, 12))]
-        t = [r.randint(1, 3) for _ in range(20)]
-        got, _ = dc.align(np.array([p + [0] * (12 - len(p))], dtype=np.uint32), np.array([t], dtype=np.uint32))
-        assert got[0] == _naive(p, t)
+def _plain(t):
+    return "".join(c for c in t.lower() if c.isalnum())
+
+
+def _brute(text, item):
+    """Least edits of any window of the item anywhere in the text, by the definition."""
+    t, p = (np.array([ord(c) for c in _plain(x)]) for x in (text, item))
+    w = min(dc.WINDOW, len(p))
+    windows = np.lib.stride_tricks.sliding_window_view(p, w)
+    ramp = np.arange(len(t) + 1)
+    row = np.zeros((len(windows), len(t) + 1), dtype=int)
+    for j in range(w):
+        step = row + 1
+        step[:, 1:] = np.minimum(step[:, 1:], row[:, :-1] + (t != windows[:, j:j + 1]))
+        row = np.minimum.accumulate(step - ramp, axis=1) + ramp
+    return int(row.min())
+
+
+def _budget(item):
+    w = min(dc.WINDOW, len(_plain(item)))
+    return max(0, min(int(dc.ERROR_RATE * w), (w - dc.Q) // dc.Q)) if w >= dc.Q else -1
+
+
+def _pairs(texts, items):
+    return [{(i, e) for i, a, z, e in found} for found in dc.matches(texts, dc.build_index(items))]
+
+
+def _brute_pairs(texts, items):
+    out = []
+    for t in texts:
+        least = {i: _brute(t, x) for i, x in items if _budget(x) >= 0}
+        out.append({(i, e) for i, e in least.items() if e <= _budget(dict(items)[i])})
+    return out
+
+
+def test_every_window_and_edit_count_equals_the_definition():
+    r = random.Random(3)
+    items = [(i, edges.words(300 + i, n)) for i, n in enumerate((3, 4, 5, 6, 8, 10, 12, 18, 25, 40))]
+    texts = []
+    for i, item in items:
+        p = _plain(item)
+        w = min(dc.WINDOW, len(p))
+        for edits in range(_budget(item) + 3):
+            for _ in range(3):
+                s = r.randrange(len(p) - w + 1)
+                texts.append(edges.words(r.randrange(9999), 12) + " " + _edit(p[s:s + w], edits, r) + " " + edges.words(r.randrange(9999), 12))
+    got, want = _pairs(texts, items), _brute_pairs(texts, items)
+    assert got == want and sum(map(len, want)) > len(texts) / 2
+
+
+def test_substitutions_that_spread_evenly_are_found():
+    p = _plain(edges.words(77, 60))[:200]
+    k, texts = dc.WINDOW // 10, []
+    for s in range(len(p) - dc.WINDOW + 1):
+        part = list(p[s:s + dc.WINDOW])
+        for j in range(k):                  # at equal distances: the fewest shared q-grams that k edits leave
+            part[(j + 1) * dc.Q + j - 1] = "#"
+        texts.append("0123456789" * 3 + "".join(part).replace("#", "7") + "9876543210" * 3)
+    assert [{i for i, _ in x} for x in _pairs(texts, [(1, p)])] == [{1}] * len(texts)
+
+
+def test_a_replaced_word_of_six_letters():
+    r = random.Random(5)
+    items, texts = [], []
+    for i in range(100):
+        words = edges.words(1000 + i, 18).split()
+        items.append((i, " ".join(words)))
+        at = r.choice([j for j, x in enumerate(words) if len(x) <= 6])
+        texts.append(" ".join(words[:at] + ["zq" * (len(words[at]) // 2)] + words[at + 1:]))
+    assert all(i in {j for j, _ in found} for i, found in enumerate(_pairs(texts, items)) if len(_plain(items[i][1])) >= 66)
+
+
+def test_repeated_letters_are_cut_into_slices(monkeypatch):
+    items = [(1, "a" * 90), (2, "ab" * 40), (3, edges.words(8, 30))]
+    texts = ["a" * 150, "ab" * 60 + "b" + "ab" * 40, edges.words(8, 30), "a" * 40 + "b" * 7 + "a" * 40, ""]
+    whole = dc.matches(texts, dc.build_index(items))
+    assert _pairs(texts, items)[:4] == _brute_pairs(texts[:4], items)
+    monkeypatch.setattr(dc, "PAIRS", 2_000)
+    monkeypatch.setattr(dc, "ALIGNED", 7)
+    assert dc.matches(texts, dc.build_index(items)) == whole
+
+
+def test_a_benchmark_of_several_blocks(spark, monkeypatch):
+    items, docs, want = _cases()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    one, kept = set(map(tuple, dc.contaminated(d, b).collect())), {r.doc_id for r in dc.remove_contaminated(d, b).collect()}
+    monkeypatch.setattr(dc, "BLOCK_CHARS", 6_000)
+    assert set(map(tuple, dc.contaminated(d, b).collect())) == one
+    assert {r.doc_id for r in dc.remove_contaminated(d, b).collect()} == kept == {i for i, _ in docs} - set(want)
 
 
 def _edit(text, n, r):
@@ -74,14 +147,11 @@ def test_part_of_an_item_and_offsets():
 
 
 def test_given_tables_equal_plain_search(spark):
-    def plain(t):
-        return "".join(c for c in t.lower() if c.isalnum())
-
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
     got = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()}
-    items = [(r.item_id, plain(r.text)) for r in bench.collect()]
-    verbatim = {(d.doc_id, i) for d in docs.collect() for i, t in items if t in plain(d.text)}
+    items = [(r.item_id, _plain(r.text)) for r in bench.collect()]
+    verbatim = {(d.doc_id, i) for d in docs.collect() for i, t in items if t in _plain(d.text)}
     assert verbatim <= got and len(got - verbatim) <= 0.1 * len(verbatim) + 1
 
 
