@@ -10,12 +10,13 @@ them; framing and content headers (``KEPT``) stay as stored.
 Canonical URL: scheme, fragment, ``www.``, default ports, tracking
 parameters (``TRACKING``) and trailing slashes go, the host is lower-cased.
 
-Scale.  JVM side only.  Time is cut into buckets; a window finds the latest
+Scale.  JVM side only.  Time is cut into buckets at quantiles of all
+records, so an outlying time widens no bucket; a window finds the latest
 earlier response inside (URL, bucket), a pre-aggregated row per (URL,
 bucket) carries the last response over from earlier buckets, and a join
 puts both together.  So a URL with a third of all records is spread over
 the buckets, and no window holds more of it than a bucket and a row per
-bucket.  The payload does not move: results name the response's record.
+bucket.  Only records of one URL at one and the same time cannot be parted.  The payload does not move: results name the response's record.
 
 Results on edge cases.  A revisit without a URL or an earlier response is
 ``unresolved``, one whose validators differ or are missing is ``mismatch``;
@@ -27,6 +28,7 @@ Other columns take no part.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,14 +70,25 @@ def merged_headers(stored: Column, update: Column) -> Column:
     return F.array_sort(F.concat(F.filter(stored, lambda h: ~F.array_contains(names, F.lower(h["name"]))), allowed))
 
 
+def time_bounds(timed: DataFrame) -> list[float]:
+    """Bounds of ``moment`` between buckets of about BUCKET_RECORDS records, or a share of 1 / LEAST_BUCKETS.
+
+    They are quantiles, so records far off in time move no other bound.
+    One number per bucket reaches the driver.
+    """
+    n = timed.filter("moment is not null").count()
+    buckets = max(LEAST_BUCKETS, -(-n // BUCKET_RECORDS))
+    found = timed.agg(F.percentile_approx("moment", [i / buckets for i in range(1, buckets)], 20 * buckets)).first()[0]
+    return sorted(set(found or [0.0]))
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """Each revisit of ``records`` (RECORD) with outcome, refers_to, merged headers and the payload's digest and size."""
-    timed = records.withColumn("canonical", canonical_url(F.col("url")))
-    low, high, n = timed.agg(F.min("ts"), F.max("ts"), F.count("*")).first()
-    buckets = max(LEAST_BUCKETS, -(-n // BUCKET_RECORDS))
-    span = (high - low + 1) if n and low is not None else 1
-    bucket = F.floor((F.col("ts") - F.lit(low or 0)) * F.lit(float(buckets) / span)).cast("int")
-    timed = timed.withColumn("bucket", bucket)
+    timed = records.select(*[c.split()[0] for c in RECORD.split(", ")]).withColumn(
+        "canonical", canonical_url(F.col("url"))).withColumn("moment", F.col("ts").cast("double"))
+    splits = [float("-inf"), *time_bounds(timed), float("inf")]
+    timed = (Bucketizer(splits=splits, inputCol="moment", outputCol="bucket", handleInvalid="keep").transform(timed)
+             .withColumn("bucket", F.col("bucket").cast("int")))
     stored = F.when((F.col("kind") == "response") & F.col("canonical").isNotNull() & F.col("ts").isNotNull(), F.struct(
         "ts", "record_id", "etag", "last_modified", "headers", "payload_digest", "payload_chars"))
     timed = timed.withColumn("stored", stored)
