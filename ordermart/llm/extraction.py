@@ -9,15 +9,20 @@ host's pages, relative to the largest it could have: a menu that is the
 same on every page has nearly none, an article has all.  A branch none of
 whose nodes reaches ``IMPORTANT`` is low, and is removed from each page.
 
-The presentation weighs in too.  Elements that HTML or their class names
-mark as navigation, forms, scripts, comments and so on (``BOILER_TAGS``,
-``BOILER_WORDS``) have the weight 0, whatever their entropy, since menus
-and adverts may change from page to page.  If a page marks its article
-(``article``, ``main``), what is in it has importance 1 and main text is
-looked for there only, since an article that is repeated on many pages is
-still an article; what holds it stays too.  Copies of a page count once.
-Places that fewer than ``OWN_PAGES`` pages of a host have are judged by the tree merged over all hosts, those that fewer than
-``ALL_PAGES`` pages have at all are kept.
+The presentation weighs in as a prior.  Elements that HTML or their class
+names mark as navigation, forms, scripts, comments and so on
+(``BOILER_TAGS``, ``BOILER_WORDS``) have the weight 0, whatever their entropy,
+since menus and adverts may change from page to page.  In a marked article
+(``article``, ``main``) the tree decides too, with a lower bar
+(``ARTICLE_IMPORTANT``): blocks that nearly all articles of the host repeat go.
+There, pages whose texts are copies or near copies (one least three-word
+shingle) count once, since an article on many pages is still an article.
+If a page marks its article, main text is looked for there only, unless that
+holds less than ``ARTICLE_SHARE`` of what the tree left on the page (a
+teaser beside the story); what holds an article stays.
+Places that fewer than ``OWN_PAGES`` pages of a host have are judged by the
+tree merged over all hosts, those that fewer than ``ALL_PAGES`` pages have
+at all are kept.
 
 Scale.  The first pass sends one narrow row per page and place.  Entropies
 come from pre-aggregated group-bys over (host, place, feature), so a host
@@ -29,7 +34,8 @@ The second pass cuts the pages.
 
 Results on edge cases.  Null and empty html give empty text; a page without
 markup is one block.  A null url is a host of its own (the empty one).
-Unclosed and stray tags are tolerated.  Pages that repeat get the same
+Unclosed and stray tags are tolerated;
+time and memory are linear in the markup, however deep it is.  Pages that repeat get the same
 text.  Other columns take no part.
 """
 
@@ -44,9 +50,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
+from .words import shingles_of, words_of
 
 #: Share of the largest possible entropy from which a node is important.
 IMPORTANT = 0.5
+#: The same for nodes inside a marked article.
+ARTICLE_IMPORTANT = 0.1
+#: Share of the letters left on a page from which marked articles are all of its main text.
+ARTICLE_SHARE = 0.1
 #: Pages with a place from which a host's own tree decides about it.
 OWN_PAGES = 4
 #: Pages with a place from which the tree of all hosts decides about it.
@@ -140,6 +151,7 @@ class Page:
 
     def _read(self, html: str) -> None:
         self.stack, self.block, at = [0], 0, 0
+        self.held: dict[str, int] = {}      # open elements of each tag
         low = None
         while True:
             m = _MARKUP.search(html, at)
@@ -164,21 +176,9 @@ class Page:
             if tag in BLOCKS:
                 self.block += 1
                 # a paragraph ends where a block begins
-                for k in range(len(self.stack) - 1, 0, -1):
-                    name = self.tag[self.stack[k]]
-                    if name == "p":
-                        del self.stack[k:]
-                        break
-                    if name in BLOCKS:
-                        break
+                self._end({"p"}, BLOCKS)
             if tag in _CLOSES:
-                for k in range(len(self.stack) - 1, 0, -1):
-                    name = self.tag[self.stack[k]]
-                    if name in _CLOSES[tag]:
-                        del self.stack[k:]
-                        break
-                    if name in _SCOPES[tag]:
-                        break
+                self._end(_CLOSES[tag], _SCOPES[tag])
             self._open(tag, m.group(2))
             if tag in VOID or m.group(2).endswith("/"):
                 continue
@@ -187,46 +187,72 @@ class Page:
                 end = low.find("</" + tag, at)
                 at = len(html) if end < 0 else end
             self.stack.append(len(self.tag) - 1)
+            self.held[tag] = self.held.get(tag, 0) + 1
 
-    def _close(self, tag: str) -> None:
-        if tag in BLOCKS:
-            self.block += 1
+    def _end(self, tags, within) -> None:
+        """Close the innermost open element of ``tags`` that lies in no element of ``within``."""
+        if not any(self.held.get(t) for t in tags):
+            return
         for k in range(len(self.stack) - 1, 0, -1):
-            if self.tag[self.stack[k]] == tag:
+            name = self.tag[self.stack[k]]
+            if name in tags:
+                for i in self.stack[k:]:
+                    self.held[self.tag[i]] -= 1
                 del self.stack[k:]
                 return
+            if name in within:
+                return
+
+    def _close(self, tag: str) -> None:
+        if tag in BLOCKS:
+            self.block += 1
+        self._end((tag,), ())
 
     def features(self) -> list[tuple[int, int, int, int]]:
         """(place, role, presentation, content) of each place of the page; content is all text of its branches."""
+        n = len(self.tag)
         shape: dict[int, list] = {}
-        content: dict[int, list] = {}
-        role: dict[int, int] = {}
-        for i in range(1, len(self.tag)):
-            p, above = self.place[i], self.place[self.parent[i]]
-            role[p] = self.role[i]
-            line = shape.setdefault(above, [])
+        for i in range(1, n):
+            p, line = self.place[i], shape.setdefault(self.place[self.parent[i]], [])
             if not line or line[-1] != p:
                 line.append(p)
+        own: dict[int, list] = {}
         for i, text, _ in self.runs:
-            while i > 0:
-                content.setdefault(self.place[i], []).append(text)
-                i = self.parent[i]
-        return [(p, r, _hash(*shape.get(p, ())), _hash(*content.get(p, ()))) for p, r in role.items()]
+            own.setdefault(i, []).append(text)
+        # an element's content is that of its own text and of its children, from the leaves up
+        below: list = [None] * n
+        content: dict[int, int] = {}
+        role: dict[int, int] = {}
+        for i in range(n - 1, 0, -1):
+            if i in own or below[i] is not None:
+                value = hash((_hash(*own.get(i, ())), below[i] or 0))   # of integers: the same in every process
+                up, p = self.parent[i], self.place[i]
+                below[up] = hash((below[up] or 0, value))
+                content[p] = hash((content.get(p, 0), value))
+        for i in range(1, n):
+            role[self.place[i]] = self.role[i]
+        return [(p, r, _hash(*shape.get(p, ())), content.get(p, 0)) for p, r in role.items()]
 
     def main_text(self, low: frozenset) -> str:
         """Blocks of main text, without the branches whose place is in ``low``."""
         n = len(self.tag)
         whole = [t in ("html", "body") for t in self.tag]      # what holds the page or an article stays
         for i in range(n - 1, 0, -1):
-            if whole[i] or self.role[i] == ARTICLE:
+            if whole[i] or (self.role[i] == ARTICLE and self.role[self.parent[i]] != ARTICLE):
                 whole[self.parent[i]] = True
         out = [False] * n
         for i in range(1, n):
-            out[i] = out[self.parent[i]] or (self.place[i] in low and not whole[i])
-        marked = any(self.role[i] == ARTICLE and not out[i] for i in range(n))
+            # inside an article only blocks go: an inline element is part of a sentence
+            out[i] = out[self.parent[i]] or (self.place[i] in low and not whole[i]
+                                             and (self.role[i] != ARTICLE or self.tag[i] in BLOCKS))
+        size = {BOILER: 0, NEUTRAL: 0, ARTICLE: 0}
+        for i, text, _ in self.runs:
+            if not out[i]:
+                size[self.role[i]] += len(text) - text.count(" ")
+        marked = size[ARTICLE] > 0 and size[ARTICLE] >= ARTICLE_SHARE * (size[ARTICLE] + size[NEUTRAL])
         blocks: dict[int, list[str]] = {}
         for i, text, block in self.runs:
-            if not out[i] and (self.role[i] == ARTICLE or not marked):
+            if not out[i] and (self.role[i] == ARTICLE or (self.role[i] == NEUTRAL and not marked)):
                 blocks.setdefault(block, []).append(text)
         lines = (" ".join(_html.unescape("".join(parts)).split()) for parts in blocks.values())
         return "\n".join(x for x in lines if x)
@@ -236,23 +262,38 @@ def _host(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))
 
 
+def _sketches(texts: list[str]) -> np.ndarray:
+    """The least three-word shingle of each text: copies share it, near copies nearly always."""
+    shingles, per = shingles_of(words_of(texts), 3)
+    at = np.concatenate([[0], np.cumsum(per)])
+    return np.array([shingles[a:b].min() if b > a else 0 for a, b in zip(at[:-1], at[1:])], dtype=np.uint64).view(np.int64)
+
+
 def style_rows(pages: DataFrame) -> DataFrame:
-    """(page_key, host, place, role, presentation, content): a row for each place of each page."""
+    """(page_key, host, copy, place, role, presentation, content): a row for each place of each page.
+
+    Rows of one copy count once: a page for its own, inside an article the pages with its sketch.
+    """
 
     def fn(texts, rows):
-        found = [Page(t).features() for t in texts]
-        at = pa.array(np.repeat(np.arange(len(texts)), [len(f) for f in found]), pa.int64())
+        read = [Page(t) for t in texts]
+        found = [p.features() for p in read]
+        sketch = _sketches([p.main_text(frozenset()) for p in read])
+        at = np.repeat(np.arange(len(texts)), [len(f) for f in found])
         place, role, shape, content = zip(*[x for f in found for x in f]) if len(at) else ((),) * 4
-        return {"page_key": rows.column(0).take(at), "host": rows.column(1).take(at), "place": list(place),
+        key = rows.column(0).to_numpy()[at]
+        copy = np.where(np.array(role, dtype=np.int64) == ARTICLE, sketch[at], key)
+        return {"page_key": key, "host": rows.column(1).take(pa.array(at, pa.int64())), "copy": copy, "place": list(place),
                 "role": list(role), "presentation": list(shape), "content": list(content)}
 
-    return common.map_texts(pages, "html", fn, "page_key long, host string, place long, role int, presentation long, "
-                            "content long", ["page_key", "host"])
+    return common.map_texts(pages, "html", fn, "page_key long, host string, copy long, place long, role int, "
+                            "presentation long, content long", ["page_key", "host"])
 
 
 def _importance(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, role, pages, entropy): of each place the larger of its presentation's and content's relative entropy."""
-    kinds = rows.select(*keys, "role", F.explode(F.array(
+    once = rows.groupBy(*keys, "role", "copy").agg(F.min("presentation").alias("presentation"), F.min("content").alias("content"))
+    kinds = once.select(*keys, "role", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("presentation").alias("feature")),
         F.struct(F.lit(1).alias("kind"), F.col("content").alias("feature")))).alias("f"))
     per = kinds.groupBy(*keys, "role", "f.kind", "f.feature").agg(F.count("*").alias("n"))
@@ -264,13 +305,13 @@ def _importance(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def low_places(rows: DataFrame) -> DataFrame:
-    """(host, place) of the nodes whose importance is below IMPORTANT."""
+    """(host, place) of the nodes whose importance is too low for their role."""
     own, every = _importance(rows, ["host", "place"]), _importance(rows, ["place"])
     judged = own.join(every.select("place", F.col("pages").alias("all_pages"), F.col("entropy").alias("all_entropy")), "place")
-    importance = (F.when(F.col("role") == BOILER, 0.0).when(F.col("role") == ARTICLE, 1.0)
-                  .when(F.col("pages") >= OWN_PAGES, F.col("entropy"))
-                  .when(F.col("all_pages") >= ALL_PAGES, F.col("all_entropy")).otherwise(1.0))
-    return judged.filter(importance < IMPORTANT).select("host", "place")
+    entropy = (F.when(F.col("pages") >= OWN_PAGES, F.col("entropy"))
+               .when(F.col("all_pages") >= ALL_PAGES, F.col("all_entropy")).otherwise(1.0))
+    bar = F.when(F.col("role") == ARTICLE, ARTICLE_IMPORTANT).otherwise(IMPORTANT)
+    return judged.filter((F.col("role") == BOILER) | (entropy < bar)).select("host", "place")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
+import bisect
+import math
 import random
-from collections import defaultdict
+import time
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +47,80 @@ def test_repeated_article_stays(spark):
     assert got == [TEXT.format(i=1, x="same")] * 30
 
 
+def _texts(spark, htmls):
+    rows = [(i, f"http://a.example/{i}", h) for i, h in enumerate(htmls)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.text for r in ex.extract(df).orderBy("page_id").collect()]
+
+
+def test_a_strip_that_all_articles_repeat_goes(spark):
+    # "tools" is no listed word: only the tree can tell
+    story = [edges.words(i, 60) for i in range(12)]
+    html = "<body><main><div class=tools><b>Print this</b> or save it</div><p>{x}</p></main></body>"
+    assert _texts(spark, [html.format(x=x) for x in story]) == story
+    # near copies of one article count once: its title and its strip stay
+    copies = [story[0] + " " + edges.words(90 + i, 2) for i in range(12)]
+    got = _texts(spark, [html.format(x=x) for x in copies])
+    assert got == ["Print this or save it\n" + x for x in copies]
+
+
+def test_a_teaser_article_beside_a_story(spark):
+    html = "<body><div class=story><p>{x}</p></div><article><p>Read {i} too</p></article></body>"
+    story = [edges.words(i, 200) for i in range(12)]
+    got = _texts(spark, [html.format(x=x, i=i) for i, x in enumerate(story)])
+    assert all(x in t for x, t in zip(story, got))
+
+
+@pytest.mark.parametrize("html", ["<div>x" * 100_000, "<b>" * 100_000 + "</i>" * 100_000, "<b>" * 100_000 + "<li>x</li>" * 20_000,
+                                  "<p><b>" * 50_000 + "<div>y</div>" * 20_000])
+def test_deep_markup_takes_linear_time(html):
+    began = time.perf_counter()
+    page = ex.Page(html)
+    assert page.features() and page.main_text(frozenset()) is not None and time.perf_counter() - began < 8
+
+
+def _importance(features):
+    n = len(features)
+    return 1.0 if n < 2 else -sum(c / n * math.log(c / n) for c in Counter(features).values()) / math.log(n)
+
+
+def _brute(pages):
+    """Texts of (host, html) by the definition: every place of every host judged over its pages in plain Python."""
+    pages = [(h, ex.Page(x), x) for h, x in pages]
+    judged = {}
+    for every in (False, True):
+        seen = {}
+        for host, page, html in pages:
+            sketch = int(ex._sketches([page.main_text(frozenset())])[0])
+            for place, role, shape, content in page.features():
+                copy = sketch if role == ex.ARTICLE else (host, html)
+                seen.setdefault((None if every else host, place, role), {}).setdefault(copy, []).append((shape, content))
+        for key, copies in seen.items():
+            sides = [[min(v[j] for v in vs) for vs in copies.values()] for j in (0, 1)]
+            judged[key] = len(copies), max(map(_importance, sides))
+
+    def low(host, place, role):
+        own, all_ = judged[host, place, role], judged[None, place, role]
+        value = own[1] if own[0] >= ex.OWN_PAGES else all_[1] if all_[0] >= ex.ALL_PAGES else 1.0
+        return role == ex.BOILER or value < (ex.ARTICLE_IMPORTANT if role == ex.ARTICLE else ex.IMPORTANT)
+
+    return [p.main_text(frozenset(f[0] for f in p.features() if low(h, f[0], f[1]))) for h, p, _ in pages]
+
+
+def test_extraction_equals_the_definition(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(60):
+        strip = r.choice(["Same strip", "Same strip", edges.words(i, 2)])
+        inner = f"<div class=x{i % 2}>{strip}</div><p>{edges.words(r.randrange(40), 20)}</p>"
+        body = [f"<main>{inner}</main>", f"<div class=s>{inner}</div>", f"<nav>{i}</nav><article>{inner}<h2>More</h2></article>"][i % 3]
+        rows.append((i, f"http://h{r.choice([0, 0, 0, 1, 2, i])}.example/", f"<body>{body}<div>Base</div></body>"))
+    got = [x.text for x in ex.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    want = _brute([(u, h) for _, u, h in rows])
+    plain = [ex.Page(h).main_text(frozenset()) for _, _, h in rows]
+    assert got == want and sum(a != b for a, b in zip(got, plain)) > 20
+
+
 def test_given_pages_keep_the_article_only(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in ex.extract(pages).collect():
@@ -105,6 +182,19 @@ def test_as_of_join_on_a_hot_url(spark):
     assert got == sorted(want)
 
 
+def test_an_outlying_time_widens_no_bucket(spark):
+    times = [*range(10_000), 10 ** 15, -10 ** 15, None]
+    df = spark.createDataFrame([(t,) for t in times], "ts long").withColumn("moment", F.col("ts").cast("double"))
+    bounds = rv.time_bounds(df)
+    held = Counter(bisect.bisect_right(bounds, t) for t in times if t is not None)
+    assert len(held) == rv.LEAST_BUCKETS and max(held.values()) < 1.5 * len(times) / rv.LEAST_BUCKETS
+    assert rv.time_bounds(df.filter("false")) == [0.0]
+    # one record far off among those of a hot URL
+    rows = [(i, "u/x", i if i < 200 else 10 ** 15, "response" if i % 7 == 0 else "revisit", '"t"', None, [], None, None) for i in range(201)]
+    got = {r.record_id: r.refers_to for r in rv.resolve(spark.createDataFrame(rows, rv.RECORD)).collect()}
+    assert got == {i: i // 7 * 7 for i in range(201) if i % 7}
+
+
 def test_headers_merge_and_edges(spark):
     rows = [(1, "u/a", 1, "response", '"t"', None, _headers(etag='"t"', content_length="5", cache_control="old"), "p", 5),
             (2, "http://u/a/", 2, "revisit", 'W/"t"', None, _headers(Cache_Control="new", content_length="0"), None, None),
