@@ -51,8 +51,10 @@ _FILTER_BITS = 22
 SPREAD = WINDOW + int(ERROR_RATE * WINDOW) - Q
 #: Pairs of shared q-grams and windows handled at once inside a task; they bound the work arrays.
 PAIRS, ALIGNED = 1 << 21, 1 << 13
-#: Cells of the alignment: edits times _UNIT and a diagonal below it; _FAR is out of the band.
-_UNIT, _FAR = 64, 1 << 20
+#: Cells of the alignment (16 bits): edits times _UNIT and a diagonal below it; _FAR is out of the band.
+_UNIT, _FAR = 64, 1 << 14
+#: Letters after which alignments over their budget are left out.
+_CHECKED = 6
 
 
 @dataclass
@@ -188,29 +190,39 @@ def _windows(index: Index, first: np.ndarray, doc, item, where, place):
     return doc[at], item[at], start, band[at] * step[at]
 
 
-def align(patterns: np.ndarray, texts: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Banded alignment of each pattern (rows; 0 pads the end) with its text on the diagonals 0 to wide - 1.
+def align(patterns: np.ndarray, texts: np.ndarray, budget: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Banded alignment of each pattern (rows; 0 pads the end) with its text on the diagonals 0 to 2 * budget - 1.
 
-    ``texts`` begin at the pattern's place on diagonal 0.  Returns the least
-    edits, and the text places where that alignment begins and ends.
+    ``texts`` begin at the pattern's place on diagonal 0.  Returns the rows
+    that keep within their budget, with the least edits of each and the text
+    places where that alignment begins and ends.
     """
-    n, m = patterns.shape
-    width = int(wide.max())
-    ramp = np.arange(width, dtype=np.int32) * _UNIT
-    closed = np.arange(width) >= wide[:, None]
+    length = (patterns != 0).sum(axis=1)
+    rows = np.arange(len(patterns))
+    width = 2 * int(budget.max())
+    patterns, texts = np.ascontiguousarray(patterns.T), np.ascontiguousarray(texts.T)
+    closed = np.arange(width)[:, None] >= 2 * budget
     # a cell holds edits * _UNIT + the diagonal that its path began on
-    row = np.where(closed, _FAR, np.arange(width, dtype=np.int32))
-    for j in range(m):
-        live = patterns[:, j] != 0
-        if not live.any():
-            break
-        step = row + np.where(texts[:, j:j + width] != patterns[:, j:j + 1], _UNIT, 0)
-        step[:, :-1] = np.minimum(step[:, :-1], row[:, 1:] + _UNIT)
-        step = np.minimum.accumulate(step - ramp, axis=1) + ramp
-        row = np.where(live[:, None], np.where(closed, _FAR, step), row)
-    end = row.argmin(axis=1)
-    best = row[np.arange(n), end]
-    return best // _UNIT, best % _UNIT, end + (patterns != 0).sum(axis=1)
+    cells = np.where(closed, _FAR, np.arange(width)[:, None]).astype(np.int16)
+    uneven = bool(closed.any())
+    for j in range(len(patterns)):
+        if j and j % _CHECKED == 0:             # the least of a row never falls: over budget is out
+            live = np.flatnonzero(cells.min(axis=0) < (budget + 1) * _UNIT)
+            rows, budget, closed = rows[live], budget[live], closed[:, live]
+            cells, patterns, texts = cells[:, live], patterns[:, live], texts[:, live]
+        step = cells + (texts[j:j + width] != patterns[j]) * np.int16(_UNIT)
+        np.minimum(step[:-1], cells[1:] + np.int16(_UNIT), out=step[:-1])
+        for c in range(1, width):
+            np.minimum(step[c], step[c - 1] + np.int16(_UNIT), out=step[c])
+        if uneven:
+            step[closed] = _FAR
+        ended = patterns[j] == 0
+        cells = np.where(ended, cells, step) if ended.any() else step
+    end = cells.argmin(axis=0)
+    best = cells[end, np.arange(len(rows))].astype(np.int64)
+    good = best < (budget + 1) * _UNIT
+    rows, best, end = rows[good], best[good], end[good]
+    return rows, best // _UNIT, best % _UNIT, end + length[rows]
 
 
 def matches(texts: list[str], index: Index) -> list[list[tuple]]:
@@ -247,9 +259,8 @@ def matches(texts: list[str], index: Index) -> list[list[tuple]]:
             src = origin[:, None] + cols
             inside = (src >= first[d][:, None]) & (src < first[d + 1][:, None])
             text = np.where(inside, low[np.clip(src, 0, len(low) - 1)], 1)
-            edits, a, z = align(pattern, text, 2 * k)
-            ok = np.flatnonzero(edits <= k)
-            keep(d[ok], i[ok], edits[ok], origin[ok] + a[ok], origin[ok] + z[ok])
+            ok, edits, a, z = align(pattern, text, k)
+            keep(d[ok], i[ok], edits, origin[ok] + a, origin[ok] + z)
     for (d, i), (e, a, z) in sorted(best.items()):
         out[d].append((index.ids[i], int(at[a] - begin[d]), int(at[z - 1] - begin[d]) + 1, e))
     return out
