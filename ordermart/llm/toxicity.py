@@ -6,8 +6,9 @@ small transducers read the classes of a clause: one keeps the scope of a
 negation, one that of reported speech, one looks for a target near by, one
 emits insults and threats with their weights.  They are composed once into
 one transition table.  A matched clause adds its weight to the channel that
-the other transducers are in (plain, targeted, negated, reported, threat);
-isolated words do not score by themselves.  A logistic model over the
+the other transducers are in (plain, targeted, negated, reported, threat).
+An insult without any of these around it scores in ``plain``, also where it
+is only mentioned; a threat needs a target near by.  A logistic model over the
 channels, fitted on the same labelled sample, gives the score.
 
 Insult weights are the log odds of a word in toxic against other labelled
