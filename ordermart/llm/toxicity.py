@@ -1,23 +1,32 @@
 """Operator 7: toxicity by a weighted finite-state pattern grammar.
 
 Method.  Words belong to classes: insults (with a weight learned from
-labelled documents), threats, targets, negations and reporting verbs.  Four
-small transducers read the classes of a clause: one keeps the scope of a
-negation, one that of reported speech, one looks for a target near by, one
-emits insults and threats with their weights.  They are composed once into
-one transition table.  A matched clause adds its weight to the channel that
-the other transducers are in (plain, targeted, negated, reported, threat).
-An insult without any of these around it scores in ``plain``, also where it
-is only mentioned; a threat needs a target near by.  A logistic model over the
-channels, fitted on the same labelled sample, gives the score.
+labelled documents), threats, targets, negations, reporting verbs, words of a
+predicate or an address (are, what a, such) and words that speak of words
+(word, term, dictionary).  Seven small transducers read the classes of a
+clause and are composed once into one transition table; it writes, for each
+word, the pattern that the word completes:
+
+* ``targeted``: an insult with a target before it in reach, or right after it;
+* ``asserted``: an insult as a predicate or an address (is an, what an);
+* ``negated``, ``reported``: an insult or threat in that scope;
+* ``threat``: a threat and a target in reach of each other;
+* none in a clause that speaks of the word itself.
+
+An insult that completes no pattern is bare.  A second transducer reads
+these marks clause after clause: a bare insult is held, and counts (channel
+``barrage``) only if another insult comes within ``BARRAGE_SCOPE`` clauses.
+So a single insult word without a pattern around it scores nothing.  A
+logistic model over the channels, fitted on the same labelled sample, gives
+the score.
 
 Insult weights are the log odds of a word in toxic against other labelled
 documents, kept if the word is significantly more frequent in toxic ones;
 near copies count once.
 
 Scale.  Fitting reads a sample of ``SAMPLE_ROWS`` labelled documents at
-most (``sampling``), keeps ``LEXICON_SIZE`` words at most and sends that
-model to the tasks.  Scoring is one narrow pass without a shuffle; clauses
+most (``sampling``) and sends the learned words, a part of that sample's
+words, to the tasks.  Scoring is one narrow pass without a shuffle; clauses
 without an insult or threat are passed over in array code.
 
 Results on edge cases.  Null, empty and wordless texts have empty channels
@@ -43,24 +52,29 @@ from .words import Words, shingles_of, words_of
 
 #: Most labelled documents that the fit reads.
 SAMPLE_ROWS = 20_000
-#: Most learned insult words.
-LEXICON_SIZE = 2_000
 #: A word is learned if its log odds and the evidence for them (n times the divergence
 #: of its toxic share from the average; 18 is a chance of about 1e-8) reach these.
 MIN_ODDS, MIN_EVIDENCE = 3.0, 18.0
 TOXIC_SCORE = 0.5
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, FRAME, MENTION = range(8)
 #: Fixed word lists of the grammar; insults are learned.
 WORDS = {
     THREAT: "kill hurt destroy beat burn shoot stab töten umbringen matar tuer frapper",
     TARGET: "you your yours yourself u he she they him her them du dich dir ihr euch sie tu te vous toi tú usted ustedes vosotros",
     NEGATION: "not never no nor without isn aren wasn weren don doesn didn nicht nie kein keine pas jamais aucun nunca jamás sin",
     REPORT: "said says say claimed called wrote reported quoted alleged sagte sagt schrieb dit disait écrit dijo dice escribió",
+    FRAME: "am are is was were be been re what such hey bist ist sind war es est sont quel quelle eres son qué",
+    MENTION: "word words term terms dictionary means meaning spelling wort wörter begriff wörterbuch mot mots terme dictionnaire palabra término diccionario",
 }
-CHANNELS = ("plain", "targeted", "negated", "reported", "threat")
-#: Words after which the scope of a negation and of a target near by ends.
-NEGATION_SCOPE, TARGET_SCOPE = 3, 4
+CHANNELS = ("targeted", "asserted", "barrage", "negated", "reported", "threat")
+TARGETED, ASSERTED, BARRAGE, NEGATED, REPORTED, THREATENED = range(6)
+#: Marks of the clause table beside the channels: nothing, a bare insult, a target right after a bare insult.
+NOTHING, BARE, ADDRESSED = -1, 6, 7
+#: Words after which the scope of a negation, of a target or threat near by and of a predicate ends.
+NEGATION_SCOPE, TARGET_SCOPE, FRAME_SCOPE = 3, 4, 3
+#: Clauses within which a bare insult waits for another insult.
+BARRAGE_SCOPE = 20
 
 
 @dataclass(frozen=True)
@@ -82,26 +96,37 @@ def _latch(trigger: int) -> Transducer:
 
 
 PARTS = (_countdown(NEGATION, NEGATION_SCOPE), _latch(REPORT), _countdown(TARGET, TARGET_SCOPE),
-         _countdown(THREAT, TARGET_SCOPE))
+         _countdown(THREAT, TARGET_SCOPE), _countdown(FRAME, FRAME_SCOPE), _latch(MENTION), _countdown(INSULT, 1))
+
+
+def mark(state: tuple[int, ...], kind: int) -> int:
+    """What a word of class ``kind`` completes in the states of PARTS before it."""
+    negated, reported, target, threat, frame, mention, insult = state
+    threatened = (kind == THREAT and target) or (kind == TARGET and threat)
+    if mention or not (kind == INSULT or threatened or (kind == TARGET and insult)):
+        return NOTHING
+    if not (kind == INSULT or threatened):
+        return ADDRESSED
+    if negated or reported:
+        return NEGATED if negated else REPORTED
+    if threatened:
+        return THREATENED
+    return TARGETED if target else ASSERTED if frame else BARE
 
 
 def compose(parts: tuple[Transducer, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Transition table [state, class] and the channel that an arc emits to (-1: none)."""
+    """Transition table [state, class] and the mark that an arc writes."""
     states = {s: i for i, s in enumerate(product(*[range(p.size) for p in parts]))}
-    go = np.zeros((len(states), 6), dtype=np.int32)
-    emit = np.full((len(states), 6), -1, dtype=np.int8)
+    go = np.zeros((len(states), 8), dtype=np.int32)
+    write = np.full((len(states), 8), NOTHING, dtype=np.int8)
     for state, i in states.items():
-        negated, reported, target, threat = state
-        for c in range(6):
+        for c in range(8):
             go[i, c] = states[tuple(p.step(s, c) for p, s in zip(parts, state))]
-            if c == INSULT:
-                emit[i, c] = 2 if negated else 3 if reported else 1 if target else 0
-            elif (c == TARGET and threat) or (c == THREAT and target):
-                emit[i, c] = 2 if negated else 3 if reported else 4
-    return go, emit
+            write[i, c] = mark(state, c)
+    return go, write
 
 
-GO, EMIT = compose(PARTS)
+GO, WRITE = compose(PARTS)
 
 
 @dataclass
@@ -147,18 +172,37 @@ def channels(texts: list[str], grammar: Grammar) -> np.ndarray:
     hits = np.flatnonzero((kinds == INSULT) | (kinds == THREAT))
     if not len(hits):
         return out
-    clause = _clauses(w)
+    # clauses with a word, numbered through
+    clause = np.cumsum(np.diff(_clauses(w), prepend=-1) != 0)
     owner = w.owner()
+    text, last, waiting, held = -1, 0, 0, 0.0
     for c in np.unique(clause[hits]).tolist():
         a, b = np.searchsorted(clause, [c, c + 1])
-        state, sums = 0, [0.0] * len(CHANNELS)
-        for k in range(a, b):
-            kind = int(kinds[k])
-            channel = EMIT[state, kind]
-            if channel >= 0:
-                sums[channel] += float(weights[k])
+        if owner[a] != text:
+            text, waiting, held = owner[a], 0, 0.0
+        waiting = max(0, waiting - (c - last))
+        last, state, prior, sums = c, 0, NOTHING, [0.0] * len(CHANNELS)
+        for kind, weight in zip(kinds[a:b].tolist(), weights[a:b].tolist()):
+            wrote = WRITE[state, kind]
             state = GO[state, kind]
-        row = out[owner[a]]
+            if wrote == ADDRESSED and prior == BARE:
+                sums[TARGETED] += held
+                held = 0.0
+            elif wrote in (BARE, TARGETED, ASSERTED):
+                if waiting:     # another insult: the one that is held counts
+                    sums[BARRAGE] += held
+                    held = 0.0
+                if wrote != BARE:
+                    sums[wrote] += weight
+                elif waiting:
+                    sums[BARRAGE] += weight
+                else:
+                    held = weight
+                waiting = BARRAGE_SCOPE
+            elif 0 <= wrote < BARE:
+                sums[wrote] += weight
+            prior = wrote
+        row = out[text]
         for i, x in enumerate(sums):
             if x:
                 row[2 * i] = max(row[2 * i], x)
@@ -228,7 +272,7 @@ def learn_insults(sample: DataFrame) -> dict[str, float]:
     best = (counts.filter((F.col("word") != "") & (F.col("toxic") > 0))
             .select("word", odds.alias("odds"), evidence.alias("evidence"))
             .filter((F.col("evidence") >= MIN_EVIDENCE) & (F.col("odds") >= MIN_ODDS))
-            .orderBy(F.desc("evidence"), "word").limit(LEXICON_SIZE))
+            .orderBy("word"))
     found = {r.word: float(r.odds) for r in best.collect()}
     common.release(counts)
     return found
@@ -257,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
 def score_column(text: Column, grammar: Grammar, spark: SparkSession) -> Column:
     """Score from 0 to 1 of a text column."""
     common.ship_package(spark)
-    held = spark.sparkContext.broadcast(grammar)   # LEXICON_SIZE words at most
+    held = spark.sparkContext.broadcast(grammar)   # words of SAMPLE_ROWS documents at most
 
     @pandas_udf("double")
     def score(text):

@@ -77,10 +77,83 @@ def test_transducers():
         x = tox.channels([text], g)[0]
         return {c: float(x[2 * i]) for i, c in enumerate(tox.CHANNELS) if x[2 * i]}
 
-    assert one("what an idiot") == {"plain": 3.0} and one("you are an idiot") == {"targeted": 3.0}
-    assert one("not an idiot") == {"negated": 3.0} and one("they never ever was or had been idiot") == {"plain": 3.0}
-    assert one("the paper said idiot scum") == {"reported": 5.0} and one("i will kill you") == {"threat": 1.0}
-    assert one("to kill a process") == {} and one("said nothing. idiot") == {"plain": 3.0}
+    for text in ("what an idiot", "they never ever was or had been idiot"):
+        assert one(text) == {"asserted": 3.0}
+    assert one("you are an idiot") == {"targeted": 3.0} and one("idiot you") == {"targeted": 3.0}
+    assert one("not an idiot") == {"negated": 3.0} and one("the paper said idiot scum") == {"reported": 5.0}
+    assert one("i will kill you") == {"threat": 1.0} and one("to kill a process") == {}
+    # a word alone, or spoken of, matches nothing
+    for text in ("idiot", "The word idiot is in the dictionary", "a story with idiot in it", "said nothing. idiot",
+                 "the term idiot and the term scum", "idiot" + ". a" * tox.BARRAGE_SCOPE + ". scum"):
+        assert one(text) == {}, text
+    # bare insults count once a second one comes; the strongest clause holds both weights
+    assert one("a scum here. and then idiot there") == {"barrage": 5.0}
+    assert one("some scum. you idiot") == {"barrage": 2.0, "targeted": 3.0}
+
+
+def _plain_channels(clauses, weight):
+    """The grammar by its definition: each transducer walks by itself, clause after clause."""
+    best, total = [0.0] * 6, [0.0] * 6
+    held, since = None, None            # weight of a bare insult that waits, clauses since the last insult
+    for words in clauses:
+        since = None if since is None else since + 1
+        sums, bare_before = [0.0] * 6, False
+
+        def within(kind, k, n):
+            return kind in words[max(0, k - n):k]
+        for k, w in enumerate(words):
+            was_bare, bare_before = bare_before, False
+            if tox.MENTION in words[:k]:
+                continue
+            threat = (w == tox.THREAT and within(tox.TARGET, k, tox.TARGET_SCOPE)) or (
+                w == tox.TARGET and within(tox.THREAT, k, tox.TARGET_SCOPE))
+            if w != tox.INSULT and not threat:
+                if w == tox.TARGET and was_bare and held is not None:
+                    sums[tox.TARGETED] += held
+                    held = None
+                continue
+            x = weight if w == tox.INSULT else 1.0
+            if within(tox.NEGATION, k, tox.NEGATION_SCOPE):
+                sums[tox.NEGATED] += x
+            elif tox.REPORT in words[:k]:
+                sums[tox.REPORTED] += x
+            elif threat:
+                sums[tox.THREATENED] += x
+            else:
+                again = since is not None and since < tox.BARRAGE_SCOPE
+                if again and held is not None:
+                    sums[tox.BARRAGE] += held
+                    held = None
+                if within(tox.TARGET, k, tox.TARGET_SCOPE):
+                    sums[tox.TARGETED] += x
+                elif within(tox.FRAME, k, tox.FRAME_SCOPE):
+                    sums[tox.ASSERTED] += x
+                else:
+                    bare_before = True
+                    if again:
+                        sums[tox.BARRAGE] += x
+                    else:
+                        held = x
+                since = 0
+        best = [max(a, b) for a, b in zip(best, sums)]
+        total = [a + b for a, b in zip(total, sums)]
+    return [x for a, b in zip(best, total) for x in (a, np.log1p(b))]
+
+
+def test_composed_grammar_equals_its_parts():
+    """Random clauses, many texts in one chunk: composed table against transducers that walk one by one."""
+    g = tox.Grammar.of({"idiot": 2.5})
+    word = {tox.OTHER: "tree", tox.INSULT: "idiot", tox.THREAT: "kill", tox.TARGET: "you", tox.NEGATION: "not",
+            tox.REPORT: "said", tox.FRAME: "what", tox.MENTION: "term"}
+    rng = np.random.default_rng(5)
+    docs = []
+    for _ in range(1500):
+        p = rng.dirichlet([4, 1, .7, .7, .4, .15, .5, .1])
+        docs.append([rng.choice(8, rng.integers(1, 9), p=p).tolist() for _ in range(rng.integers(0, 40))])
+    texts = [". ".join(" ".join(word[k] for k in c) for c in d) for d in docs]
+    got = tox.channels(texts, g)
+    want = np.array([_plain_channels(d, 2.5) for d in docs])
+    assert np.allclose(got, want) and (want > 0).any(axis=0).all()
 
 
 def test_toxicity_on_held_out_rows(spark):
@@ -130,6 +203,8 @@ def test_classifier_edges(spark):
         assert set(docs.select(tox.score_column(F.col("text"), tox.fit(docs, some), spark)).distinct().collect()[0]) == {0.0}
         assert docs.select(q.score_column(F.col("text"), q.fit(docs, some), spark)).distinct().count() == 1
     grammar = tox.Grammar.of({"extra": 9.0})
+    # one insult alone matches nothing, so doc 3 stays until its insult is said of somebody
+    docs = docs.withColumn("text", F.replace("text", F.lit(" extra"), F.lit(" you extra")))
     grammar.model = np.array([9.0] * (2 * len(tox.CHANNELS)) + [-5.0])
     kept = tox.remove_toxic(docs, grammar)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d, *_ in edges.rows()} - {3}
