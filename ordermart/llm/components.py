@@ -1,9 +1,11 @@
 """Connected components by alternating large and small stars.
 
-Every step is a group-by minimum (pre-aggregated) and a sort-merge join on
-the node, so a node with a third of all edges is split by adaptive
-execution.  Each step is written to the shared folder; the driver sees one
-number a step, never edges.
+Every step needs the least neighbour of each node on each of its edges.  The
+edges of a node are dealt over as many salts as there are shuffle partitions,
+so a node with a third of all edges is in no task by itself: the least
+neighbour is found for each (node, salt), then for each node from those few
+rows, and brought back to the edges by (node, salt).  Each step is written to
+the shared folder; the driver sees one number a step, never edges.
 """
 
 from __future__ import annotations
@@ -14,15 +16,23 @@ from pyspark.sql import functions as F
 from . import common
 
 
+def _hung(edges: DataFrame, both_ways: bool) -> DataFrame:
+    """(u, salt, v, m): each edge with the least m of u and its neighbours."""
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if both_ways else edges
+    salts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int"))
+    part = both.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    low = part.groupBy("u").agg(F.min("m").alias("m")).withColumn("m", F.least("u", "m"))
+    return both.join(part.select("u", "salt").join(low, "u"), ["u", "salt"])
+
+
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over edges (u, v) with v < u."""
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    hung = both.join(low, "u")
+    hung = _hung(edges, large)
     if large:   # neighbours above u hang on the least neighbour
         out = hung.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:       # u and its lower neighbours hang on the least of them
-        out = hung.select("v", "m").union(low.select(F.col("u").alias("v"), "m")).select(
+        out = hung.select("v", "m").union(hung.select(F.col("u").alias("v"), "m")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))
     return out.filter("u <> v")
 

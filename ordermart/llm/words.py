@@ -130,6 +130,16 @@ def shingles_of(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out, per
 
 
+def shingle_letters(w: Words, k: int) -> np.ndarray:
+    """Letters and digits in each of the shingles that ``shingles_of(w, k)`` returns."""
+    n = w.counts()
+    per = np.where(n >= k, n - k + 1, np.minimum(n, 1))
+    owner = np.repeat(np.arange(len(n)), per)
+    at = w.first[:-1][owner] + np.arange(len(owner)) - (np.cumsum(per) - per)[owner]
+    total = np.concatenate([[0], np.cumsum(w.end - w.start)])
+    return total[np.minimum(at + k, w.first[1:][owner])] - total[at]
+
+
 def sequence_digest(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit digests of each text's word sequence (0, 0 for none)."""
     out = []

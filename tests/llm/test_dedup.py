@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ordermart.llm import near_dedup as nd
 from ordermart.llm import substring_dedup as sd
 from ordermart.llm.components import connected_components
-from ordermart.llm.words import shingles_of, words_of
+from ordermart.llm.words import shingle_letters, shingles_of, words_of
 
 from . import edges
 
@@ -89,6 +89,47 @@ def test_registers_estimate_probability_jaccard():
     assert abs((ra == rb).mean() - exact) < 0.04
 
 
+def test_texts_agree_by_the_weights_of_their_shingles():
+    """Letters of each shingle by the definition; bands meet as often as the weighted sets' Jaccard says."""
+    texts = ["", "a bc", "one two three four five six", edges.words(41, 60) + " " + edges.words(42, 60) + " " + edges.words(43, 20),
+             edges.words(41, 60) + " " + "internationalisation " * 9 + edges.words(42, 60)]
+    w = words_of(texts)
+    shingles, per = shingles_of(w, nd.SHINGLE_WORDS)
+    letters = shingle_letters(w, nd.SHINGLE_WORDS)
+    want = []
+    for t in texts:
+        x = t.split()
+        want += [len("".join(x[k:k + 5])) for k in range(max(len(x) - 4, min(len(x), 1)))]
+    assert letters.tolist() == want
+    items, sizes, weights = nd.shingle_sets(shingles, per, letters)
+    at = np.cumsum(sizes) - sizes
+    a, b = (dict(zip(items[at[i]:at[i] + sizes[i]].tolist(), weights[at[i]:at[i] + sizes[i]].tolist())) for i in (3, 4))
+    assert set(a) == _sets(texts)[3] and 1 < min(a.values()) and max(b.values()) == nd.MAX_WEIGHT
+    exact = sum(a[k] for k in a.keys() & b.keys()) / sum({**a, **b}.values())
+    registers = nd.prob_minhash(items, weights, sizes, 6000)
+    assert abs((registers[3] == registers[4]).mean() - exact) < 0.03
+    assert not registers[0].any()
+
+
+def test_a_hot_node_is_dealt_over_salts(spark):
+    """Two thirds of all edges on one node, adaptive execution off: no task of a star step gets them."""
+    from ordermart.llm import components
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    edge = spark.range(30_000).select(F.when(F.col("id") < 20_000, 0).otherwise(F.col("id") * 7).alias("v"),
+                                      (F.col("id") + 1_000_000).alias("u"))
+    try:
+        for k, v in zip(before, ("false", "-1")):
+            spark.conf.set(k, v)
+        hung = components._hung(edge, True)
+        sizes = [r["count"] for r in hung.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # 20,000 and 40,000 rows of other edges: an even share is 7,500, the hot node's rows alone would be 20,000
+    assert sum(sizes) == 60_000 and max(sizes) < 2 * 60_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_keep_one_edges(spark):
     kept = nd.keep_one(edges.clashing(spark))
     assert kept.columns == edges.clashing(spark).columns
