@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +19,13 @@ HELD_OUT_MOD4 = 2
 HELD_OUT_MOD5 = 0
 
 
+#: Spark deletes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+#: glibc's way to give freed pages back; other C libraries have none.
+_malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def held_out_mod4(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 4 is 2; a null id is never held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == HELD_OUT_MOD4, F.lit(False))
@@ -47,11 +55,20 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write once to the shared folder of spark.checkpoint.dir and read back.
 
     Parquet in the shared folder cuts the lineage like ``checkpoint()`` but
-    is columnar and compressed, and survives the loss of any executor.
+    is columnar and compressed, and survives the loss of any executor.  The
+    write's own shuffle files are deleted as it ends: nothing reads them again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", tag)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._llm_scratch = path
     return out
@@ -66,6 +83,17 @@ def release(df: DataFrame) -> None:
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def give_back() -> None:
+    """Return the memory that a batch has freed to the system.
+
+    Spark keeps a Python worker for later tasks of any stage, and the
+    allocators would keep the work arrays of its largest batch as long.
+    """
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim is not None:
+        _malloc_trim(0)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}
@@ -111,6 +139,8 @@ def map_texts(df: DataFrame, text: str, fn: Callable[[list[str], pa.RecordBatch]
                     yield pa.RecordBatch.from_arrays(
                         [x if isinstance(x := out[f.name], pa.Array) else pa.array(x, type=f.type) for f in arrow],
                         schema=arrow)
+            batch = texts = out = None
+            give_back()
 
     return df.select(*cols).mapInArrow(run, schema)
 

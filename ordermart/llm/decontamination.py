@@ -290,6 +290,8 @@ def match_column(text: Column, index: Index, spark: SparkSession) -> Column:
         for a, b in common.in_chunks(texts):
             out += [[{"item_id": i, "start": s, "end": e, "edits": n} for i, s, e, n in m]
                     for m in matches(texts[a:b], held.value)]
+        del texts
+        common.give_back()
         return pd.Series(out)
 
     return find(text)

@@ -160,6 +160,8 @@ def _jaccard(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                         good.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(good, pa.int64())),
                                               batch.column(1).take(pa.array(good, pa.int64()))], names=["a", "b"])
+            batch = la = ra = lv = rv = x = y = None
+            common.give_back()
 
     return full.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
@@ -180,6 +182,7 @@ def _components(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).filter("n > 1")
     members = common.materialise(buckets.join(shared, "bucket"), "buckets")
     if members.isEmpty():
+        common.release(members)
         return None
     wanted = members.select("node").distinct()
     sets = common.materialise(
@@ -188,14 +191,17 @@ def _components(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
              .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
     comps = connected_components(_jaccard(pairs, sets), "a", "b")
     unsettled = common.materialise(_unsettled(members.filter("n > 2"), comps), "open")
-    if unsettled.isEmpty():
-        return comps
-    prefixes = common.materialise(_prefix_buckets(unsettled.select("node", "comp").distinct(), sets), "prefixes")
-    if prefixes.isEmpty():
-        return comps
-    more = _block_links(prefixes, sets)
-    return connected_components(more.union(
-        comps.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
+    common.release(members)
+    if not unsettled.isEmpty():
+        prefixes = common.materialise(_prefix_buckets(unsettled.select("node", "comp").distinct(), sets), "prefixes")
+        if not prefixes.isEmpty():
+            more = _block_links(prefixes, sets)
+            comps = connected_components(more.union(
+                comps.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))), "a", "b")
+        common.release(prefixes)
+    common.release(unsettled)
+    common.release(sets)
+    return comps
 
 
 def _block_links(prefixes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -294,10 +300,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = classes.select("node", "id", "row_key")
     placed = (placed.withColumn("component", F.col("node")) if comps is None else
               placed.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    heads = placed.groupBy("component").agg(F.min(F.coalesce("id", last)).alias("head"))
-    stays = (placed.join(heads, "component").filter(F.coalesce("id", last) == F.col("head"))
-             .groupBy("component").agg(F.min("node").alias("stay")))
-    placed = placed.join(heads, "component").join(stays, "component").select(
+    # the least id, and the least node that has it
+    heads = placed.groupBy("component").agg(F.min(F.struct(F.coalesce("id", last).alias("id"), "node")).alias("head"))
+    heads = heads.select("component", F.col("head.id").alias("head"), F.col("head.node").alias("stay"))
+    placed = placed.join(heads, "component").select(
         "node", F.nullif("head", last).alias("class_id"), F.col("id").alias("rep_id"),
         F.col("row_key").alias("rep_key"), (F.col("node") == F.col("stay")).alias("stays"))
     return found.select("id", "row_key", "node").join(placed, "node", "left").select(

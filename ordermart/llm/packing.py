@@ -40,8 +40,10 @@ from .words import codes_of, mix64, span_hashes
 SEQUENCE = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-#: Words that a worker's cache holds before it starts anew (about 150 bytes each).
+#: Words that a worker's cache of plain words holds before it starts anew (about 30 bytes each).
 CACHE_CHUNKS = 1_000_000
+#: Bytes that its cache of other chunks holds before it starts anew, about; CHUNK_BYTES for an entry besides its text.
+CACHE_BYTES, CHUNK_BYTES = 64 << 20, 200
 #: Pieces of one length that are numbered together in one task, about.
 BUCKET_PIECES = 50_000
 
@@ -74,6 +76,7 @@ class ChunkTokenizer:
         # strings of the vocabulary's own tokens, which the tokenizer takes out of a text first
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks: dict[str, bytes] = {}
+        self.chunk_bytes = 0
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.as_bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in _LETTERS + _SIGNS + "0123456789"}
         table = np.zeros((2, 0x2100), dtype=np.uint32)      # class and lower case of the plain characters
@@ -85,9 +88,9 @@ class ChunkTokenizer:
         self._empty()
 
     def _empty(self) -> None:
-        """A new word cache: hash -> row of (first id, number of ids)."""
-        self.known: dict[int, int] = {}
-        self.at, self.pool, self.used = np.zeros((1 << 16, 2), dtype=np.int64), np.zeros(1 << 18, dtype="<u4"), 0
+        """A new word cache: sorted hashes, and the place of each word's ids in the pool and their number."""
+        self.known, self.at, self.size = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.pool, self.used = np.zeros(1 << 18, dtype="<u4"), 0
 
     @classmethod
     def get(cls, vocabulary: str) -> "ChunkTokenizer":
@@ -102,30 +105,31 @@ class ChunkTokenizer:
             out[i] = b
         rest = [i for i, b in enumerate(out) if b is None]
         split = [_SPACE.split(texts[i]) if _ODD_SPACE.search(texts[i]) else texts[i].split() for i in rest]
-        if len(self.chunks) > CACHE_CHUNKS:
+        if self.chunk_bytes > CACHE_BYTES:
             self.chunks.clear()
+            self.chunk_bytes = 0
         new = list({c for chunks in split for c in chunks}.difference(self.chunks))
         for chunk, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.chunks[chunk] = np.array(e.ids, dtype="<u4").tobytes()
+            self.chunks[chunk] = ids = np.array(e.ids, dtype="<u4").tobytes()
+            self.chunk_bytes += CHUNK_BYTES + 4 * len(chunk) + len(ids)
         for i, chunks in zip(rest, split):
             out[i] = b"".join(map(self.chunks.__getitem__, chunks))
         return out
 
-    def _learn(self, words: list[str], hashes: list[int]) -> None:
+    def _learn(self, words: list[str], hashes: np.ndarray) -> None:
+        """Ids of new ``words``, whose ``hashes`` ascend, into the cache."""
         tokenize = self.tokenizer.model.tokenize
         ids = [[t.id for t in tokenize(w if w.isascii() else w.translate(self.as_bytes))] for w in words]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((x for i in ids for x in i), np.uint32, int(sizes.sum()))
-        first = len(self.known)
-        while first + len(ids) > len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.at[first:first + len(ids), 0] = self.used + np.cumsum(sizes) - sizes
-        self.at[first:first + len(ids), 1] = sizes
+        spot = np.searchsorted(self.known, hashes)
+        self.at = np.insert(self.at, spot, self.used + np.cumsum(sizes) - sizes)
+        self.size = np.insert(self.size, spot, sizes)
+        self.known = np.insert(self.known, spot, hashes)
         self.pool[self.used:self.used + len(flat)] = flat
         self.used += len(flat)
-        self.known.update(zip(hashes, range(first, first + len(ids))))
 
     def _plain_ids(self, texts: list[str]) -> list[bytes]:
         if not texts:
@@ -143,14 +147,13 @@ class ChunkTokenizer:
             return [b""] * len(texts)
         hashes = span_hashes(self.value[codes], start, end)
         distinct, where, index = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.known]
-        if new:
+        new = np.flatnonzero(np.searchsorted(self.known, distinct) == np.searchsorted(self.known, distinct, "right"))
+        if len(new):
             lower = self.table[1][codes].astype("<u4").tobytes().decode("utf-32-le")
             a, b = start[where[new]].tolist(), end[where[new]].tolist()
-            self._learn([lower[x:y] for x, y in zip(a, b)], [keys[k] for k in new])
-        row = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[index]
-        first, size = self.at[row, 0], self.at[row, 1]
+            self._learn([lower[x:y] for x, y in zip(a, b)], distinct[new])
+        row = np.searchsorted(self.known, distinct)[index]
+        first, size = self.at[row], self.size[row].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(size)])
         ids = self.pool[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
         cut = total[np.searchsorted(start, begin)].tolist()

@@ -171,6 +171,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             t, s = _cut(texts[a:b], marks[a:b], min_words)
             out_t += t
             out_s += s
+        common.give_back()
         return pd.DataFrame({"text": [None if o is None else t for o, t in zip(text, out_t)],
                              "spans": [[{"start": x, "end": y} for x, y in s] for s in out_s]})
 

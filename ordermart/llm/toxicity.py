@@ -313,6 +313,8 @@ def score_column(text: Column, grammar: Grammar, spark: SparkSession) -> Column:
             for a, b in common.in_chunks(texts):
                 z = channels(texts[a:b], g) @ g.model[:-1] + g.model[-1]
                 out[a:b] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        del texts
+        common.give_back()
         return pd.Series(out)
 
     return score(text)

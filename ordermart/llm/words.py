@@ -37,12 +37,11 @@ class _Tables:
     def load(cls) -> None:
         if cls.value is None:
             n = 0x110000
-            chars = [chr(i) for i in range(n)]
             low = np.arange(n, dtype=np.uint32)
-            alnum = np.fromiter((c.isalnum() for c in chars), bool, n)
-            for i in np.flatnonzero(alnum).tolist():
-                c = chars[i].lower()
-                if len(c) == 1 and c != chars[i]:
+            alnum = np.fromiter((chr(i).isalnum() for i in range(n)), bool, n)
+            for i in np.flatnonzero(alnum):
+                c = chr(i).lower()
+                if len(c) == 1:
                     low[i] = ord(c)
             cls.lower = low
             cls.value = np.where(alnum, mix64(low.astype(_U) + _GAMMA), _U(0))

@@ -3,6 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from ordermart.llm import common, components
 from ordermart.llm import near_dedup as nd
 from ordermart.llm import substring_dedup as sd
 from ordermart.llm.components import connected_components
@@ -266,3 +267,47 @@ def test_cut_edges(spark):
     by = {r.doc_id: r.text for r in got if r.doc_id}
     assert by[1] == edges.rows()[0][1] and by[2] == "" and by[5] == "" and by[10] == edges.words(5, 80)
     assert sd.remove_repeats(edges.empty(spark)).count() == 0
+
+
+def test_a_star_step_reads_its_edges_a_few_times(spark):
+    """Plans that hold every input many times over cost the driver its memory."""
+    edges = spark.range(40).selectExpr("id + 1 as u", "id as v")
+    plan = components._stars(components._stars(edges, True), False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") <= 9
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """What ``materialise`` has written is not also kept as shuffle files; the session's setting is as before."""
+    spark.conf.set(common.SHUFFLE_CLEANUP, "false")
+    rows = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    seen = [common.materialise(rows, "test").count() for _ in range(3)]
+    assert seen == [7, 7, 7] and spark.conf.get(common.SHUFFLE_CLEANUP) == "false"
+    # of each count's own exchange files may stay
+    assert tracker.shuffleStatuses().size() - before <= 3
+
+
+def test_workers_give_memory_back():
+    """Freed memory does not stay with a process between batches."""
+    import os
+    import subprocess
+    import sys
+
+    code = """if True:
+        from ordermart.llm import common
+
+        def held():
+            return int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+
+        common.give_back()
+        before = held()
+        texts = [bytes(3000) for _ in range(50_000)]
+        pins = [bytes(3000) for _ in range(10)]
+        del texts
+        common.give_back()
+        print(held() - before)
+    """
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], cwd=top, capture_output=True, text=True, check=True).stdout
+    assert int(out) < 60

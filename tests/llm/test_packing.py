@@ -96,3 +96,24 @@ def test_columns_with_the_names_of_its_own(spark):
 
 def test_empty_table(spark):
     assert packing.pack(packing.pieces_of(edges.empty(spark))).count() == 0
+
+
+def test_word_cache_is_small():
+    """A worker keeps its caches between stages: words in arrays, other chunks within CACHE_BYTES."""
+    t = packing.ChunkTokenizer(packing.VOCABULARY)
+    texts = [edges.words(s, 3_000) for s in range(20)]
+    got = [t.ids([x])[0] for x in texts]
+    assert got == t.ids(texts) and [list(np.frombuffer(b, "<u4")) for b in got[:3]] == [
+        t.tokenizer.encode(x, add_special_tokens=False).ids for x in texts[:3]]
+    assert len(t.known) > 30_000 and (t.known[1:] > t.known[:-1]).all()
+    assert t.known.nbytes + t.at.nbytes + t.size.nbytes <= 20 * len(t.known)
+
+
+def test_chunk_cache_is_bounded_by_bytes(monkeypatch):
+    t = packing.ChunkTokenizer(packing.VOCABULARY)
+    texts = ["数据 处理 " + chr(0x4E00 + i) * 50 for i in range(200)]
+    want = [t.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    monkeypatch.setattr(packing, "CACHE_BYTES", 4_000)
+    for x, ids in zip(texts, want):
+        assert list(np.frombuffer(t.ids([x])[0], "<u4")) == ids
+        assert t.chunk_bytes <= 5_000 and len(t.chunks) < 25
